@@ -171,7 +171,7 @@ def nested_scores(grid: dict[tuple[int, int], Sums], model_type: str) -> list[fl
         std = np.where(var > 1e-15, np.sqrt(np.maximum(var, 0.0)), 1.0)
         cells = [_rescaled(s, mean, std) for s in inner.values()]
         _, w = choose_penalty(cells, model_type)
-        scores.append(_rescaled(held_out, mean, std).r2(w, _total(cells).intercept(w)))
+        scores.append(float(_rescaled(held_out, mean, std).r2(w, _total(cells).intercept(w))))
     return scores
 
 
