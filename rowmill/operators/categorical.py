@@ -12,6 +12,7 @@ from rowmill.functions.text import named
 from rowmill.operators.columns import replace_columns, text_columns
 from rowmill.operators.impute import value_counts
 from rowmill.operators.joins import map_values
+from rowmill.operators.quantiles import distinct_estimate
 from rowmill.storage import materialize
 
 
@@ -56,14 +57,14 @@ def profile_categories(
     A sketch first sets aside columns far beyond the limit, so that nobody shuffles their values; the
     exact counts of the rest decide. ``order_by`` defines which value was seen first.
     """
-    measures = [F.approx_count_distinct(named(c), 0.02).alias(f"d{i}") for i, c in enumerate(columns)]
+    measures = [distinct_estimate(named(c)).alias(f"d{i}") for i, c in enumerate(columns)]
     y = named(target).cast("double") if target else F.lit(None).cast("double")
     sizes = df.agg(F.avg(y).alias("global_mean"), *measures).first()
     near = [c for i, c in enumerate(columns) if sizes[f"d{i}"] <= 2 * max_distinct]
     far = [c for c in columns if c not in near]
     if not near:
         return CategoryProfile([], {}, {}, far, None, sizes["global_mean"])
-    seen = F.struct(*map(named, order_by)) if order_by else F.lit(0)
+    seen = F.struct(*map(named, order_by)) if len(order_by) > 1 else named(order_by[0]) if order_by else F.lit(0)
     cells = F.array(*[F.struct(F.lit(i).alias("position"), named(c).alias("value")) for i, c in enumerate(near)])
     table = materialize(
         df.select(F.inline(cells), seen.alias("seen"), y.alias("y"))

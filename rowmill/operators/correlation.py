@@ -8,14 +8,13 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowmill.functions.text import named
 from rowmill.operators.columns import numeric_columns
-from rowmill.operators.moments import column_stats, pair_sums
+from rowmill.operators.moments import pair_sums, pair_sums_with
 
 
 def correlation_array(df: DataFrame, columns: Sequence[str]) -> np.ndarray:
     """k×k Pearson matrix, each pair over the rows where both are present; NaN for constants."""
-    return pair_sums(df, columns, column_stats(df, columns)).correlations()
+    return pair_sums(df, columns).correlations()
 
 
 def correlation_table(spark: SparkSession, columns: Sequence[str], matrix: np.ndarray) -> DataFrame:
@@ -63,26 +62,10 @@ def fit_collinear(df: DataFrame, threshold: float = 0.9, exclude: Iterable[str]
 
 
 def target_correlations(df: DataFrame, features: Sequence[str], target: str) -> DataFrame:
-    """``(position, feature, correlation, abs_correlation)`` for every feature that varies.
-
-    The target is correlated with each feature in one pass. Moments are used instead of ``corr``, which
-    fails on a constant column.
-    """
-    y = named(target).cast("double")
-    measures = []
-    for i, name in enumerate(features):
-        x = named(name).cast("double")
-        sx = F.stddev_pop(F.when(y.isNotNull(), x))
-        sy = F.stddev_pop(F.when(x.isNotNull(), y))
-        measures.append(F.try_divide(F.covar_pop(x, y), sx * sy).alias(f"c{i}"))
-    row = df.agg(*measures)
-    entries = F.array(
-        *[
-            F.struct(F.lit(i).alias("position"), F.lit(name).alias("feature"), F.col(f"c{i}").alias("correlation"))
-            for i, name in enumerate(features)
-        ]
-    )
-    listed = row.select(F.inline(entries)).filter(F.col("correlation").isNotNull() & ~F.isnan("correlation"))
+    """``(position, feature, correlation, abs_correlation)`` for every feature that varies, in one pass."""
+    found = [float(sums.correlations()[0, 1]) for sums in pair_sums_with(df, features, target)]
+    rows = [(i, name, r) for i, (name, r) in enumerate(zip(features, found)) if not np.isnan(r)]
+    listed = df.sparkSession.createDataFrame(rows, "position int, feature string, correlation double")
     return listed.withColumn("abs_correlation", F.abs("correlation"))
 
 

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from rowmill.functions.text import named
 from rowmill.operators.correlation import select_features
 from rowmill.operators.evaluate import to_amounts
-from rowmill.operators.moments import column_stats
+from rowmill.operators.moments import column_stats, grouped_products
 from rowmill.operators.scale import Scaling
 from rowmill.operators.split import row_hash
 
@@ -53,9 +53,9 @@ class Sums:
     p: np.ndarray
 
     @staticmethod
-    def of(row, k: int) -> Sums:
-        p = np.array([[row[f"p_{min(i, j)}_{max(i, j)}"] for j in range(k)] for i in range(k)])
-        return Sums(row["n"], np.array([row[f"s_{i}"] for i in range(k)]), p)
+    def of(products: np.ndarray) -> Sums:
+        """From the product sums of (1, features, target)."""
+        return Sums(float(products[0, 0]), products[0, 1:], products[1:, 1:])
 
     def __add__(self, other: Sums) -> Sums:
         return Sums(self.n + other.n, self.s + other.s, self.p + other.p)
@@ -221,7 +221,7 @@ def train_linear(
     n_features: int = 15,
     folds: int = FOLDS,
 ) -> LinearFit:
-    """Select, scale, cross-validate and fit: four passes over the training rows whatever the grid."""
+    """Select, scale, cross-validate and fit: a handful of passes over the training rows whatever the grid."""
     if model_type not in L1_SHARE:
         raise ValueError(f"unsupported model type: {model_type}")
     chosen = select_features(df, features, target, n_features)
@@ -229,14 +229,9 @@ def train_linear(
     scaling = {name: (stats[name]["mean"], stats[name]["std"] or 1.0) for name in chosen}
     z = [(named(name).cast("double") - F.lit(c)) / F.lit(s) for name, (c, s) in scaling.items()]
     z.append(named(target).cast("double") - F.lit(stats[target]["mean"]))
-    parts = df.withColumns(
-        {
-            "_outer": row_hash(named(row_id), "fold:") % folds,
-            "_inner": row_hash(named(row_id), "inner fold:") % folds,
-        }
-    )
-    rows = product_sums(parts, z, ["_outer", "_inner"]).collect()
-    grid = {(row["_outer"], row["_inner"]): Sums.of(row, len(z)) for row in rows}
+    outer, inner = (row_hash(named(row_id), salt) % folds for salt in ("fold:", "inner fold:"))
+    cells = grouped_products(df, z, outer * folds + inner)
+    grid = {divmod(cell, folds): Sums.of(products) for cell, products in cells.items()}
     by_fold: dict[int, Sums] = {}
     for (outer, _), sums in grid.items():
         by_fold[outer] = by_fold[outer] + sums if outer in by_fold else sums

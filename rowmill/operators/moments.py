@@ -1,39 +1,123 @@
-"""Cross-product sums: the one pass over the rows behind correlations and linear regressions."""
+"""Sums of values, squares and products: the one pass over the rows behind scalings, correlations and
+linear regressions.
+
+A few columns are summed by a generated aggregate. With more, the number of sums outgrows what a JVM
+method can hold and compile well, so each task multiplies Arrow batches as matrices and emits one small
+partial result, and Spark adds those up by key. Values are first shifted by a provisional centre, which
+keeps the sums well conditioned and does not change what is computed from them.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rowmill.functions.text import named
 
-WIDE = 24  # beyond this many columns the k² sums outgrow one generated aggregate
+FEW_COLUMNS = 8
+CENTRE_ROWS = 1_000
+
+
+def _doubles(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    return df.select(*[named(c).cast("double").alias(f"x{i}") for i, c in enumerate(columns)])
+
+
+def _provisional_centre(narrow: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Means and deviations of some first rows; any rows will do."""
+    rows = narrow.limit(CENTRE_ROWS).toPandas().to_numpy(dtype="float64", na_value=np.nan)
+    rows = np.where(np.isfinite(rows), rows, np.nan)
+    present = np.maximum((~np.isnan(rows)).sum(axis=0), 1)
+    centre = np.nansum(rows, axis=0) / present
+    spread = np.sqrt(np.nansum((rows - centre) ** 2, axis=0) / present)
+    return centre, np.where(spread > 0, spread, 1.0)
+
+
+def _matrix(batch: pa.RecordBatch) -> np.ndarray:
+    return np.column_stack([column.to_numpy(zero_copy_only=False) for column in batch.columns])
+
+
+def sum_over_tasks(df: DataFrame, width: int, partial: Callable[[Iterator[np.ndarray]], dict[int, np.ndarray]]) -> dict[int, np.ndarray]:
+    """Add up the rows of ``width`` numbers that ``partial`` yields per task, by their integer key."""
+
+    def run(batches):
+        rows = partial(_matrix(batch) for batch in batches if batch.num_rows)
+        values = pa.array([row.ravel() for row in rows.values()], pa.list_(pa.float64()))
+        yield pa.RecordBatch.from_arrays([pa.array(list(rows), pa.int64()), values], ["key", "sums"])
+
+    parts = df.mapInArrow(run, "key bigint, sums array<double>")
+    summed = (
+        parts.select("key", F.posexplode("sums").alias("at", "value"))
+        .groupBy("key", "at")
+        .agg(F.sum("value").alias("value"))
+        .groupBy("key")
+        .agg(F.array_sort(F.collect_list(F.struct("at", "value"))).alias("sums"))
+    )
+    rows = summed.select("key", F.col("sums.value").alias("sums")).collect()
+    result = {row["key"]: np.array(row["sums"], dtype="float64") for row in rows}
+    assert all(len(sums) == width for sums in result.values())
+    return result
 
 
 def column_stats(df: DataFrame, columns: Sequence[str]) -> dict[str, dict[str, float]]:
-    """Count, mean and population deviation per column; NaN counts as missing."""
+    """Row count, values, mean and population deviation per column; NaN counts as missing."""
+    if len(columns) <= FEW_COLUMNS:
+        return _stats_by_expressions(df, columns)
+    narrow = _doubles(df, columns)
+    centre, spread = _provisional_centre(narrow)
+
+    def partial(batches):
+        total = np.zeros((4, len(columns)))
+        for x in batches:
+            present = ~np.isnan(x)
+            z = np.where(present, (x - centre) / spread, 0.0)
+            total += np.stack([np.full(len(columns), len(x)), present.sum(axis=0), z.sum(axis=0), (z * z).sum(axis=0)])
+        return {0: total}
+
+    found = sum_over_tasks(narrow, 4 * len(columns), partial)
+    rows, n, s, q = found[0].reshape(4, -1) if found else np.zeros((4, len(columns)))
+    mean, std = _mean_and_std(n, s, q)
+    return {
+        name: {
+            "rows": int(rows[i]),
+            "n": int(n[i]),
+            "mean": float(centre[i] + spread[i] * mean[i]) if n[i] else None,
+            "std": float(spread[i] * std[i]) if n[i] else None,
+        }
+        for i, name in enumerate(columns)
+    }
+
+
+def _mean_and_std(n, s, q):
+    count = np.maximum(n, 1)
+    mean = s / count
+    variance = q / count - mean**2
+    # what rounding leaves of a constant column is no spread
+    return mean, np.sqrt(np.where(variance > 1e-14 * np.maximum(q / count, 1e-300), variance, 0.0))
+
+
+def _stats_by_expressions(df: DataFrame, columns: Sequence[str]) -> dict[str, dict[str, float]]:
     measures = []
     for i, name in enumerate(columns):
         x = named(name).cast("double")
         x = F.when(~F.isnan(x), x)
-        measures += [F.count(x).alias(f"n{i}"), F.avg(x).alias(f"m{i}"), F.stddev_pop(x).alias(f"s{i}")]
+        measures += [F.count(x).alias(f"n{i}"), F.avg(x).alias(f"mean{i}"), F.stddev_pop(x).alias(f"std{i}")]
     row = df.agg(F.count(F.lit(1)).alias("rows"), *measures).first()
     return {
-        name: {"rows": row["rows"], "n": row[f"n{i}"], "mean": row[f"m{i}"], "std": row[f"s{i}"]}
+        name: {"rows": row["rows"], **{key: row[f"{key}{i}"] for key in ("n", "mean", "std")}}
         for i, name in enumerate(columns)
     }
 
 
 @dataclass(frozen=True)
 class PairSums:
-    """k×k sums over the rows where both columns of a pair are present, on centred and scaled values.
+    """Sums over the rows where both columns of a pair are present, on shifted values.
 
-    ``n[i, j]`` rows; ``s[i, j]`` and ``q[i, j]`` sum and squares of column i; ``c[i, j]`` products.
+    ``n[i, j]`` rows, ``s[i, j]`` and ``q[i, j]`` sum and squares of column i, ``c[i, j]`` products.
     """
 
     n: np.ndarray
@@ -43,73 +127,105 @@ class PairSums:
 
     def correlations(self) -> np.ndarray:
         """Pearson matrix with pairwise-complete rows; NaN where a column does not vary."""
-        with np.errstate(divide="ignore", invalid="ignore"):
-            mean = self.s / self.n
-            variance = self.q / self.n - mean**2
-            covariance = self.c / self.n - mean * mean.T
-            spread = np.where(variance > 1e-15, variance, np.nan)
-            return np.clip(covariance / np.sqrt(spread * spread.T), -1.0, 1.0)
-
-
-def pair_sums(df: DataFrame, columns: Sequence[str], stats: dict[str, dict[str, float]], wide: int = WIDE) -> PairSums:
-    """Sums for every pair of columns; the result is k×k however long the table."""
-    z = []
-    for name in columns:
-        x = named(name).cast("double")
-        centred = (x - F.lit(stats[name]["mean"] or 0.0)) / F.lit(stats[name]["std"] or 1.0)
-        z.append(F.when(~F.isnan(x), centred))
-    narrow = df.select(*[c.alias(f"z{i}") for i, c in enumerate(z)])
-    complete = [stats[name]["n"] == stats[name]["rows"] for name in columns]
-    return _by_expressions(narrow, complete) if len(columns) <= wide else _by_matrix(narrow)
+        mean, std = _mean_and_std(self.n, self.s, self.q)
+        spread = np.where(std > 0, std, np.nan)
+        covariance = self.c / np.maximum(self.n, 1) - mean * mean.T
+        return np.clip(covariance / (spread * spread.T), -1.0, 1.0)
+
 
+def pair_sums(df: DataFrame, columns: Sequence[str], few_columns: int = FEW_COLUMNS) -> PairSums:
+    """Sums for every pair of columns in one pass; the result is k×k however long the table."""
+    narrow = _doubles(df, columns)
+    centre, spread = _provisional_centre(narrow)
+    return (_pairs_by_expressions if len(columns) <= few_columns else _pairs_by_matrix)(narrow, centre, spread)
 
-def _by_expressions(narrow: DataFrame, complete: list[bool]) -> PairSums:
-    """All sums as one generated aggregate."""
-    z = [F.col(c) for c in narrow.columns]
-    k = len(z)
+
+def _pairs_by_expressions(narrow: DataFrame, centre: np.ndarray, spread: np.ndarray) -> PairSums:
+    k = len(narrow.columns)
+    shifted = [(F.col(f"x{i}") - F.lit(float(centre[i]))) / F.lit(float(spread[i])) for i in range(k)]
+    z = [F.when(~F.isnan(F.col(f"x{i}")), shifted[i]) for i in range(k)]
     wanted: dict[str, Column] = {}
     for i in range(k):
-        wanted[f"n_{i}"], wanted[f"s_{i}"], wanted[f"q_{i}"] = F.count(z[i]), F.sum(z[i]), F.sum(z[i] * z[i])
-        for j in range(i + 1, k):
-            wanted[f"c_{i}_{j}"] = F.sum(z[i] * z[j])
-            if complete[i] and complete[j]:
-                continue
-            wanted[f"n_{i}_{j}"] = F.count(z[i] * z[j])
-            for a, b in ((i, j), (j, i)):
-                wanted[f"s_{a}_{b}"] = F.sum(F.when(z[b].isNotNull(), z[a]))
-                wanted[f"q_{a}_{b}"] = F.sum(F.when(z[b].isNotNull(), z[a] * z[a]))
+        for j in range(i, k):
+            both = z[i].isNotNull() & z[j].isNotNull()
+            wanted[f"n_{i}_{j}"], wanted[f"c_{i}_{j}"] = F.count_if(both), F.sum(z[i] * z[j])
+            for a, b in {(i, j), (j, i)}:
+                wanted[f"s_{a}_{b}"] = F.sum(F.when(both, z[a]))
+                wanted[f"q_{a}_{b}"] = F.sum(F.when(both, z[a] * z[a]))
     row = narrow.agg(*[c.alias(name) for name, c in wanted.items()]).first().asDict()
-    n, s, q, c = (np.zeros((k, k)) for _ in range(4))
-    for i in range(k):
-        for j in range(k):
-            low, high = min(i, j), max(i, j)
-            n[i, j] = row.get(f"n_{low}_{high}", row[f"n_{i}"]) or 0
-            s[i, j] = row.get(f"s_{i}_{j}", row[f"s_{i}"]) or 0.0
-            q[i, j] = row.get(f"q_{i}_{j}", row[f"q_{i}"]) or 0.0
-            c[i, j] = (row[f"q_{i}"] if i == j else row[f"c_{low}_{high}"]) or 0.0
-    return PairSums(n, s, q, c)
 
+    def square(kind: str, symmetric: bool) -> np.ndarray:
+        at = [[(min(i, j), max(i, j)) if symmetric else (i, j) for j in range(k)] for i in range(k)]
+        return np.array([[row[f"{kind}_{i}_{j}"] or 0.0 for i, j in line] for line in at])
+
+    return PairSums(square("n", True), square("s", False), square("q", False), square("c", True))
 
-def _by_matrix(narrow: DataFrame) -> PairSums:
-    """Matrix products per Arrow batch; each task emits k rows, which Spark then adds up by row."""
+
+def _pairs_by_matrix(narrow: DataFrame, centre: np.ndarray, spread: np.ndarray) -> PairSums:
     k = len(narrow.columns)
 
-    def task_sums(batches):
-        total = np.zeros((k, 4 * k))
-        for batch in batches:
-            x = batch.to_numpy(dtype="float64", na_value=np.nan)
+    def partial(batches):
+        total = np.zeros((4, k, k))
+        for x in batches:
             present = ~np.isnan(x)
-            x, present = np.where(present, x, 0.0), present.astype("float64")
-            total += np.hstack([present.T @ present, x.T @ present, (x * x).T @ present, x.T @ x])
-        yield pd.DataFrame({"i": np.arange(k), "sums": list(total)})
-
-    partial = narrow.mapInPandas(task_sums, "i int, sums array<double>")
-    sums = (
-        partial.select("i", F.posexplode("sums").alias("at", "value"))
-        .groupBy("i", "at")
-        .agg(F.sum("value").alias("value"))
-    )
-    total = np.zeros((k, 4 * k))
-    for row in sums.collect():
-        total[row["i"], row["at"]] = row["value"]
-    return PairSums(*np.hsplit(total, 4))
+            z = np.where(present, (x - centre) / spread, 0.0)
+            total[3] += z.T @ z
+            if present.all():
+                total[0] += len(x)
+                total[1] += z.sum(axis=0)[:, None]
+                total[2] += (z * z).sum(axis=0)[:, None]
+            else:
+                mask = present.astype("float64")
+                total[:3] += np.stack([mask.T @ mask, z.T @ mask, (z * z).T @ mask])
+        return {i: total[:, i] for i in range(k)}
+
+    found = sum_over_tasks(narrow, 4 * k, partial)
+    zero = np.zeros(4 * k)
+    total = np.stack([found.get(i, zero).reshape(4, k) for i in range(k)], axis=1)
+    return PairSums(*total)
+
+
+def pair_sums_with(df: DataFrame, columns: Sequence[str], other: str) -> list[PairSums]:
+    """2×2 sums of each column with one ``other`` column, all in one pass of linear cost."""
+    narrow = _doubles(df, [*columns, other])
+    centre, spread = _provisional_centre(narrow)
+
+    def partial(batches):
+        total = np.zeros((6, len(columns)))
+        for x in batches:
+            z = (x - centre) / spread
+            both = ~np.isnan(z[:, :-1]) & ~np.isnan(z[:, -1:])
+            a, b = np.where(both, z[:, :-1], 0.0), np.where(both, z[:, -1:], 0.0)
+            total += np.stack([part.sum(axis=0) for part in (both, a, b, a * a, b * b, a * b)])
+        return {0: total}
+
+    found = sum_over_tasks(narrow, 6 * len(columns), partial)
+    total = found[0].reshape(6, -1) if found else np.zeros((6, len(columns)))
+    return [
+        PairSums(
+            np.full((2, 2), n),
+            np.array([[sa, sa], [sb, sb]]),
+            np.array([[qa, qa], [qb, qb]]),
+            np.array([[qa, ab], [ab, qb]]),
+        )
+        for n, sa, sb, qa, qb, ab in total.T
+    ]
+
+
+def grouped_products(df: DataFrame, columns: Sequence[Column], group: Column) -> dict[int, np.ndarray]:
+    """Per integer group, the (k+1)×(k+1) product sums of (1, columns): counts, sums and products."""
+    k = len(columns)
+    wide = df.select(group.cast("double").alias("g"), *[c.cast("double").alias(f"x{i}") for i, c in enumerate(columns)])
+
+    def partial(batches):
+        totals: dict[int, np.ndarray] = {}
+        for x in batches:
+            groups = x[:, 0].copy()
+            x[:, 0] = 1.0
+            for g in np.unique(groups):
+                part = x[groups == g]
+                totals[int(g)] = totals.get(int(g), 0.0) + part.T @ part
+        return totals
+
+    found = sum_over_tasks(wide, (k + 1) ** 2, partial)
+    return {g: sums.reshape(k + 1, k + 1) for g, sums in found.items()}

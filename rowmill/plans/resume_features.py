@@ -64,12 +64,12 @@ def basic_features(df: DataFrame) -> DataFrame:
     """Age, gender, amount, city, experience, car, education and travel."""
     present = set(df.columns)
     new: dict[str, Column] = {}
+    groups: dict[str, Column] = {}  # a second projection, so that the numbers are extracted once
     if v.GENDER_AGE in present:
         text = named(v.GENDER_AGE)
-        age = F.coalesce(number_before(text, v.AGE_UNIT), F.lit(-1).cast("bigint"))
-        new[v.AGE] = age
+        new[v.AGE] = F.coalesce(number_before(text, v.AGE_UNIT), F.lit(-1).cast("bigint"))
         new[v.GENDER] = first_rule(text, v.GENDERS, F.lit(v.NOT_STATED))
-        new[v.AGE_GROUP] = step(age, v.AGE_CUTS, v.AGE_GROUPS)
+        groups[v.AGE_GROUP] = step(named(v.AGE), v.AGE_CUTS, v.AGE_GROUPS)
     if v.SALARY_BASE in present:
         new[v.SALARY_NUMBER] = named(v.SALARY_BASE)
     elif v.SALARY in present:
@@ -77,16 +77,15 @@ def basic_features(df: DataFrame) -> DataFrame:
     if v.CITY in present:
         new[v.CITY_CLEAN] = before_comma(named(v.CITY))
     if v.EXPERIENCE in present:
-        months = experience_months(named(v.EXPERIENCE))
-        new[v.MONTHS] = months
-        new[v.EXPERIENCE_GROUP] = step(months, v.MONTH_CUTS, v.MONTH_GROUPS, closed="right")
+        new[v.MONTHS] = experience_months(named(v.EXPERIENCE))
+        groups[v.EXPERIENCE_GROUP] = step(named(v.MONTHS), v.MONTH_CUTS, v.MONTH_GROUPS, closed="right")
     if v.CAR in present:
         new[v.HAS_CAR] = flag(contains_any(named(v.CAR), v.CAR_WORDS))
     if v.EDUCATION in present:
         new[v.EDUCATION_LEVEL] = _described(named(v.EDUCATION), v.EDUCATION_RULES, v.EDUCATION_OTHER)
     if v.TRIPS in present:
         new[v.TRIP_FREQUENCY] = _described(named(v.TRIPS), v.TRIP_RULES, v.TRIPS_OTHER)
-    return replace_columns(df, new).drop(v.CAR)
+    return replace_columns(replace_columns(df, new), groups).drop(v.CAR)
 
 
 def _described(text: Column, rules: Rules, other: str) -> Column:
