@@ -21,7 +21,7 @@ from rowmill.sources.metadata import (
     write_feature_metadata,
     write_feature_names,
 )
-from rowmill.storage import new_path
+from rowmill.storage import materialize, new_path
 
 AMOUNTS_SQL = f"WITH {RESUMES_SQL}, {amount_sql()}"
 FEATURES_SQL = f"{AMOUNTS_SQL}, {TYPED_SQL}"
@@ -231,5 +231,6 @@ treated AS (SELECT *, coalesce(l, (SELECT median(l) FROM logs)) AS amount FROM l
 )
 def salary_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     amounts = with_base_currency(resumes(spark, sf_dir)).select("row_id", named(v.SALARY_BASE).alias("amount"))
+    amounts = materialize(amounts, "amounts")  # the fits read it several times
     treatment = fit_amount_treatment(amounts, "amount", v.IMPROVED_SALARY_THRESHOLD)
     return treatment.apply(amounts).select("row_id", F.round("amount", 6).alias("amount"))

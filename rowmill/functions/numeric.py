@@ -14,6 +14,12 @@ def to_number(value: Column) -> Column:
     return F.when(~F.isnan(number), number)
 
 
+def text_to_number(text: Column) -> Column:
+    """:func:`to_number` for text. A failed cast costs an exception inside the JVM, so texts that do not
+    even start like a number are sorted out first."""
+    return to_number(F.when(text.rlike(r"^[\s\x00-\x1F]*[-+]?([0-9.]|(?i:inf|nan))"), text))
+
+
 def step(value: Column, cuts: Sequence[float], labels: Sequence[str], closed: str = "left") -> Column:
     """Label of the step that holds ``value``; one label more than cuts.
 

@@ -25,7 +25,7 @@ def class_weights(df: DataFrame, label: str) -> DataFrame:
     totals = counts.agg(F.sum("rows").alias("n"), F.count(F.lit(1)).alias("k")).first()
     if totals["k"] > MAX_CLASSES:
         raise ValueError(f"more than {MAX_CLASSES} classes in '{label}'")
-    return counts.withColumn("weight", F.lit(float(totals["n"] or 0)) / (F.lit(totals["k"]) * F.col("rows")))
+    return counts.withColumn("weight", F.try_divide(F.lit(float(totals["n"] or 0)), totals["k"] * F.col("rows")))
 
 
 def with_class_weights(df: DataFrame, label: str, weights: dict, column: str = "weight") -> DataFrame:
@@ -82,10 +82,18 @@ def train_classifier(
     if model_type == "logistic":
         rows = sum(row["rows"] for row in counted)
         binary = LogisticRegression(**shared, maxIter=1000, regParam=1.0 / rows, standardization=False, tol=1e-6)
-        estimator = OneVsRest(classifier=binary, **shared, predictionCol="_class")
+        # the few binary fits are independent, so their small jobs may interleave
+        estimator = OneVsRest(classifier=binary, **shared, predictionCol="_class", parallelism=min(len(classes), 8))
     else:
         estimator = RandomForestClassifier(
-            **shared, predictionCol="_class", numTrees=trees, maxDepth=max_depth, featureSubsetStrategy="sqrt", seed=seed
+            **shared,
+            predictionCol="_class",
+            numTrees=trees,
+            maxDepth=max_depth,
+            featureSubsetStrategy="sqrt",
+            seed=seed,
+            maxMemoryInMB=1024,  # more tree nodes per pass over the rows
+            cacheNodeIds=True,  # deep trees need not be walked again for every level
         )
     stages = [
         StringIndexerModel.from_labels(classes, inputCol=label, outputCol="_label", handleInvalid="keep"),

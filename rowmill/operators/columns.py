@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rowmill.functions.numeric import to_number
+from rowmill.functions.numeric import text_to_number, to_number
 from rowmill.functions.text import named
 
 Stage = Callable[[DataFrame], DataFrame]
@@ -62,7 +62,9 @@ def union_all(frames: Sequence[DataFrame]) -> DataFrame:
 
 def coerce_numeric(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Read columns as doubles, unreadable values as null."""
-    return replace_columns(df, {c: to_number(named(c)) for c in (columns or df.columns)})
+    columns = df.columns if columns is None else columns
+    texts = set(text_columns(df))
+    return replace_columns(df, {c: (text_to_number if c in texts else to_number)(named(c)) for c in columns})
 
 
 def project_features(df: DataFrame, names: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:

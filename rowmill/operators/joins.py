@@ -31,11 +31,10 @@ def map_values(
     if lookup_rows <= broadcast_rows:
         joined = df.join(F.broadcast(small), named(column) == F.col("_key"), "left")
     else:
-        salt = F.pmod(F.xxhash64(*map(named, df.columns)), F.lit(SALTS))
-        copies = small.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).cast("bigint"))
-        joined = df.withColumn("_salt", salt).join(
-            copies.hint("shuffle_hash"), (named(column) == F.col("_key")) & (F.col("_salt") == F.col("_copy")), "left"
-        )
+        salt = F.pmod(F.xxhash64(*map(named, df.columns)), F.lit(SALTS)).cast("int")
+        copies = small.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        matches = (named(column) == F.col("_key")) & (F.col("_salt") == F.col("_copy"))
+        joined = df.withColumn("_salt", salt).join(copies, matches, "left")
     mapped = F.coalesce(F.col("_value"), default).alias(column)
     return joined.select(*[mapped if c == column else named(c) for c in df.columns])
 

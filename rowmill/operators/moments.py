@@ -19,7 +19,8 @@ from pyspark.sql import functions as F
 
 from rowmill.functions.text import named
 
-FEW_COLUMNS = 8
+FEW_COLUMNS = 8  # for sums per column
+FEW_PAIRED = 4  # for sums per pair of columns
 CENTRE_ROWS = 1_000
 
 
@@ -133,7 +134,7 @@ class PairSums:
         return np.clip(covariance / (spread * spread.T), -1.0, 1.0)
 
 
-def pair_sums(df: DataFrame, columns: Sequence[str], few_columns: int = FEW_COLUMNS) -> PairSums:
+def pair_sums(df: DataFrame, columns: Sequence[str], few_columns: int = FEW_PAIRED) -> PairSums:
     """Sums for every pair of columns in one pass; the result is k×k however long the table."""
     narrow = _doubles(df, columns)
     centre, spread = _provisional_centre(narrow)

@@ -138,7 +138,7 @@ def prepare(df: DataFrame, options: PresetOptions, row_id: str, target: str = v.
     encoder, collinear, bounds, scaled, scalings = Encoder(target=target), [], {}, [], []
     if options.encode:
         encoder = fit_encoder(filled, target, [row_id], options.max_distinct, options.max_one_hot)
-    encoded = materialize(encoder.apply(filled), "encoded")
+    encoded = materialize(encoder.apply(filled), "encoded") if options.encode else filled
     if options.collinear_threshold is not None:
         collinear = fit_collinear(encoded, options.collinear_threshold, exclude=[row_id, target])
     kept = encoded.drop(*collinear)
