@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checks.table_queries import FEATURES_SQL, hash_sql, rounded
-from checks.tables import RESUMES_SQL, query, resumes, table
+from checks.table_queries import hash_sql, rounded
+from checks.tables import RESUMES_SQL, TYPED_SQL, amount_sql, query, resumes, table
 from checks.text_queries import treated_sql
 from rowmill.functions.numeric import quality_band
 from rowmill.functions.text import named
@@ -320,7 +320,11 @@ def quality_logistic(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # Whole presets
 
-SIMPLE_SQL = f"""{FEATURES_SQL}, {treated_sql('500000')}
+RECORD = "gender_age, salary, title, city, employment, experience, education, school, trips, car"
+# exact duplicates go first, then amounts are averaged over rows with equal features
+RECORDS_SQL = f"""{RESUMES_SQL.replace('resumes AS', 'all_resumes AS')},
+resumes AS (SELECT min(row_id) AS row_id, {RECORD} FROM all_resumes GROUP BY {RECORD})"""
+SIMPLE_SQL = f"""WITH {RECORDS_SQL}, {amount_sql()}, {TYPED_SQL}, {treated_sql('500000')}
 SELECT min(row_id) AS row_id, CAST(age AS DOUBLE) AS age, CAST(months AS DOUBLE) AS months, CAST(has_car AS DOUBLE) AS has_car,
   round(avg(amount), 6) AS amount
 FROM treated GROUP BY gender_age, title, city, employment, experience, education, school, trips, has_car, age, months"""

@@ -25,6 +25,14 @@ def distinct_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
+def far_beyond(df: DataFrame, columns: Sequence[str], max_distinct: int) -> list[str]:
+    """Columns with surely more than ``max_distinct`` values, told by a sketch of twice the limit."""
+    if not columns:
+        return []
+    sizes = df.agg(*[distinct_estimate(named(c)).alias(f"d{i}") for i, c in enumerate(columns)]).first()
+    return [c for c, size in zip(columns, sizes) if size > 2 * max_distinct]
+
+
 @dataclass(frozen=True)
 class CategoryProfile:
     """Per-value statistics of the text columns that are not out of hand.

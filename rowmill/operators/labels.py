@@ -57,8 +57,8 @@ def keyword_hits(df: DataFrame, rules: LevelRules) -> DataFrame:
 def keep_labelled(df: DataFrame, rules: LevelRules) -> DataFrame:
     """Rows in scope with a known level; if those are fewer than ``min_rows``, scope is ignored.
 
-    The count stops as soon as it has seen enough rows.
+    Looking for that many rows stops as soon as they are found.
     """
     known = df.filter(F.col("level") != UNKNOWN)
     scoped = known.filter("in_scope")
-    return scoped if scoped.limit(rules.min_rows).count() >= rules.min_rows else known
+    return scoped if len(scoped.select(F.lit(1)).take(rules.min_rows)) >= rules.min_rows else known

@@ -6,11 +6,10 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from rowmill.functions.text import Rules, named
-from rowmill.operators.categorical import Encoder, fit_encoder
-from rowmill.operators.columns import Stage, numeric_columns, run_stages, split_target
+from rowmill.operators.categorical import Encoder, far_beyond, fit_encoder
+from rowmill.operators.columns import Stage, numeric_columns, run_stages, split_target, text_columns
 from rowmill.operators.correlation import fit_collinear
 from rowmill.operators.dedupe import drop_duplicate_rows, merge_duplicate_features
 from rowmill.operators.impute import fill_missing, fit_medians, fit_modes, prepare_features
@@ -104,7 +103,7 @@ class Prepared:
     features: list[str]
     target: str
     row_id: str
-    fitted: FittedPreset
+    fitted: FittedPreset | None = None
 
 
 def extract(df: DataFrame, options: PresetOptions, row_id: str) -> DataFrame:
@@ -133,7 +132,9 @@ def prepare(df: DataFrame, options: PresetOptions, row_id: str, target: str = v.
     merged = materialize(merge_duplicate_features(treated, target, row_id=row_id), "merged")
 
     medians = fit_medians(merged, exclude=[row_id])
-    fills = {**medians, **fit_modes(merged, v.NOT_STATED)}
+    # columns the encoder is sure to drop need no mode, which would shuffle all their values
+    hopeless = far_beyond(merged, text_columns(merged), options.max_distinct) if options.encode else []
+    fills = {**medians, **fit_modes(merged, v.NOT_STATED, exclude=hopeless)}
     filled = fill_missing(merged, fills)
     encoder, collinear, bounds, scaled, scalings = Encoder(target=target), [], {}, [], []
     if options.encode:
@@ -159,10 +160,3 @@ def prepare(df: DataFrame, options: PresetOptions, row_id: str, target: str = v.
     numbers = prepare_features(table, features)
     ordered = numbers.select(named(row_id), *[named(c).cast("double").alias(c) for c in [*features, target]])
     return Prepared(ordered, features, target, row_id, fitted)
-
-
-def long_format(df: DataFrame, row_id: str) -> DataFrame:
-    """``(row_id, feature, value)`` rows of a numeric table."""
-    names = [c for c in df.columns if c != row_id]
-    cells = [F.struct(F.lit(c).alias("feature"), named(c).cast("double").alias("value")) for c in names]
-    return df.select(named(row_id), F.inline(F.array(*cells)))

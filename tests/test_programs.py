@@ -1,0 +1,39 @@
+from checks.tables import resumes
+from rowmill.plans import resume_values as v
+from rowmill.plans.prepare import improved
+from rowmill.plans.programs import prepare_records, read_records, train_levels, train_salary
+from rowmill.sources.csv import read_csv, write_csv
+from rowmill.sources.models import load_classifier, load_linear
+from rowmill.operators.linear import predict
+
+SF = "/root/testdata/sf0.001"
+
+
+def test_files_to_models(spark, tmp_path):
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    write_csv(resumes(spark, SF).withColumnRenamed("row_id", ""), source)
+    records = read_records(spark, source)
+    assert dict(records.dtypes)["row_id"] == "bigint"
+    prepared, check = prepare_records(records, improved(), out)
+    assert check.first()["rows_match"] and check.first()["columns_match"]
+    assert spark.read.json(f"{out}/quality").first()["x_missing"] == 0
+
+    result = train_salary(spark, f"{out}/matrix", f"{out}/salary", "lasso", n_features=12)
+    saved = load_linear(spark, f"{out}/salary")
+    assert saved.features == result.fit.features and len(saved.features) == 12
+    amounts = predict(prepared.table, saved.model, saved.features)
+    assert amounts.filter("prediction < 10000").isEmpty()
+
+    results = train_levels(records, f"{out}/matrix", f"{out}/levels", trees=5, max_depth=4)
+    assert set(results) == {"logistic", "random_forest"}
+    assert read_csv(spark, f"{out}/levels/report").count() == 6
+    assert load_classifier(spark, f"{out}/levels", "random_forest").classes == v.LEVELS
+
+
+def test_generated_ids_are_stable(spark, tmp_path):
+    source = str(tmp_path / "in")
+    write_csv(resumes(spark, SF).drop("row_id").repartition(3), source)
+    records = read_records(spark, source)
+    first, second = records.collect(), records.collect()
+    assert sorted(map(str, first)) == sorted(map(str, second))
+    assert len({r["row_id"] for r in first}) == len(first)
