@@ -352,3 +352,42 @@ def preset_improved_published(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("q_salary_model")
 def salary_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return train_salary_model(prepare(resumes(spark, sf_dir), improved(), "row_id")).metrics
+
+FEATURE_KEYS = "gender_age, title, city, employment, experience, education, school, trips, has_car, age, months, gender"
+
+
+def _finished_sql(column: str) -> str:
+    """Scalar subqueries around a column of ``wide``: limited to 3 interquartile ranges, then standardised."""
+    low = f"(SELECT quantile_cont({column}, 0.25) - 3 * (quantile_cont({column}, 0.75) - quantile_cont({column}, 0.25)) FROM wide)"
+    high = f"(SELECT quantile_cont({column}, 0.75) + 3 * (quantile_cont({column}, 0.75) - quantile_cont({column}, 0.25)) FROM wide)"
+    return f"SELECT row_id, least(greatest({column}, {low}), {high}) AS x FROM wide"
+
+
+IMPROVED_SQL = f"""WITH {RECORDS_SQL}, {amount_sql()}, {TYPED_SQL}, {treated_sql('1000000')},
+merged AS (SELECT min(row_id) AS row_id, {FEATURE_KEYS}, avg(amount) AS amount FROM treated GROUP BY {FEATURE_KEYS}),
+filled AS (SELECT row_id, gender, age::DOUBLE AS age, amount,
+  coalesce(city, (SELECT city FROM merged WHERE city IS NOT NULL GROUP BY city ORDER BY count(*) DESC, city LIMIT 1)) AS city,
+  coalesce(experience, (SELECT experience FROM merged WHERE experience IS NOT NULL GROUP BY experience
+    ORDER BY count(*) DESC, experience LIMIT 1)) AS experience FROM merged),
+means AS (SELECT experience, avg(amount) AS experience_mean FROM filled GROUP BY experience),
+wide AS (SELECT f.*, experience_mean FROM filled f JOIN means m ON f.experience = m.experience),
+ages AS ({_finished_sql('age')}), terms AS ({_finished_sql('experience_mean')})
+SELECT wide.row_id, CAST(gender = 'Мужчина' AS DOUBLE) AS male, CAST(city = 'Минск' AS DOUBLE) AS minsk, round(amount, 5) AS amount,
+  round((ages.x - (SELECT avg(x) FROM ages)) / (SELECT stddev_pop(x) FROM ages), 5) AS age,
+  round((terms.x - (SELECT avg(x) FROM terms)) / (SELECT stddev_pop(x) FROM terms), 5) AS experience
+FROM wide JOIN ages ON wide.row_id = ages.row_id JOIN terms ON wide.row_id = terms.row_id"""
+
+
+@query("q_preset_improved_core", IMPROVED_SQL)
+def preset_improved_core(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Columns of the improved preset that went through every kind of step."""
+    table = prepare(resumes(spark, sf_dir), improved(), "row_id").table
+    core = table.select(
+        "row_id",
+        named(f"{v.GENDER}_Мужчина").alias("male"),
+        named(f"{v.CITY}_Минск").alias("minsk"),
+        named(v.SALARY_NUMBER).alias("amount"),
+        named(v.AGE).alias("age"),
+        named(v.EXPERIENCE).alias("experience"),
+    )
+    return rounded(core, 5, "amount", "age", "experience")
