@@ -38,15 +38,15 @@ def _provisional_centre(narrow: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return centre, np.where(spread > 0, spread, 1.0)
 
 
-def _matrix(batch: pa.RecordBatch) -> np.ndarray:
-    return np.column_stack([column.to_numpy(zero_copy_only=False) for column in batch.columns])
-
-
 def sum_over_tasks(df: DataFrame, width: int, partial: Callable[[Iterator[np.ndarray]], dict[int, np.ndarray]]) -> dict[int, np.ndarray]:
-    """Add up the rows of ``width`` numbers that ``partial`` yields per task, by their integer key."""
+    """Add up the rows of ``width`` numbers that ``partial`` returns per task, by their integer key.
+
+    What runs in the tasks uses nothing but NumPy and Arrow, so executors need not have this package.
+    """
 
     def run(batches):
-        rows = partial(_matrix(batch) for batch in batches if batch.num_rows)
+        matrices = (np.column_stack([c.to_numpy(zero_copy_only=False) for c in b.columns]) for b in batches if b.num_rows)
+        rows = partial(matrices)
         values = pa.array([row.ravel() for row in rows.values()], pa.list_(pa.float64()))
         yield pa.RecordBatch.from_arrays([pa.array(list(rows), pa.int64()), values], ["key", "sums"])
 

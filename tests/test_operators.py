@@ -17,7 +17,7 @@ from rowmill.operators.columns import (
     text_columns,
     unique,
 )
-from rowmill.operators.correlation import collinear_columns, correlation_array, fit_collinear, strongest, target_correlations
+from rowmill.operators.correlation import collinear_columns, fit_collinear, strongest, target_correlations
 from rowmill.operators.dedupe import drop_duplicate_rows, merge_duplicate_features
 from rowmill.operators.impute import fill_missing, fit_medians, fit_modes, prepare_features
 from rowmill.operators.joins import map_values
