@@ -1,4 +1,4 @@
 """All queries of this subpackage, by name."""
 
-from rowmill.llm import mixing_queries  # noqa: F401
+from rowmill.llm import mixing_queries, near_queries  # noqa: F401
 from rowmill.llm.tables import ORACLES, QUERIES  # noqa: F401
