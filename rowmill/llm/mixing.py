@@ -157,7 +157,7 @@ def mix(
         F.explode(F.sequence(F.floor(F.col("begin") / block_words), F.floor((F.col("end") - 1) / block_words))).alias("block"),
     )
     taken = (
-        pieces.join(blocks, ["place", "shard", "block"])
+        pieces.join(blocks.hint("merge"), ["place", "shard", "block"])  # sizes of exploded rows are underestimated
         .groupBy("place", "shard", F.col("end").alias("spot"))
         .agg(
             F.sum((last - first) * F.col("times")).alias("taken"),
