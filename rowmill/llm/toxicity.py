@@ -205,7 +205,7 @@ def fit_toxicity(labelled: DataFrame, rows: int = LABELLED_ROWS, exceptions: Seq
     best = frequent.orderBy(F.desc("toxic"), "term").limit(CANDIDATE_TERMS).collect()
     lexicon = _choose([(r["term"], r["toxic"], r["clean"]) for r in best], totals["t"], totals["n"] - totals["t"], counted.where("toxic + clean >= 4").count())
     model = ToxicityModel(lexicon, (*exceptions, *_learned_exceptions(neighbours, lexicon)), ())
-    seen = np.array(_measured(sample, model, ["toxic"]).select("weight", "hits", "words", "toxic").collect(), float)
+    seen = np.array(_measured(sample, model, "toxic").select("weight", "hits", "words", "kept").collect(), float)
     model.curve = _fit_curve(_features(seen[:, 0], seen[:, 1], seen[:, 2]), seen[:, 3])
     return model
 
@@ -221,21 +221,27 @@ def held_out(doc_id):
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def _measured(docs: DataFrame, model: ToxicityModel, keep: Sequence[str]) -> DataFrame:
+def _measured(docs: DataFrame, model: ToxicityModel, keep: str) -> DataFrame:
+    """The ``keep`` column with ``weight, hits, words`` of ``text``, which is a column or a field of ``keep``."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matcher = model.matcher()
         for batch in batches:
-            got = [measure(matcher, t) for t in batch.column(0).to_pylist()]
+            texts = batch.column(1) if batch.num_columns > 1 else batch.column(0).field("text")
+            got = [measure(matcher, t) for t in texts.to_pylist()]
             columns = [pa.array([g[0] for g in got], pa.float64()), pa.array([g[1] for g in got], pa.int64()), pa.array([g[2] for g in got], pa.int64())]
-            yield pa.RecordBatch.from_arrays([*batch.columns[1:], *columns], [*keep, "weight", "hits", "words"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["kept", "weight", "hits", "words"])
+
+    inside = keep not in docs.columns
+    frame = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("kept")) if inside else docs.select(F.col(keep).alias("kept"), "text")
+    return frame.mapInArrow(run, f"kept {frame.schema['kept'].dataType.simpleString()}, weight double, hits long, words long")
 
-    frame = docs.select("text", *keep)
-    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in frame.schema.fields[1:])
-    return frame.mapInArrow(run, f"{kept}{', ' if kept else ''}weight double, hits long, words long")
 
+def toxicity(docs: DataFrame, model: ToxicityModel, threshold: float = THRESHOLD, keep: str = "doc_id") -> DataFrame:
+    """``kept``, ``score`` (0 to 1), ``predicted`` (1 from the threshold on), ``weight, hits, words`` of every row.
 
-def toxicity(docs: DataFrame, model: ToxicityModel, threshold: float = THRESHOLD, keep: Sequence[str] = ("doc_id",)) -> DataFrame:
-    """``keep`` columns, ``score`` (0 to 1), ``predicted`` (1 from the threshold on), ``weight, hits, words``."""
+    ``kept`` is the column named by ``keep``, or the whole row as a struct if there is no such column.
+    """
     measured = _measured(docs, model, keep)
     if not model.curve:
         score = F.lit(0.0)
@@ -243,4 +249,10 @@ def toxicity(docs: DataFrame, model: ToxicityModel, threshold: float = THRESHOLD
         bias, any_hit, total, density = model.curve
         line = bias + any_hit * (F.col("hits") > 0).cast("double") + total * F.log1p("weight") + density * F.log1p(1000 * F.col("weight") / (F.col("words") + 20))
         score = 1 / (1 + F.exp(-line))
-    return measured.withColumn("score", score).select(*keep, "score", (F.col("score") >= threshold).cast("int").alias("predicted"), "weight", "hits", "words")
+    return measured.withColumn("score", score).select("kept", "score", (F.col("score") >= threshold).cast("int").alias("predicted"), "weight", "hits", "words")
+
+
+def not_toxic(docs: DataFrame, model: ToxicityModel, threshold: float = THRESHOLD) -> DataFrame:
+    """The documents not predicted toxic, with all their columns."""
+    scored = toxicity(docs, model, threshold, keep="")
+    return scored.where("predicted = 0").select(*[F.col(f"kept.`{c}`") for c in docs.columns])

@@ -14,4 +14,4 @@ def toxicity_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity score of every document."""
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     scored = toxicity(docs, fit_toxicity(sample_labelled(docs, labels)))
-    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+    return scored.select(F.col("kept").alias("doc_id"), held_out(F.col("kept")).alias("held_out"), "score", "predicted")
