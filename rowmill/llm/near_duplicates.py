@@ -9,6 +9,8 @@ shingle sets. A pair with similarity 0.75 has fewer than MATCHES collisions with
 Only connectivity is asked for, so a posting list is never expanded into all its pairs while links are found:
 in each round the members are compared with one centre per list, linked nodes share a label from then on, and a list
 under one label is done. What is left after these rounds is compared completely across labels, each pair once.
+Before sets are compared, a bitmap of each set (bit h mod 1024 flips with every shingle hash h) rules out pairs: the
+bits in which two bitmaps differ are at most the shingles in which the sets differ, so nothing similar is lost.
 
 Edge cases: null, empty and blank texts have no shingles and no links; fewer words than a shingle make one shingle of
 the whole sequence; a null id is taken as larger than all others; repeated ids are separate documents; an empty
@@ -22,24 +24,26 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rowmill.llm.components import merge_labels
 from rowmill.llm.shingles import random_words, shingle_sets, shingles, slices, words
+from rowmill.llm.tables import WORD
 from rowmill.storage import materialize
 
 COORDINATES = 40
 MATCHES = 14
 STAR_ROUNDS = 4
+BITS = 1024
 _MULTIPLY = random_words(COORDINATES, 3) | np.uint64(1)
 _FLIP = random_words(COORDINATES, 4)
-SIGNED = "doc_id long, n_shingles long, node binary, signature array<long>"
+SIGNED = "doc_id long, digest string, n_shingles long, node binary, signature array<long>"
 
 
 def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        ids, texts = batch.column(0), batch.column(1)
+        ids, digests, texts = batch.columns
         for begin, end in slices(texts):
             part = texts.slice(begin, end - begin)
             nodes = _nodes(*words(part))
@@ -54,8 +58,8 @@ def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             sizes[1:][full] = COORDINATES
             signatures = pa.ListArray.from_arrays(np.cumsum(sizes, dtype=np.int32), pa.array(minima.T.reshape(-1).view(np.int64)))
             yield pa.RecordBatch.from_arrays(
-                [ids.slice(begin, end - begin), pa.array(counts, pa.int64()), pa.array(nodes, pa.binary()), signatures],
-                ["doc_id", "n_shingles", "node", "signature"],
+                [ids.slice(begin, end - begin), digests.slice(begin, end - begin), pa.array(counts, pa.int64()), pa.array(nodes, pa.binary()), signatures],
+                ["doc_id", "digest", "n_shingles", "node", "signature"],
             )
 
 
@@ -68,8 +72,13 @@ def _with_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for begin, end in slices(batch.column(0)):
             part = batch.column(0).slice(begin, end - begin)
-            sets = [x.tobytes() for x in shingle_sets(part)]
-            yield pa.RecordBatch.from_arrays([pa.array(_nodes(*words(part)), pa.binary()), pa.array(sets, pa.binary())], ["node", "shingles"])
+            sets = shingle_sets(part)
+            bits = [np.packbits(np.bincount((x & np.uint64(BITS - 1)).astype(np.int64), minlength=BITS) & 1).view(np.int64) for x in sets]
+            columns = [
+                pa.array(_nodes(*words(part)), pa.binary()), pa.array([x.tobytes() for x in sets], pa.binary()),
+                pa.array([len(x) for x in sets], pa.int64()), pa.array(bits, pa.list_(pa.int64())),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, ["node", "shingles", "n", "bits"])
 
 
 def _confirmed(per_cent: int):
@@ -90,13 +99,22 @@ def _collisions(one: str, other: str):
     return F.aggregate(F.zip_with(one, other, lambda x, y: (x == y).cast("int")), F.lit(0), lambda n, x: n + x)
 
 
+def _may_be_similar(one: str, other: str, per_cent: int):
+    """False only if the sets are surely too different, by size or by bitmap. Both arguments name structs."""
+    n, m = F.col(f"{one}.n"), F.col(f"{other}.n")
+    apart = F.bit_count(F.get(f"{one}.bits", F.lit(0)).bitwiseXOR(F.get(f"{other}.bits", F.lit(0))))
+    for i in range(1, BITS // 64):
+        apart = apart + F.bit_count(F.get(f"{one}.bits", F.lit(i)).bitwiseXOR(F.get(f"{other}.bits", F.lit(i))))
+    return (F.least(n, m) * 100 >= F.greatest(n, m) * per_cent) & (apart * (100 + per_cent) <= (n + m) * (100 - per_cent))
+
+
 def near_duplicates(docs: DataFrame, per_cent: int = 75) -> DataFrame:
-    """One row per document: ``doc_id, n_shingles, node, component_id, kept``.
+    """One row per document: ``doc_id, n_shingles, digest, node, component_id, component, kept``.
 
     ``component_id`` is the smallest id reachable over links; ``kept`` marks the document with that id. ``node`` is
-    equal for documents with equal words.
+    equal for documents with equal words, ``component`` is the node that names the component, ``digest`` the text's MD5.
     """
-    signed = materialize(docs.select("doc_id", "text").mapInArrow(_signed, SIGNED), "signatures")
+    signed = materialize(docs.select("doc_id", F.md5("text").alias("digest"), "text").mapInArrow(_signed, SIGNED), "signatures")
     at_least_one = signed.where("n_shingles > 0")
     last = F.lit((1 << 63) - 1)
     classes = materialize(
@@ -134,27 +152,29 @@ def near_duplicates(docs: DataFrame, per_cent: int = 75) -> DataFrame:
             break
         tested = pairs if tested is None else tested.unionByName(pairs)
         labels = merge_labels(labels, _links(pairs, nodes, sets, per_cent))
-    labels = merge_labels(labels, _links(_open_pairs(posted, postings, labels, tested), nodes, sets, per_cent))
-    found = labels.select("node", F.col("label.least").alias("found"))
-    known = signed.select("doc_id", "n_shingles", "node").join(classes.select("node", "least"), "node", "left").join(found, "node", "left")
-    component = F.when(F.col("n_shingles") > 0, F.nullif(F.coalesce("found", "least"), last)).otherwise(F.col("doc_id"))
-    return known.select("doc_id", "n_shingles", "node", component.alias("component_id")).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    labels = merge_labels(labels, _links(_open_pairs(posted, postings, labels, sets, tested, per_cent), nodes, sets, per_cent))
+    found = labels.select("node", F.col("label.least").alias("found"), F.col("label.node").alias("component"))
+    known = signed.drop("signature").join(classes.select("node", "least"), "node", "left").join(found, "node", "left")
+    smallest = F.when(F.col("n_shingles") > 0, F.nullif(F.coalesce("found", "least"), last)).otherwise(F.col("doc_id"))
+    result = known.select("doc_id", "n_shingles", "digest", "node", smallest.alias("component_id"), F.coalesce("component", "node").alias("component"))
+    return result.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
 def _sets(docs: DataFrame, nodes: DataFrame, last) -> DataFrame:
     """Full shingle sets of the nodes that have postings, from the text of their smallest id."""
     wanted = nodes.select(F.col("label.least").alias("id")).distinct()
     texts = docs.select(F.coalesce("doc_id", last).alias("id"), "text").join(wanted, "id").dropDuplicates(["id", "text"])
-    return materialize(texts.select("text").mapInArrow(_with_sets, "node binary, shingles binary"), "shingle-sets")
+    return materialize(texts.select("text").mapInArrow(_with_sets, "node binary, shingles binary, n long, bits array<long>"), "shingle-sets")
 
 
 def _links(pairs: DataFrame, nodes: DataFrame, sets: DataFrame, per_cent: int) -> DataFrame:
     """The candidates with enough collisions whose full sets are similar."""
-    signature = nodes.select("node", "signature")
+    facts = nodes.select("node", "signature").join(sets.select("node", F.struct("n", "bits").alias("seen")), "node")
+    side = lambda name: facts.select(F.col("node").alias(name), F.col("signature").alias(f"s{name}"), F.col("seen").alias(f"f{name}"))
     near = (
-        pairs.join(signature.select(F.col("node").alias("a"), F.col("signature").alias("sa")), "a")
-        .join(signature.select(F.col("node").alias("b"), F.col("signature").alias("sb")), "b")
-        .where(_collisions("sa", "sb") >= MATCHES)
+        pairs.join(side("a"), "a")
+        .join(side("b"), "b")
+        .where(_may_be_similar("fa", "fb", per_cent) & (_collisions("sa", "sb") >= MATCHES))
         .select("a", "b")
     )
     left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("left"))
@@ -163,13 +183,34 @@ def _links(pairs: DataFrame, nodes: DataFrame, sets: DataFrame, per_cent: int) -
     return materialize(both.mapInArrow(_confirmed(per_cent), "a binary, b binary"), "links")
 
 
-def _open_pairs(posted: DataFrame, postings: DataFrame, labels: DataFrame, tested: DataFrame | None) -> DataFrame:
+def _open_pairs(posted: DataFrame, postings: DataFrame, labels: DataFrame, sets: DataFrame, tested: DataFrame | None, per_cent: int) -> DataFrame:
     """All pairs across labels in the lists that still have more than one label, each at its first common token."""
-    current = postings.join(labels, "node").join(posted.select("node", F.array_sort("prefix.token").alias("tokens")), "node")
+    current = postings.select("node", "token").join(labels, "node")
     open_lists = current.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("token")
-    rest = materialize(current.join(open_lists, "token").select("token", "node", "label", "tokens"), "open-lists")
+    facts = posted.select("node", F.array_sort("prefix.token").alias("tokens")).join(sets.select("node", F.struct("n", "bits").alias("seen")), "node")
+    rest = current.join(open_lists, "token").join(facts, "node").select("token", "node", F.col("label.node").alias("label"), "tokens", "seen")
     one, other = rest.alias("x"), rest.alias("y")
+    across = (F.col("x.token") == F.col("y.token")) & (F.col("x.node") < F.col("y.node")) & (F.col("x.label") != F.col("y.label"))
     once = F.array_min(F.array_intersect("x.tokens", "y.tokens")) == F.col("x.token")
-    cross = one.join(other, (F.col("x.token") == F.col("y.token")) & (F.col("x.node") < F.col("y.node")) & (F.col("x.label") != F.col("y.label")) & once)
+    cross = one.join(other, across & _may_be_similar("x.seen", "y.seen", per_cent) & once)
     pairs = cross.select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
     return materialize(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"), "open-pairs")
+
+
+def without_near_duplicates(docs: DataFrame, per_cent: int = 75) -> DataFrame:
+    """One document of each component with all its columns: that with the smallest id, of repeated rows one.
+
+    Documents without words are linked with nothing and all stay.
+    """
+    decided = near_duplicates(docs, per_cent).where(F.col("kept") & (F.col("n_shingles") > 0) & (F.col("node") == F.col("component")))
+    chosen = decided.groupBy("doc_id", "node", "digest").agg(F.count("*").alias("rows")).groupBy("doc_id", "node").agg(F.min(F.struct("digest", "rows")).alias("first"))
+    chosen = materialize(chosen.select(F.col("doc_id").alias("chosen_id"), F.col("first.digest").alias("chosen"), "first.rows"), "chosen")
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    blank = F.coalesce(~F.col("text").rlike(WORD), F.lit(True)).alias("blank")
+    rows = docs.select("doc_id", F.md5("text").alias("digest"), blank, row)
+    own = F.col("doc_id").eqNullSafe(F.col("chosen_id")) & (F.col("digest") == F.col("chosen"))
+    kept = rows.join(chosen, own, "left").where(F.col("blank") | F.col("chosen").isNotNull())
+    if not chosen.where("rows > 1").isEmpty():
+        nth = F.row_number().over(Window.partitionBy("doc_id", "digest").orderBy(F.lit(1)))
+        kept = kept.withColumn("nth", F.when(F.col("rows") > 1, nth).otherwise(1)).where("nth = 1")
+    return kept.select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns])
