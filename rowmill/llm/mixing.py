@@ -1,7 +1,7 @@
 """Mix sources to target weights: Sainte-Laguë quotas of equal blocks, then seeded selection of blocks.
 
 Every source gets a target number of words. Documents are dealt to shards, each shard is one stream of words cut
-into blocks of ``block_words``. Seats (blocks) go to sources, and within a source to its shards, by the highest
+into equal blocks of about ``block_words``. Seats (blocks) go to sources, and within a source to its shards, by the highest
 quotients ``target / 1, 3, 5, ...``; a shard then takes whole passes over its blocks plus the blocks with the
 smallest seeded hashes.
 
@@ -39,7 +39,7 @@ def source_targets(sizes: DataFrame, weights: Sequence[int] = (5, 2, 1), share:
 
     Targets are in proportion to the weights, but at most ``most`` times the source's words; what is cut is dealt
     to the others by weight. In the order of words per weight the cut sources come first, so the level all others
-    reach follows from running sums.
+    reach follows from running sums; from the first one that is not cut, the running level only falls.
     """
     every = Window.orderBy(F.col("source").asc_nulls_last())
     cycle = F.array(*[F.lit(int(w)) for w in weights])
@@ -57,7 +57,7 @@ def source_targets(sizes: DataFrame, weights: Sequence[int] = (5, 2, 1), share:
     level = (F.sum("source_size").over(whole) * share - F.coalesce(F.sum("source_size").over(up_to), F.lit(0)) * most) / F.sum("weight").over(rest)
     return (
         ranked.withColumn("level", level)
-        .withColumn("reached", F.min(F.when(cap >= F.col("weight") * F.col("level"), F.col("level"))).over(whole))
+        .withColumn("reached", F.max(F.when(cap >= F.col("weight") * F.col("level"), F.col("level"))).over(whole))
         .withColumn("target", F.least(cap, F.coalesce(F.col("weight") * F.col("reached"), cap)))
         .select("source", "place", "source_size", "source_docs", "target")
     )
@@ -84,8 +84,8 @@ def apportion(claims: DataFrame, group: Sequence[str], tie: Sequence[str], claim
     key = [*dict.fromkeys([*group, *tie])]
     won = (
         bounded.where(F.col("most") > F.col("sure"))
-        .select(*key, claim, "open", F.explode(F.sequence(F.col("sure"), F.col("most") - 1)).alias("k"))
-        .withColumn("quotient", F.col(claim) / (F.col("k") * 2 + 1))
+        .select(*key, claim, "open", F.explode(F.sequence(F.col("sure"), F.col("most") - 1)).alias("_seat"))
+        .withColumn("quotient", F.col(claim) / (F.col("_seat") * 2 + 1))
         .withColumn("nth", F.row_number().over(best))
         .where((F.col("nth") <= F.col("open")) & (F.col("quotient") > 0))
         .groupBy(*key)
@@ -131,10 +131,10 @@ def mix(
     shard_sizes = dealt.groupBy("place", "shard", F.col("quota").alias("seats")).agg(F.sum("size").alias("words"))
     shards = materialize(
         apportion(shard_sizes, ["place"], ["shard"], "words", "seats")
-        .withColumn("blocks", F.ceil(F.col("words") / block_words).cast("long"))
-        .where(F.col("blocks") > 0)
+        .where(F.col("words") > 0)
+        .withColumn("blocks", F.greatest(F.round(F.col("words") / block_words), F.lit(1)).cast("long"))
         .withColumn("quota", F.least("quota", F.col("blocks") * most))
-        .select("place", "shard", "blocks", "quota"),
+        .select("place", "shard", "words", "blocks", "quota"),
         "mix-shards",
     )
     draw = Window.partitionBy("place", "shard").orderBy(_seeded(seed, F.col("place"), F.col("shard"), F.col("block")), "block")
@@ -151,11 +151,17 @@ def mix(
         .withColumn("begin", F.col("end") - F.col("size"))
         .withColumn("spot", F.when(F.col("size") > 0, F.col("end")))  # unique in the shard
     )
-    first, last = F.greatest("begin", F.col("block") * block_words), F.least("end", (F.col("block") + 1) * block_words)
-    pieces = placed.where("size > 0").select(
-        "place", "shard", "begin", "end",
-        F.explode(F.sequence(F.floor(F.col("begin") / block_words), F.floor((F.col("end") - 1) / block_words))).alias("block"),
-    )
+    # Block b of a shard holds the words from floor(b * words / blocks) on: all blocks are equal but for one word.
+    edge = lambda b: F.floor(b * F.col("words") / F.col("blocks"))
+    block_of = lambda word: F.floor(((word + 1) * F.col("blocks") - 1) / F.col("words"))
+    first, last = F.greatest("begin", "block_begin"), F.least("end", "block_end")
+    pieces = (
+        placed.where("size > 0")
+        .select("place", "shard", "begin", "end")
+        .join(shards.select("place", "shard", "words", "blocks").hint("merge"), ["place", "shard"])
+        .withColumn("block", F.explode(F.sequence(block_of(F.col("begin")), block_of(F.col("end") - 1))))
+        .select("place", "shard", "begin", "end", "block", edge(F.col("block")).alias("block_begin"), edge(F.col("block") + 1).alias("block_end"))
+    )
     taken = (
         pieces.join(blocks.hint("merge"), ["place", "shard", "block"])  # sizes of exploded rows are underestimated
         .groupBy("place", "shard", F.col("end").alias("spot"))

@@ -23,7 +23,7 @@ WITH sized AS (
     / sum(weight) OVER (ORDER BY source_size / weight, place ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
   FROM weighted
 ), reached AS (
-  SELECT *, min(CASE WHEN 2.0::DOUBLE * source_size >= weight * level THEN level END) OVER () AS reach FROM levels
+  SELECT *, max(CASE WHEN 2.0::DOUBLE * source_size >= weight * level THEN level END) OVER () AS reach FROM levels
 ), targets AS (
   SELECT source, place, source_size, source_docs,
     least(2.0::DOUBLE * source_size, coalesce(weight * reach, 2.0::DOUBLE * source_size)) AS target FROM reached
@@ -50,8 +50,8 @@ source_quotients AS (
   FROM (SELECT *, row_number() OVER (PARTITION BY place ORDER BY quotient DESC, shard) AS nth FROM shard_quotients) q
   JOIN source_quota s ON q.place = s.place WHERE nth <= seats AND quotient > 0 GROUP BY q.place, shard
 ), shards AS (
-  SELECT place, shard, ceil(words / {BLOCK_WORDS}::DOUBLE)::BIGINT AS blocks,
-    least(quota, 2 * ceil(words / {BLOCK_WORDS}::DOUBLE)::BIGINT) AS quota FROM shard_quota
+  SELECT place, shard, words, greatest(round(words / {BLOCK_WORDS}::DOUBLE)::BIGINT, 1) AS blocks,
+    least(quota, 2 * greatest(round(words / {BLOCK_WORDS}::DOUBLE)::BIGINT, 1)) AS quota FROM shard_quota
 ), blocks AS (
   SELECT *, quota // blocks + CASE WHEN row_number() OVER (PARTITION BY place, shard
       ORDER BY md5(concat_ws('|', '{SEED}', place, shard, block)), block) <= quota % blocks THEN 1 ELSE 0 END AS times
@@ -60,11 +60,12 @@ source_quotients AS (
   SELECT *, (sum(size) OVER (PARTITION BY place, shard ORDER BY drawn, doc_id, size, digest
     ROWS UNBOUNDED PRECEDING))::BIGINT AS e, row_number() OVER () AS id FROM dealt
 ), pieces AS (
-  SELECT id, place, shard, e, e - size AS b,
-    unnest(range((e - size) // {BLOCK_WORDS}, (e - 1) // {BLOCK_WORDS} + 1)) AS block FROM placed WHERE size > 0
+  SELECT id, p.place, p.shard, e, e - size AS b, words, blocks,
+    unnest(range(((e - size + 1) * blocks - 1) // words, (e * blocks - 1) // words + 1)) AS block
+  FROM placed p JOIN shards s ON p.place = s.place AND p.shard = s.shard WHERE size > 0
 ), taken AS (
-  SELECT id, sum((least(e, (p.block + 1) * {BLOCK_WORDS}) - greatest(b, p.block * {BLOCK_WORDS})) * times)::BIGINT AS taken
-  FROM pieces p JOIN blocks USING (place, shard, block) GROUP BY id
+  SELECT id, sum((least(e, (p.block + 1) * p.words // p.blocks) - greatest(b, p.block * p.words // p.blocks)) * times)::BIGINT AS taken
+  FROM pieces p JOIN blocks k ON p.place = k.place AND p.shard = k.shard AND p.block = k.block GROUP BY id
 )
 SELECT doc_id, size, source_size, target, coalesce(taken, 0)::BIGINT AS taken FROM placed LEFT JOIN taken USING (id)
 """
