@@ -1,4 +1,4 @@
 """All queries of this subpackage, by name."""
 
-from rowmill.llm import decontaminate_queries, fingerprint_queries, mixing_queries, near_queries, repeat_queries, token_queries, toxicity_queries  # noqa: F401
+from rowmill.llm import decontaminate_queries, fingerprint_queries, mixing_queries, near_queries, repeat_queries, token_queries, toxicity_queries, warc_queries  # noqa: F401
 from rowmill.llm.tables import ORACLES, QUERIES  # noqa: F401
