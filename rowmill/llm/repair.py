@@ -194,7 +194,7 @@ def decode_range(row: dict, begin: int, end: int) -> np.ndarray:
     """Ids ``begin`` to ``end`` (without it) of a shard, expanding only the symbols that cover them."""
     left, right, lengths, symbols = _arrays(row)
     ids_of = np.where(symbols >= row["base"], lengths[np.maximum(symbols.astype(np.int64) - row["base"], 0)] if len(lengths) else 1, 1)
-    at = np.concatenate([[0], np.cumsum(ids_of)])
+    at = np.concatenate([[0], np.cumsum(ids_of, dtype=np.int64)])
     first = int(np.searchsorted(at, begin, "right")) - 1
     last = int(np.searchsorted(at, end, "left"))
     return expand(symbols[first:last], left, right, row["base"], row["rounds"])[begin - at[first] : end - at[first]]

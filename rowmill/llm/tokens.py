@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import os
 import re
+from array import array
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -23,6 +24,7 @@ from rowmill.llm.shingles import slices
 CACHED_PIECES = 1_500_000
 SLICE_BYTES = 4 << 20
 _OPEN_SPACE = re.compile(r" \s|\s |^ | $")
+_SPACE = re.compile(r"\s")
 _SAFE_SPACE = re.compile(r"(?<=\S)(?= \S)")
 
 
@@ -52,12 +54,41 @@ class PieceCache:
         if len(self.known) > CACHED_PIECES:
             self.known = {}
         missing = list(pieces.difference(self.known))
-        for begin in range(0, len(missing), 10_000):
-            part = missing[begin : begin + 10_000]
-            encoded = self.tokenizer.encode_batch_fast([self.before + p for p in part], add_special_tokens=False)
-            self.known.update(zip(part, map(self.value, encoded)))
+        for begin in range(0, len(missing), 2_000):
+            part = missing[begin : begin + 2_000]
+            self.known.update(zip(part, self.encoded(part)))
         return self.known.__getitem__
 
+    def encoded(self, pieces: list[str]) -> Iterator:
+        return map(self.value, self.tokenizer.encode_batch_fast([self.before + p for p in pieces], add_special_tokens=False))
+
+
+class LineCache(PieceCache):
+    """Ids of pieces that follow a space, as bytes. Pieces are encoded as lines of one text, which costs less than one by one.
+
+    A line break between two pieces is a token of its own: white space before a space is never joined with what
+    lies around it. Pieces with white space inside are encoded singly.
+    """
+
+    def __init__(self, tokenizer):
+        super().__init__(tokenizer, " ", lambda e: array("I", e.ids).tobytes())
+        self.line_break = tokenizer.encode("\n", add_special_tokens=False).ids
+
+    def encoded(self, pieces: list[str]) -> Iterator:
+        if len(pieces) < 2 or len(self.line_break) != 1 or any(_SPACE.search(p) or not p for p in pieces):
+            odd = [p for p in pieces if _SPACE.search(p) or not p]
+            plain = [p for p in pieces if not (_SPACE.search(p) or not p)]
+            if not odd or not plain:
+                return super().encoded(pieces)
+            known = dict(zip(odd, super().encoded(odd))) | dict(zip(plain, self.encoded(plain)))
+            return map(known.__getitem__, pieces)
+        ids = np.array(self.tokenizer.encode(" " + "\n ".join(pieces), add_special_tokens=False).ids, "<u4")
+        breaks = np.flatnonzero(ids == self.line_break[0]) * 4
+        if len(breaks) != len(pieces) - 1:
+            return super().encoded(pieces)
+        raw = ids.tobytes()
+        return (raw[a:b] for a, b in zip([0, *(breaks + 4).tolist()], [*breaks.tolist(), len(raw)]))
+
 
 class IdEncoder:
     """Ids of a text as little-endian 32-bit integers, for byte-level tokenizers that put a space before its word.
@@ -67,8 +98,7 @@ class IdEncoder:
 
     def __init__(self, path: str):
         tokenizer = load_tokenizer(path)
-        as_bytes = lambda e: np.array(e.ids, "<u4").tobytes()
-        self.first, self.later = PieceCache(tokenizer, "", as_bytes), PieceCache(tokenizer, " ", as_bytes)
+        self.first, self.later = PieceCache(tokenizer, "", lambda e: array("I", e.ids).tobytes()), LineCache(tokenizer)
 
     @staticmethod
     def pieces(text: str) -> list[str]:
