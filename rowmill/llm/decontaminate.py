@@ -1,8 +1,8 @@
 """Passages of a benchmark in documents, found by spaced seeds and verified word by word.
 
-Every window of ``SPAN`` words is hashed under fixed masks; mask m ignores the places m, m + 4, m + 8. The masks'
-ignored places cover the window, so a window with one substituted word (or with several under one mask) still meets
-its source. Hashes of documents and benchmark are joined; each hit lines a document up with an item, the words under
+Every window of ``SPAN`` words is hashed under fixed masks. A mask ignores two of the four residues of the places mod
+4, six places in all; the six masks are all such choices. Any two substituted words of a window (and up to six under
+one mask) are ignored by some mask, so the window still meets its source. Hashes of documents and benchmark are joined; each hit lines a document up with an item, the words under
 the whole window are compared there, and equal places are united along the line. An overlap counts with at least
 ``LEAST_EQUAL`` equal words. An item shorter than the window is one seed, all of its words, from ``SHORTEST`` words on;
 still shorter items name no passage and are left out.
@@ -17,11 +17,13 @@ text separately (their hits are told apart by ``digest``); empty tables give an
 
 from __future__ import annotations
 
+from itertools import combinations
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SPAN = 12
-MASKS = 4
+MASKS = tuple(combinations(range(4), 2))  # ignored residues of the place
 LEAST_EQUAL = 10
 SHORTEST = 5
 CHUNK_WORDS = 4096
@@ -53,9 +55,9 @@ def _seeds(lengths: list[int]) -> Column:
     spaced = [
         F.struct(
             F.lit(m).alias("seed"),
-            F.when(F.col(f"w{SPAN - 1}").isNotNull(), F.xxhash64(F.lit(m), *[F.col(f"w{j}") for j in range(SPAN) if j % MASKS != m])).alias("hash"),
+            F.when(F.col(f"w{SPAN - 1}").isNotNull(), F.xxhash64(F.lit(m), *[F.col(f"w{j}") for j in range(SPAN) if j % 4 not in ignored])).alias("hash"),
         )
-        for m in range(MASKS)
+        for m, ignored in enumerate(MASKS)
     ]
     whole = [
         F.struct(F.lit(SPAN + n).alias("seed"), F.when(F.col(f"w{n - 1}").isNotNull(), F.xxhash64(F.lit(SPAN + n), *[F.col(f"w{j}") for j in range(n)])).alias("hash"))
@@ -73,11 +75,11 @@ def passages(docs: DataFrame, benchmark: DataFrame, least_equal: int = LEAST_EQU
     items = benchmark.select("item_id", word_hashes(F.col("text")).alias("hashes")).withColumn("item_words", F.size("hashes"))
     usable = items.where(F.col("item_words") >= SHORTEST)
     facts = usable.agg(
-        F.sum(F.greatest(F.lit(1), (F.col("item_words") - SPAN + 1) * MASKS)).alias("seeds"),
+        F.sum(F.greatest(F.lit(1), (F.col("item_words") - SPAN + 1) * len(MASKS))).alias("seeds"),
         F.collect_set(F.when(F.col("item_words") < SPAN, F.col("item_words"))).alias("short"),
     ).first()
     lengths = sorted(facts["short"] or [])
-    own = F.when(F.col("item_words") >= SPAN, F.col("s.seed") < MASKS).otherwise((F.col("s.seed") == F.col("item_words") + SPAN) & (F.col("place") == 0))
+    own = F.when(F.col("item_words") >= SPAN, F.col("s.seed") < len(MASKS)).otherwise((F.col("s.seed") == F.col("item_words") + SPAN) & (F.col("place") == 0))
     wanted = (
         _windows(usable)
         .select("item_id", "item_words", F.col("place").alias("item_place"), "place", F.array(*[f"w{j}" for j in range(SPAN)]).alias("item_window"), F.explode(_seeds(lengths)).alias("s"))

@@ -7,23 +7,23 @@ from pyspark.sql import DataFrame, SparkSession
 from rowmill.llm.decontaminate import BETWEEN_WORDS, LEAST_EQUAL, MASKS, SHORTEST, SPAN, passages
 from rowmill.llm.tables import query, table
 
-_MASKED = " || ' ' || ".join(f"CASE WHEN {j} % {MASKS} = m THEN '' ELSE w[p + {j}] END" for j in range(SPAN))
+_MASKED = " || ' ' || ".join(f"CASE WHEN {j % 4} IN (one, other) THEN '' ELSE w[p + {j}] END" for j in range(SPAN))
 PASSAGES_SQL = f"""
 WITH doc_words AS (
   SELECT doc_id, md5(text) AS digest,
     list_filter(regexp_split_to_array(lower(text), '{BETWEEN_WORDS}'), lambda x: x <> '') AS w FROM documents
 ), item_words AS (
   SELECT item_id, list_filter(regexp_split_to_array(lower(text), '{BETWEEN_WORDS}'), lambda x: x <> '') AS w FROM benchmark
-), masks AS (SELECT unnest(range(0, {MASKS})) AS m),
+), masks AS (SELECT * FROM (VALUES {', '.join(map(str, MASKS))}) AS v(one, other)),
 doc_seeds AS (
-  SELECT doc_id, digest, p, m, {_MASKED} AS masked
+  SELECT doc_id, digest, p, one, other, {_MASKED} AS masked
   FROM (SELECT *, unnest(range(1, len(w) - {SPAN} + 2)) AS p FROM doc_words), masks
 ), item_seeds AS (
-  SELECT item_id, p, m, {_MASKED} AS masked
+  SELECT item_id, p, one, other, {_MASKED} AS masked
   FROM (SELECT *, unnest(range(1, len(w) - {SPAN} + 2)) AS p FROM item_words), masks
 ), long_hits AS (
   SELECT DISTINCT d.doc_id, d.digest, i.item_id, d.p AS p, i.p AS q, {SPAN} AS n
-  FROM doc_seeds d JOIN item_seeds i ON d.m = i.m AND d.masked = i.masked
+  FROM doc_seeds d JOIN item_seeds i ON d.one = i.one AND d.other = i.other AND d.masked = i.masked
 ), short_items AS (
   SELECT item_id, w, len(w) AS n FROM item_words WHERE len(w) >= {SHORTEST} AND len(w) < {SPAN}
 ), short_hits AS (

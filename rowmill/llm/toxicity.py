@@ -92,10 +92,10 @@ class ToxicityModel:
 
 def measure(matcher: ahocorasick.Automaton | None, text: str | None) -> tuple[float, int, int]:
     """Summed weight of the lexicon words outside exception phrases, their number, and the number of words."""
-    folded = f" {' '.join(fold(text).split())} "
-    words = folded.count(" ") - 1
-    if matcher is None:
-        return 0.0, 0, max(words, 0)
+    words = fold(text).split()
+    if matcher is None or not words:
+        return 0.0, 0, len(words)
+    folded = f" {' '.join(words)} "
     best: dict[int, float] = {}
     excused: list[tuple[int, int]] = []
     for end, (length, weight) in matcher.iter(folded):
@@ -106,7 +106,7 @@ def measure(matcher: ahocorasick.Automaton | None, text: str | None) -> tuple[fl
             excused.append((start, end))
     if excused:
         best = {s: w for s, w in best.items() if not any(a <= s < b for a, b in excused)}
-    return sum(best.values()), len(best), max(words, 0)
+    return float(sum(best.values())), len(best), len(words)
 
 
 def _features(weight: np.ndarray, hits: np.ndarray, words: np.ndarray) -> np.ndarray:
