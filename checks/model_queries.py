@@ -27,9 +27,9 @@ from rowmill.operators.linear import (
     coefficient_table,
     cv_summary,
     predict,
-    product_sums,
     train_linear,
 )
+from rowmill.operators.moments import grouped_products
 from rowmill.operators.split import with_fold
 from rowmill.operators.summary import value_summary
 from rowmill.plans import resume_values as v
@@ -68,8 +68,13 @@ def _gram_sql() -> str:
 def gram_by_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
     folded = with_fold(item_rows(spark, sf_dir), "row_key")
     z = [F.col("l_quantity"), F.col("l_discount") * 100, F.col("l_tax") * 100]
-    sums = product_sums(folded, z, ["fold"])
-    return rounded(sums, 2, *[c for c in sums.columns if c not in ("fold", "n")])
+    pairs = [(i, j) for i in range(len(z)) for j in range(i, len(z))]
+    rows = [
+        (fold, int(m[0, 0]), *[round(float(m[0, i + 1]), 2) for i in range(len(z))], *[round(float(m[i + 1, j + 1]), 2) for i, j in pairs])
+        for fold, m in grouped_products(folded, z, F.col("fold")).items()
+    ]
+    names = [*[f"s_{i} double" for i in range(len(z))], *[f"p_{i}_{j} double" for i, j in pairs]]
+    return spark.createDataFrame(rows, f"fold int, n long, {', '.join(names)}")
 
 
 def _cv_rows(spark: SparkSession, fit: LinearFit) -> DataFrame:

@@ -9,12 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rowmill.operators.columns import numeric_columns
-from rowmill.operators.moments import pair_sums, pair_sums_with
+from rowmill.operators.moments import correlations_with, pair_moments
 
 
 def correlation_array(df: DataFrame, columns: Sequence[str]) -> np.ndarray:
     """k×k Pearson matrix, each pair over the rows where both are present; NaN for constants."""
-    return pair_sums(df, columns).correlations()
+    return pair_moments(df, columns).correlations()
 
 
 def correlation_table(spark: SparkSession, columns: Sequence[str], matrix: np.ndarray) -> DataFrame:
@@ -63,7 +63,7 @@ def fit_collinear(df: DataFrame, threshold: float = 0.9, exclude: Iterable[str]
 
 def target_correlations(df: DataFrame, features: Sequence[str], target: str) -> DataFrame:
     """``(position, feature, correlation, abs_correlation)`` for every feature that varies, in one pass."""
-    found = [float(sums.correlations()[0, 1]) for sums in pair_sums_with(df, features, target)]
+    found = correlations_with(df, features, target)
     rows = [(i, name, r) for i, (name, r) in enumerate(zip(features, found)) if not np.isnan(r)]
     listed = df.sparkSession.createDataFrame(rows, "position int, feature string, correlation double")
     return listed.withColumn("abs_correlation", F.abs("correlation"))

@@ -32,18 +32,6 @@ PATH_RATIO = 1e-3
 L1_SHARE = {"ridge": 0.0, "lasso": 1.0, "elasticnet": 0.5}
 
 
-def product_sums(df: DataFrame, columns: Sequence[Column], by: Sequence[str]) -> DataFrame:
-    """Rows, sums ``s_i`` and products ``p_i_j`` (i ≤ j) per group, as one aggregate."""
-    z = df.select(*by, *[c.cast("double").alias(f"z{i}") for i, c in enumerate(columns)])
-    k = len(columns)
-    measures = [F.count(F.lit(1)).alias("n")]
-    measures += [F.sum(f"z{i}").alias(f"s_{i}") for i in range(k)]
-    measures += [
-        F.sum(F.col(f"z{i}") * F.col(f"z{j}")).alias(f"p_{i}_{j}") for i in range(k) for j in range(i, k)
-    ]
-    return z.groupBy(*by).agg(*measures)
-
-
 @dataclass(frozen=True)
 class Sums:
     """Row count, sums and product sums of the features with the target as last column."""

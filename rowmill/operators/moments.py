@@ -1,10 +1,9 @@
-"""Sums of values, squares and products: the one pass over the rows behind scalings, correlations and
-linear regressions.
+"""Counts, means, squares and products about the mean: the one pass behind scalings, correlations and regressions.
 
-A few columns are summed by a generated aggregate. With more, the number of sums outgrows what a JVM
-method can hold and compile well, so each task multiplies Arrow batches as matrices and emits one small
-partial result, and Spark adds those up by key. Values are first shifted by a provisional centre, which
-keeps the sums well conditioned and does not change what is computed from them.
+Each task turns its Arrow batches into one small state; states are merged by the parallel update formula (Chan,
+Golub and LeVeque): first by several tasks, each for a share of the states, then on the driver for ``MERGERS`` of them.
+Means are kept instead of sums, so large offsets cost no digits, a constant column has a spread of exactly zero, and
+the result does not depend on the number of columns or the order of rows.
 """
 
 from __future__ import annotations
@@ -15,218 +14,164 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 
 from rowmill.functions.text import named
+from rowmill.session import ship_package
 
-FEW_COLUMNS = 8  # for sums per column
-FEW_PAIRED = 4  # for sums per pair of columns
-CENTRE_ROWS = 1_000
+MERGERS = 16
+States = dict[int, np.ndarray]
 
 
 def _doubles(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.select(*[named(c).cast("double").alias(f"x{i}") for i, c in enumerate(columns)])
 
 
-def _provisional_centre(narrow: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Means and deviations of some first rows; any rows will do."""
-    rows = narrow.limit(CENTRE_ROWS).toPandas().to_numpy(dtype="float64", na_value=np.nan)
-    rows = np.where(np.isfinite(rows), rows, np.nan)
-    present = np.maximum((~np.isnan(rows)).sum(axis=0), 1)
-    centre = np.nansum(rows, axis=0) / present
-    spread = np.sqrt(np.nansum((rows - centre) ** 2, axis=0) / present)
-    return centre, np.where(spread > 0, spread, 1.0)
+def _merged(states: Iterator[tuple[int, np.ndarray]], merge: Callable) -> States:
+    total: States = {}
+    for key, state in states:
+        total[key] = merge(total[key], state) if key in total else state
+    return total
 
 
-def sum_over_tasks(df: DataFrame, width: int, partial: Callable[[Iterator[np.ndarray]], dict[int, np.ndarray]]) -> dict[int, np.ndarray]:
-    """Add up the rows of ``width`` numbers that ``partial`` returns per task, by their integer key.
+def over_tasks(df: DataFrame, height: int, partial: Callable[[np.ndarray], States], merge: Callable) -> States:
+    """Merge the states that ``partial`` finds per batch, by their integer key. A state is an array with ``height`` rows."""
 
-    What runs in the tasks uses nothing but NumPy and Arrow, so executors need not have this package.
-    """
+    def batch_of(total):
+        values = pa.array([state.ravel() for state in total.values()], pa.list_(pa.float64()))
+        return pa.RecordBatch.from_arrays([pa.array(list(total), pa.int64()), values], ["key", "state"])
+
+    def states_of(batches):
+        for b in batches:
+            for key, state in zip(b.column(0).to_pylist(), b.column(1)):
+                yield key, state.values.to_numpy().reshape(height, -1)
 
-    def run(batches):
+    def first(batches):
         matrices = (np.column_stack([c.to_numpy(zero_copy_only=False) for c in b.columns]) for b in batches if b.num_rows)
-        rows = partial(matrices)
-        values = pa.array([row.ravel() for row in rows.values()], pa.list_(pa.float64()))
-        yield pa.RecordBatch.from_arrays([pa.array(list(rows), pa.int64()), values], ["key", "sums"])
-
-    parts = df.mapInArrow(run, "key bigint, sums array<double>")
-    summed = (
-        parts.select("key", F.posexplode("sums").alias("at", "value"))
-        .groupBy("key", "at")
-        .agg(F.sum("value").alias("value"))
-        .groupBy("key")
-        .agg(F.array_sort(F.collect_list(F.struct("at", "value"))).alias("sums"))
-    )
-    rows = summed.select("key", F.col("sums.value").alias("sums")).collect()
-    result = {row["key"]: np.array(row["sums"], dtype="float64") for row in rows}
-    assert all(len(sums) == width for sums in result.values())
-    return result
+        yield batch_of(_merged((item for x in matrices for item in partial(x).items()), merge))
+
+    def second(batches):
+        yield batch_of(_merged(states_of(batches), merge))
+
+    ship_package(df.sparkSession)
+    schema = "key bigint, state array<double>"
+    parts = df.mapInArrow(first, schema).repartition(MERGERS).mapInArrow(second, schema)
+    rows = ((row["key"], np.array(row["state"], dtype="float64").reshape(height, -1)) for row in parts.collect())
+    return _merged(rows, merge)
+
+
+# Rows of a pair state: rows with both values, mean and squares of either, products; all about the means.
+N, MEAN_A, MEAN_B, SQUARES_A, SQUARES_B, PRODUCTS = range(6)
+
+
+def merge_pairs(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    n = a[0] + b[0]
+    share = b[0] / np.where(n > 0, n, 1.0)
+    both = a[0] * share
+    da, db = np.where(b[0] > 0, b[1] - a[1], 0.0), np.where(b[0] > 0, b[2] - a[2], 0.0)
+    mean_a, mean_b = np.where(a[0] > 0, a[1] + da * share, b[1]), np.where(a[0] > 0, a[2] + db * share, b[2])
+    da, db = np.where(both > 0, da, 0.0), np.where(both > 0, db, 0.0)
+    return np.stack([n, mean_a, mean_b, a[3] + b[3] + da * da * both, a[4] + b[4] + db * db * both, a[5] + b[5] + da * db * both])
+
+
+def _pair_states(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """State of each column of ``x`` with the same column of ``y``; NaN counts as missing."""
+    both = ~(np.isnan(x) | np.isnan(y))
+    n = both.sum(axis=0).astype("float64")
+    at = both.argmax(axis=0), np.arange(x.shape[1])
+    with np.errstate(invalid="ignore", over="ignore"):
+        # Shifted by a value of the column, so a constant column stays exactly constant.
+        first_x, first_y = np.where(n > 0, x[at], 0.0), np.where(n > 0, y[at], 0.0)
+        zx, zy = np.where(both, x - first_x, 0.0), np.where(both, y - first_y, 0.0)
+        mx, my = zx.sum(axis=0) / np.maximum(n, 1), zy.sum(axis=0) / np.maximum(n, 1)
+        zx, zy = np.where(both, zx - mx, 0.0), np.where(both, zy - my, 0.0)
+        return np.stack([n, first_x + mx, first_y + my, (zx * zx).sum(axis=0), (zy * zy).sum(axis=0), (zx * zy).sum(axis=0)])
 
 
 def column_stats(df: DataFrame, columns: Sequence[str]) -> dict[str, dict[str, float]]:
-    """Row count, values, mean and population deviation per column; NaN counts as missing."""
-    if len(columns) <= FEW_COLUMNS:
-        return _stats_by_expressions(df, columns)
-    narrow = _doubles(df, columns)
-    centre, spread = _provisional_centre(narrow)
-
-    def partial(batches):
-        total = np.zeros((4, len(columns)))
-        for x in batches:
-            present = ~np.isnan(x)
-            z = np.where(present, (x - centre) / spread, 0.0)
-            total += np.stack([np.full(len(columns), len(x)), present.sum(axis=0), z.sum(axis=0), (z * z).sum(axis=0)])
-        return {0: total}
-
-    found = sum_over_tasks(narrow, 4 * len(columns), partial)
-    rows, n, s, q = found[0].reshape(4, -1) if found else np.zeros((4, len(columns)))
-    mean, std = _mean_and_std(n, s, q)
-    return {
-        name: {
-            "rows": int(rows[i]),
-            "n": int(n[i]),
-            "mean": float(centre[i] + spread[i] * mean[i]) if n[i] else None,
-            "std": float(spread[i] * std[i]) if n[i] else None,
-        }
-        for i, name in enumerate(columns)
-    }
-
-
-def _mean_and_std(n, s, q):
-    count = np.maximum(n, 1)
-    mean = s / count
-    variance = q / count - mean**2
-    # what rounding leaves of a constant column is no spread
-    return mean, np.sqrt(np.where(variance > 1e-14 * np.maximum(q / count, 1e-300), variance, 0.0))
-
-
-def _stats_by_expressions(df: DataFrame, columns: Sequence[str]) -> dict[str, dict[str, float]]:
-    measures = []
+    """Row count, values, mean and population deviation per column; NaN counts as missing.
+
+    With an infinite value the mean is infinite or NaN and the deviation NaN.
+    """
+    def partial(x):
+        rows = np.zeros((6, 1))
+        rows[0] = len(x)
+        return {0: _pair_states(x, x), 1: rows}
+
+    found = over_tasks(_doubles(df, columns), 6, partial, merge_pairs)
+    state = found.get(0, np.zeros((6, len(columns))))
+    rows = int(found[1][0, 0]) if 1 in found else 0
+    result = {}
     for i, name in enumerate(columns):
-        x = named(name).cast("double")
-        x = F.when(~F.isnan(x), x)
-        measures += [F.count(x).alias(f"n{i}"), F.avg(x).alias(f"mean{i}"), F.stddev_pop(x).alias(f"std{i}")]
-    row = df.agg(F.count(F.lit(1)).alias("rows"), *measures).first()
-    return {
-        name: {"rows": row["rows"], **{key: row[f"{key}{i}"] for key in ("n", "mean", "std")}}
-        for i, name in enumerate(columns)
-    }
+        n, mean, squares = state[N, i], state[MEAN_A, i], state[SQUARES_A, i]
+        result[name] = {"rows": rows, "n": int(n), "mean": float(mean) if n else None, "std": float(np.sqrt(squares / n)) if n else None}
+    return result
 
 
 @dataclass(frozen=True)
-class PairSums:
-    """Sums over the rows where both columns of a pair are present, on shifted values.
-
-    ``n[i, j]`` rows, ``s[i, j]`` and ``q[i, j]`` sum and squares of column i, ``c[i, j]`` products.
-    """
+class PairMoments:
+    """For pairs of columns, over the rows where both are present: the rows of a pair state, each as a k×k array."""
 
     n: np.ndarray
-    s: np.ndarray
-    q: np.ndarray
-    c: np.ndarray
+    squares: np.ndarray  # of column i in the rows of pair (i, j)
+    products: np.ndarray
 
     def correlations(self) -> np.ndarray:
         """Pearson matrix with pairwise-complete rows; NaN where a column does not vary."""
-        mean, std = _mean_and_std(self.n, self.s, self.q)
-        spread = np.where(std > 0, std, np.nan)
-        covariance = self.c / np.maximum(self.n, 1) - mean * mean.T
-        return np.clip(covariance / (spread * spread.T), -1.0, 1.0)
-
-
-def pair_sums(df: DataFrame, columns: Sequence[str], few_columns: int = FEW_PAIRED) -> PairSums:
-    """Sums for every pair of columns in one pass; the result is k×k however long the table."""
-    narrow = _doubles(df, columns)
-    centre, spread = _provisional_centre(narrow)
-    return (_pairs_by_expressions if len(columns) <= few_columns else _pairs_by_matrix)(narrow, centre, spread)
-
-
-def _pairs_by_expressions(narrow: DataFrame, centre: np.ndarray, spread: np.ndarray) -> PairSums:
-    k = len(narrow.columns)
-    shifted = [(F.col(f"x{i}") - F.lit(float(centre[i]))) / F.lit(float(spread[i])) for i in range(k)]
-    z = [F.when(~F.isnan(F.col(f"x{i}")), shifted[i]) for i in range(k)]
-    wanted: dict[str, Column] = {}
-    for i in range(k):
-        for j in range(i, k):
-            both = z[i].isNotNull() & z[j].isNotNull()
-            wanted[f"n_{i}_{j}"], wanted[f"c_{i}_{j}"] = F.count_if(both), F.sum(z[i] * z[j])
-            for a, b in {(i, j), (j, i)}:
-                wanted[f"s_{a}_{b}"] = F.sum(F.when(both, z[a]))
-                wanted[f"q_{a}_{b}"] = F.sum(F.when(both, z[a] * z[a]))
-    row = narrow.agg(*[c.alias(name) for name, c in wanted.items()]).first().asDict()
-
-    def square(kind: str, symmetric: bool) -> np.ndarray:
-        at = [[(min(i, j), max(i, j)) if symmetric else (i, j) for j in range(k)] for i in range(k)]
-        return np.array([[row[f"{kind}_{i}_{j}"] or 0.0 for i, j in line] for line in at])
-
-    return PairSums(square("n", True), square("s", False), square("q", False), square("c", True))
-
-
-def _pairs_by_matrix(narrow: DataFrame, centre: np.ndarray, spread: np.ndarray) -> PairSums:
-    k = len(narrow.columns)
-
-    def partial(batches):
-        total = np.zeros((4, k, k))
-        for x in batches:
-            present = ~np.isnan(x)
-            z = np.where(present, (x - centre) / spread, 0.0)
-            total[3] += z.T @ z
-            if present.all():
-                total[0] += len(x)
-                total[1] += z.sum(axis=0)[:, None]
-                total[2] += (z * z).sum(axis=0)[:, None]
-            else:
-                mask = present.astype("float64")
-                total[:3] += np.stack([mask.T @ mask, z.T @ mask, (z * z).T @ mask])
-        return {i: total[:, i] for i in range(k)}
-
-    found = sum_over_tasks(narrow, 4 * k, partial)
-    zero = np.zeros(4 * k)
-    total = np.stack([found.get(i, zero).reshape(4, k) for i in range(k)], axis=1)
-    return PairSums(*total)
-
-
-def pair_sums_with(df: DataFrame, columns: Sequence[str], other: str) -> list[PairSums]:
-    """2×2 sums of each column with one ``other`` column, all in one pass of linear cost."""
-    narrow = _doubles(df, [*columns, other])
-    centre, spread = _provisional_centre(narrow)
-
-    def partial(batches):
-        total = np.zeros((6, len(columns)))
-        for x in batches:
-            z = (x - centre) / spread
-            both = ~np.isnan(z[:, :-1]) & ~np.isnan(z[:, -1:])
-            a, b = np.where(both, z[:, :-1], 0.0), np.where(both, z[:, -1:], 0.0)
-            total += np.stack([part.sum(axis=0) for part in (both, a, b, a * a, b * b, a * b)])
-        return {0: total}
-
-    found = sum_over_tasks(narrow, 6 * len(columns), partial)
-    total = found[0].reshape(6, -1) if found else np.zeros((6, len(columns)))
-    return [
-        PairSums(
-            np.full((2, 2), n),
-            np.array([[sa, sa], [sb, sb]]),
-            np.array([[qa, qa], [qb, qb]]),
-            np.array([[qa, ab], [ab, qb]]),
-        )
-        for n, sa, sb, qa, qb, ab in total.T
-    ]
-
-
-def grouped_products(df: DataFrame, columns: Sequence[Column], group: Column) -> dict[int, np.ndarray]:
+        with np.errstate(invalid="ignore"):
+            spread = np.sqrt(np.where(self.squares > 0, self.squares, np.nan))
+            return np.clip(self.products / (spread * spread.T), -1.0, 1.0)
+
+
+def pair_moments(df: DataFrame, columns: Sequence[str]) -> PairMoments:
+    """Moments of every pair of columns in one pass; the result is k×k however long the table."""
+    k = len(columns)
+
+    def partial(x):
+        present = ~np.isnan(x)
+        count = present.sum(axis=0)
+        with np.errstate(invalid="ignore", over="ignore"):
+            first = np.where(count > 0, x[present.argmax(axis=0), np.arange(k)], 0.0)
+            z = np.where(present, x - first, 0.0)
+            middle = z.sum(axis=0) / np.maximum(count, 1)
+            z = np.where(present, z - middle, 0.0)
+            centre = first + middle
+            mask = present.astype("float64")
+            n = mask.T @ mask
+            safe = np.maximum(n, 1)
+            mean = (z.T @ mask) / safe  # of column i about its centre, in the rows of pair (i, j)
+            squares = np.maximum((z * z).T @ mask - n * mean * mean, 0.0)
+            products = z.T @ z - n * mean * mean.T
+        return {i: np.stack([n[i, i:], centre[i] + mean[i, i:], centre[i:] + mean[i:, i], squares[i, i:], squares[i:, i], products[i, i:]]) for i in range(k)}
+
+    found = over_tasks(_doubles(df, columns), 6, partial, merge_pairs)
+    n, squares, products = np.zeros((k, k)), np.zeros((k, k)), np.zeros((k, k))
+    for i, state in found.items():
+        n[i, i:] = n[i:, i] = state[N]
+        products[i, i:] = products[i:, i] = state[PRODUCTS]
+        squares[i, i:], squares[i:, i] = state[SQUARES_A], state[SQUARES_B]
+    return PairMoments(n, squares, products)
+
+
+def correlations_with(df: DataFrame, columns: Sequence[str], other: str) -> list[float]:
+    """Correlation of each column with one ``other``, in one pass of linear cost; NaN where one does not vary."""
+    def partial(x):
+        return {0: _pair_states(x[:, :-1], np.broadcast_to(x[:, -1:], x[:, :-1].shape))}
+
+    found = over_tasks(_doubles(df, [*columns, other]), 6, partial, merge_pairs)
+    state = found.get(0, np.zeros((6, len(columns))))
+    with np.errstate(invalid="ignore", divide="ignore"):
+        r = state[PRODUCTS] / np.sqrt(state[SQUARES_A] * state[SQUARES_B])
+    return [float(x) for x in np.clip(np.where((state[SQUARES_A] > 0) & (state[SQUARES_B] > 0), r, np.nan), -1.0, 1.0)]
+
+
+def grouped_products(df: DataFrame, columns: Sequence[Column], group: Column) -> States:
     """Per integer group, the (k+1)×(k+1) product sums of (1, columns): counts, sums and products."""
     k = len(columns)
     wide = df.select(group.cast("double").alias("g"), *[c.cast("double").alias(f"x{i}") for i, c in enumerate(columns)])
 
-    def partial(batches):
-        totals: dict[int, np.ndarray] = {}
-        for x in batches:
-            groups = x[:, 0].copy()
-            x[:, 0] = 1.0
-            for g in np.unique(groups):
-                part = x[groups == g]
-                totals[int(g)] = totals.get(int(g), 0.0) + part.T @ part
-        return totals
-
-    found = sum_over_tasks(wide, (k + 1) ** 2, partial)
-    return {g: sums.reshape(k + 1, k + 1) for g, sums in found.items()}
+    def partial(x):
+        groups = x[:, 0].copy()
+        x[:, 0] = 1.0
+        return {int(g): x[groups == g].T @ x[groups == g] for g in np.unique(groups)}
+
+    return over_tasks(wide, k + 1, partial, lambda a, b: a + b)

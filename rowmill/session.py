@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import SparkSession
 
 RECOMMENDED = {
@@ -19,3 +23,23 @@ def recommended(builder: SparkSession.Builder) -> SparkSession.Builder:
     for key, value in RECOMMENDED.items():
         builder = builder.config(key, value)
     return builder
+
+
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package's code to the executors, once per application, so they need not have it installed.
+
+    Python functions in tasks refer to it by name. Spark serves the archive from the driver.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    root = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="rowmill-code-")) / "rowmill.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for file in sorted(root.rglob("*.py")):
+            out.write(file, file.relative_to(root.parent))
+    context.addPyFile(str(archive))
+    _shipped.add(context.applicationId)

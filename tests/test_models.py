@@ -16,7 +16,6 @@ from rowmill.operators.linear import (
     RIDGE_ALPHAS,
     coefficient_table,
     predict,
-    product_sums,
     train_linear,
 )
 from rowmill.operators.moments import grouped_products
@@ -125,18 +124,13 @@ def test_feature_selection_and_prediction(regression, spark):
     assert [(r["feature"], r["impact"]) for r in unnamed] == [("feature_1", "decreases"), ("feature_0", "increases")]
 
 
-def test_product_sums_agree_with_matrix_products(regression):
-    df, _ = regression
+def test_grouped_products_are_matrix_products(regression):
+    df, frame = regression
     folded = df.withColumn("fold", (F.col("row_id") % 3).cast("int"))
-    columns = [F.col(c) for c in FEATURES]
-    matrices = grouped_products(folded, columns, F.col("fold"))
-    for row in product_sums(folded, columns, ["fold"]).collect():
-        m = matrices[row["fold"]]
-        assert m[0, 0] == row["n"]
-        for i in range(5):
-            assert m[0, i + 1] == pytest.approx(row[f"s_{i}"])
-            for j in range(i, 5):
-                assert m[i + 1, j + 1] == pytest.approx(row[f"p_{i}_{j}"])
+    for fold, m in grouped_products(folded, [F.col(c) for c in FEATURES], F.col("fold")).items():
+        rows = frame[frame["row_id"] % 3 == fold][FEATURES].to_numpy(dtype="float64")
+        own = np.column_stack([np.ones(len(rows)), rows])
+        assert np.allclose(m, own.T @ own)
 
 
 def test_regression_metrics(spark):

@@ -21,7 +21,7 @@ from rowmill.operators.correlation import collinear_columns, fit_collinear, stro
 from rowmill.operators.dedupe import drop_duplicate_rows, merge_duplicate_features
 from rowmill.operators.impute import fill_missing, fit_medians, fit_modes, prepare_features
 from rowmill.operators.joins import map_values
-from rowmill.operators.moments import column_stats, pair_sums
+from rowmill.operators.moments import column_stats, pair_moments
 from rowmill.operators.outliers import fit_bounds, limit_to_bounds, remove_outlier_rows, treat_outliers
 from rowmill.operators.quantiles import exact_quantiles
 from rowmill.operators.scale import fit_normalizer, normalize
@@ -207,16 +207,15 @@ def test_lookup_beyond_broadcast_size_gives_the_same(spark):
     assert sorted(map(tuple, small.collect())) == sorted(map(tuple, large.collect()))
 
 
-@pytest.mark.parametrize("few_columns", [0, 10])
-def test_correlations_match_pandas(mixed, few_columns):
+def test_correlations_match_pandas(mixed):
     df, frame = mixed
     expected = frame[MEASURES].corr().to_numpy()
-    found = pair_sums(df, MEASURES, few_columns).correlations()
+    found = pair_moments(df, MEASURES).correlations()
     assert np.allclose(found[:4, :4], expected[:4, :4], atol=1e-9)
     assert np.isnan(found[4]).all() and np.isnan(found[:, 4]).all()
 
 
-def test_column_stats_paths_agree(mixed):
+def test_column_stats_do_not_depend_on_width(mixed):
     df, frame = mixed
     many = MEASURES + [f"a{i}" for i in range(8)]
     wide = df.withColumns({f"a{i}": F.col("a") * (i + 1) for i in range(8)})
@@ -226,6 +225,20 @@ def test_column_stats_paths_agree(mixed):
         assert s["mean"] == pytest.approx(narrow["mean"], rel=1e-12) and s["std"] == pytest.approx(narrow["std"], abs=1e-9)
 
 
+@pytest.mark.parametrize("width", [1, 12])
+def test_moments_of_late_large_values(spark, width):
+    """First rows null, then values near 1.7e12; a constant; an infinity."""
+    x = F.when(F.col("id") >= 2000, 1.7e12 + F.col("id") % 100)
+    df = spark.range(4000).repartition(5).select(*[(x + i).alias(f"x{i}") for i in range(width)], (x * 2).alias("y"), F.lit(0.1).alias("c"))
+    df = df.withColumn("inf", F.when(F.col("y").isNotNull(), F.lit(float("inf"))))
+    stats = column_stats(df, df.columns)
+    assert stats["x0"]["n"] == 2000 and stats["x0"]["std"] == pytest.approx(np.std(np.arange(100)), rel=1e-6)
+    assert stats["c"] == {"rows": 4000, "n": 4000, "mean": 0.1, "std": 0.0} and np.isnan(stats["inf"]["std"])
+    got = {r["feature"]: r["correlation"] for r in target_correlations(df, ["x0", "c", "inf"], "y").collect()}
+    assert got == {"x0": pytest.approx(1.0, abs=1e-9)}
+    assert pair_moments(df, ["x0", "y", "inf"]).correlations()[0, 1] == pytest.approx(1.0, abs=1e-9)
+
+
 def test_target_correlations(mixed):
     df, frame = mixed
     rows = target_correlations(df, ["b", "c", "hot", "constant"], "a")
