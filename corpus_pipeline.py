@@ -24,27 +24,33 @@ from rowmill.llm.near_duplicates import without_near_duplicates
 from rowmill.llm.repair import read_token_files, write_token_files
 from rowmill.llm.tables import table
 from rowmill.llm.toxicity import fit_toxicity, not_toxic, sample_labelled
+from rowmill.session import ship_package
 from rowmill.storage import materialize, new_path
 
 
 def filter_toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ship_package(spark)
     model = fit_toxicity(sample_labelled(docs, table(spark, sf_dir, "labels")))
     return not_toxic(docs, model)
 
 
 def filter_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ship_package(spark)
     return without_near_duplicates(docs)
 
 
 def filter_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ship_package(spark)
     return decontaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ship_package(spark)
     return mixed_documents(docs)
 
 
 def token_files(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ship_package(spark)
     path = new_path(spark, "token-files")
     write_token_files(docs, path, public_tokenizers.path("byte_bpe_50k.json"))
     return read_token_files(spark, path)
