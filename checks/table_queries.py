@@ -19,7 +19,7 @@ from rowmill.operators.correlation import (
 )
 from rowmill.operators.dedupe import distinct_combinations, merge_duplicate_features, reduction_report
 from rowmill.operators.impute import fill_missing, fit_medians, fit_modes, prepare_features
-from rowmill.operators.joins import attach_group_sizes
+from rowmill.operators.joins import attach_group_sizes, map_values
 from rowmill.operators.outliers import count_outliers, fit_bounds, treat_outliers
 from rowmill.operators.scale import apply_scaling, fit_normalizer, fit_robust, fit_standard, normalize
 from rowmill.operators.split import with_fold, with_stratified_test_flag, with_test_flag
@@ -217,6 +217,73 @@ def one_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return apply_one_hot(customers, fit_encoder(customers).one_hot)
 
 
+@query(
+    "q_onehot_clash",
+    """SELECT c_custkey, c_nationkey AS "kind_b", CASE c_custkey % 4 WHEN 1 THEN true ELSE false END AS "kind_B_2",
+    c_custkey % 4 = 2 AS "kind_a_2", c_custkey % 4 = 3 AS "kind_b_3" FROM customer""",
+)
+def one_hot_clash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Categories that differ in case only, beside a column that has the name of one."""
+    kinds = F.element_at(F.array(*map(F.lit, ["A", "B", "a", "b"])), (F.col("c_custkey") % 4 + 1).cast("int"))
+    customers = table(spark, sf_dir, "customer").select("c_custkey", F.col("c_nationkey").alias("kind_b"), F.lit(1).alias("kind_A"), kinds.alias("kind"))
+    encoder = fit_encoder(customers, exclude=["c_custkey"])
+    return encoder.apply(customers).drop("kind_A")
+
+
+@query(
+    "q_salted_map",
+    """SELECT l_orderkey, l_linenumber, coalesce(CASE WHEN l_suppkey % 3 <> 0 THEN s_acctbal END, -1.0) AS l_suppkey
+    FROM lineitem LEFT JOIN supplier ON l_suppkey = s_suppkey""",
+)
+def salted_map(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The way taken by lookups too large to broadcast."""
+    suppliers = table(spark, sf_dir, "supplier").where("s_suppkey % 3 <> 0").select(F.col("s_suppkey").alias("key"), F.col("s_acctbal").alias("value"))
+    items = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey")
+    return map_values(items, "l_suppkey", suppliers, F.lit(-1.0), lookup_bytes=1 << 40)
+
+
+WIDE = [f"x{i}" for i in range(12)]
+
+
+def wide_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Twelve columns; x0 is null in all early rows and lies near 1.7e12 after them."""
+    late = F.when(F.col("o_orderkey") >= 1000, 1.7e12 + F.col("o_custkey"))
+    others = [(F.col("o_totalprice") * (i + 1) + F.col("o_custkey") * (i % 3)).alias(f"x{i}") for i in range(1, 12)]
+    return table(spark, sf_dir, "orders").select("o_orderkey", late.alias("x0"), *others, F.col("o_custkey").cast("double").alias("y"))
+
+
+WIDE_SQL = f"""WITH w AS (SELECT o_orderkey, CASE WHEN o_orderkey >= 1000 THEN 1.7e12 + o_custkey END AS x0,
+  {', '.join(f'o_totalprice * {i + 1} + o_custkey * {i % 3} AS x{i}' for i in range(1, 12))}, o_custkey::DOUBLE AS y FROM orders)"""
+
+
+@query(
+    "q_standard_scale_wide",
+    f"""{WIDE_SQL}, s AS (SELECT {', '.join(f'avg({x} - CASE WHEN {i} = 0 THEN 1.7e12 ELSE 0 END) + CASE WHEN {i} = 0 THEN 1.7e12 ELSE 0 END AS m{i}, stddev_pop({x} - CASE WHEN {i} = 0 THEN 1.7e12 ELSE 0 END) AS d{i}' for i, x in enumerate(WIDE))} FROM w)
+    SELECT o_orderkey, {', '.join(f'round(({x} - m{i}) / d{i}, 3) + 0.0 AS {x}' for i, x in enumerate(WIDE))} FROM w, s""",
+)
+def standard_scale_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = wide_orders(spark, sf_dir).drop("y")
+    return apply_scaling(orders, fit_standard(orders, WIDE)).select("o_orderkey", *[(F.round(x, 3) + 0.0).alias(x) for x in WIDE])
+
+
+@query(
+    "q_corr_wide",
+    f"""{WIDE_SQL}, z AS (SELECT x0 - 1.7e12 AS x0, {', '.join(WIDE[1:])} FROM w)
+    SELECT feature, other, round(correlation, 6) AS correlation, round(abs(correlation), 6) AS abs_correlation FROM (
+    {' UNION ALL '.join(f"SELECT '{a}' AS feature, '{b}' AS other, corr({a}, {b}) AS correlation FROM z" for i, a in enumerate(WIDE) for b in WIDE[i + 1 :])})""",
+)
+def corr_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    matrix = correlation_array(wide_orders(spark, sf_dir), WIDE)
+    return rounded(correlation_table(spark, WIDE, matrix), 6, "correlation", "abs_correlation")
+
+
+@query("q_target_topk_wide", "SELECT 'x0' AS feature, 1.0::DOUBLE AS correlation, 'up' AS direction FROM orders LIMIT 1")
+def target_topk_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The column that only late rows have is the strongest one."""
+    top = strongest(target_correlations(wide_orders(spark, sf_dir), WIDE, "y"), 1)
+    return rounded(top.select("feature", "correlation", "direction"), 6, "correlation")
+
+
 def national_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders with the customer's nation name, null for every eleventh order."""
     nation = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
@@ -491,6 +558,19 @@ def folds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_fold(table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("row_id")), "row_id")
 
 
+@query(
+    "q_stratified_split_many",
+    """SELECT row_id, label, row_number() OVER (PARTITION BY label ORDER BY md5(CAST(row_id AS VARCHAR))) <=
+      floor(0.3 * count(*) OVER (PARTITION BY label) + 1e-9) AS is_test
+    FROM (SELECT o_orderkey AS row_id, CASE WHEN o_orderkey % 3 = 0 THEN -1 ELSE o_custkey END AS label FROM orders)""",
+)
+def stratified_split_many(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A class per customer, and one with a third of all rows; cuts are searched by prefix."""
+    label = F.when(F.col("o_orderkey") % 3 == 0, -1).otherwise(F.col("o_custkey"))
+    orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("row_id"), label.alias("label"))
+    return with_stratified_test_flag(orders, "row_id", "label", leaf_rows=50)
+
+
 @query(
     "q_stratified_split",
     """SELECT row_id, status, row_number() OVER (PARTITION BY status ORDER BY md5(CAST(row_id AS VARCHAR))) <=

@@ -6,12 +6,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks.tables import RESUMES_SQL, TYPED_SQL, amount_sql, query, resumes, table
+from rowmill.functions.numeric import text_to_number
 from rowmill.functions.text import clean_text, named, to_base_currency
 from rowmill.operators.columns import union_all
 from rowmill.operators.dedupe import drop_duplicate_rows
+from rowmill.operators.joins import align
 from rowmill.operators.summary import value_summary
 from rowmill.operators.target import fit_amount_treatment
 from rowmill.plans import resume_values as v
+from rowmill.plans.programs import read_records
 from rowmill.plans.resume_features import advanced_features, basic_features, with_base_currency
 from rowmill.sources.csv import read_csv, write_csv
 from rowmill.sources.matrix import read_matrix, verify_written, write_matrix
@@ -37,6 +40,53 @@ def csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_csv(spark, path)
 
 
+@query(
+    "q_csv_seats",
+    """SELECT o_orderkey AS k, CAST(9000000000000000000 + o_orderkey AS BIGINT) AS id,
+    (o_orderkey % 40) || CASE WHEN o_orderkey % 2 = 0 THEN 'D' ELSE 'F' END AS seat, '99999999999999999999' || o_orderkey AS far,
+    CAST(o_orderkey % 7 AS VARCHAR) || 'e2' = '3e2' AS three FROM orders""",
+)
+def csv_seats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts that a cast would take for numbers, and whole numbers at and beyond the end of bigint."""
+    k = F.col("o_orderkey")
+    orders = table(spark, sf_dir, "orders").select(
+        k.alias("k"), (k + F.lit(9_000_000_000_000_000_000)).alias("id"), F.concat((k % 40).cast("string"), F.when(k % 2 == 0, "D").otherwise("F")).alias("seat"),
+        F.concat(F.lit("99999999999999999999"), k.cast("string")).alias("far"), F.concat((k % 7).cast("string"), F.lit("e2")).alias("three"),
+    )
+    path = new_path(spark, "seats-csv")
+    write_csv(orders, path)
+    return read_csv(spark, path).withColumn("three", F.col("three") == 300.0)
+
+
+@query(
+    "q_number_texts",
+    """SELECT o_orderkey AS row_id, CASE o_orderkey % 8 WHEN 0 THEN 12.0 WHEN 1 THEN 1000.0 WHEN 2 THEN NULL WHEN 3 THEN NULL
+      WHEN 4 THEN NULL WHEN 5 THEN -0.5 WHEN 6 THEN NULL ELSE 7.25 END::DOUBLE AS number FROM orders""",
+)
+def number_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    texts = F.array(*map(F.lit, [" 12 ", "1e3", "12d", "7F", "", "-.5", "1 2", "7.25"]))
+    orders = table(spark, sf_dir, "orders")
+    text = F.element_at(texts, (F.col("o_orderkey") % 8 + 1).cast("int"))
+    return orders.select(F.col("o_orderkey").alias("row_id"), text_to_number(text).alias("number"))
+
+
+@query(
+    "q_row_ids_of_files",
+    """SELECT label, count(*) AS rows, count(DISTINCT k) AS keys FROM (
+      SELECT o_orderkey AS k, o_orderpriority AS label FROM orders) GROUP BY label""",
+)
+def row_ids_of_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two files that both count from 0; every record meets its own label again, and only that."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority")
+    path = new_path(spark, "two-files")
+    for part in (0, 1):
+        half = orders.where(F.col("o_orderkey") % 2 == part)
+        half.select(F.floor(F.col("o_orderkey") / 2).alias("_c0"), F.col("o_orderkey").alias("k"), F.col("o_orderpriority").alias("label")).write.option("header", True).csv(f"{path}/{part}")
+    records = read_records(spark, [f"{path}/0", f"{path}/1"])
+    joined = align(records.select("row_id", "k"), records.select("row_id", "label", F.col("k").alias("other")), "row_id")
+    return joined.where("k = other").groupBy("label").agg(F.count("*").alias("rows"), F.count_distinct("k").alias("keys"))
+
+
 @query(
     "q_union_inputs",
     """SELECT c_name AS name, c_nationkey AS nationkey, c_acctbal AS acctbal, c_mktsegment AS mktsegment FROM customer

@@ -18,6 +18,7 @@ def main() -> None:
     job = jobs.add_parser("prepare", help="CSV records to a feature matrix")
     job.add_argument("csv")
     job.add_argument("out")
+    job.add_argument("--multi-line", action="store_true", help="the CSV has quoted line breaks")
     job.add_argument("--simple", action="store_true")
     job.add_argument("--published", action="store_true")
     job = jobs.add_parser("salary", help="regression on a feature matrix")
@@ -30,20 +31,21 @@ def main() -> None:
     job.add_argument("csv")
     job.add_argument("matrix")
     job.add_argument("out")
+    job.add_argument("--multi-line", action="store_true", help="the CSV has quoted line breaks")
     job.add_argument("--model", choices=MODEL_TYPES, action="append")
     args = parser.parse_args()
 
     spark = recommended(SparkSession.builder.appName(f"rowmill {args.job}")).getOrCreate()
     if args.job == "prepare":
         options = (simple if args.simple else improved)(args.published)
-        _, check = prepare_records(read_records(spark, args.csv), options, args.out)
+        _, check = prepare_records(read_records(spark, args.csv, args.multi_line), options, args.out)
         check.show(truncate=False)
     elif args.job == "salary":
         result = train_salary(spark, args.matrix, args.out, args.model_type, args.n_features, args.test_percent)
         result.metrics.show(truncate=False, vertical=True)
         result.coefficients.show(truncate=False)
     else:
-        results = train_levels(read_records(spark, args.csv), args.matrix, args.out, args.model or MODEL_TYPES)
+        results = train_levels(read_records(spark, args.csv, args.multi_line), args.matrix, args.out, args.model or MODEL_TYPES)
         for found in results.values():
             if found.per_class is not None:
                 found.per_class.show()

@@ -8,6 +8,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# A whole text that is a number: blanks around it, sign, digits with point and exponent, or a name of a special value.
+# Spark's own cast would also take suffixes, as in 10D.
+NUMBER_TEXT = r"^[\s\x00-\x1F]*[-+]?([0-9]+\.?[0-9]*([eE][-+]?[0-9]+)?|\.[0-9]+([eE][-+]?[0-9]+)?|(?i:inf|infinity|nan))[\s\x00-\x1F]*$"
+
+
 def to_number(value: Column) -> Column:
     """Double, with unreadable text and NaN turned into null."""
     number = value.try_cast("double")
@@ -15,9 +20,8 @@ def to_number(value: Column) -> Column:
 
 
 def text_to_number(text: Column) -> Column:
-    """:func:`to_number` for text. A failed cast costs an exception inside the JVM, so texts that do not
-    even start like a number are sorted out first."""
-    return to_number(F.when(text.rlike(r"^[\s\x00-\x1F]*[-+]?([0-9.]|(?i:inf|nan))"), text))
+    """:func:`to_number` for text: null unless the whole text is a number."""
+    return to_number(F.when(text.rlike(NUMBER_TEXT), text))
 
 
 def step(value: Column, cuts: Sequence[float], labels: Sequence[str], closed: str = "left") -> Column:

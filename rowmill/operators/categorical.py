@@ -43,6 +43,7 @@ class CategoryProfile:
 
     columns: list[str]
     distinct: dict[str, int]
+    bytes: dict[str, int]
     nulls: dict[str, bool]
     too_many: list[str]
     table: DataFrame | None
@@ -71,7 +72,7 @@ def profile_categories(
     near = [c for i, c in enumerate(columns) if sizes[f"d{i}"] <= 2 * max_distinct]
     far = [c for c in columns if c not in near]
     if not near:
-        return CategoryProfile([], {}, {}, far, None, sizes["global_mean"])
+        return CategoryProfile([], {}, {}, {}, far, None, sizes["global_mean"])
     seen = F.struct(*map(named, order_by)) if len(order_by) > 1 else named(order_by[0]) if order_by else F.lit(0)
     cells = F.array(*[F.struct(F.lit(i).alias("position"), named(c).alias("value")) for i, c in enumerate(near)])
     table = materialize(
@@ -85,13 +86,15 @@ def profile_categories(
         "categories",
     )
     counted = table.groupBy("position").agg(
-        F.count("value").alias("distinct"), F.count_if(F.col("value").isNull()).alias("nulls")
+        F.count("value").alias("distinct"), F.count_if(F.col("value").isNull()).alias("nulls"),
+        F.sum(F.octet_length("value") + 24).alias("bytes"),
     )
     found = {near[row["position"]]: row for row in counted.collect()}
     distinct = {c: found[c]["distinct"] if c in found else 0 for c in near}
+    sizes_of = {c: (found[c]["bytes"] or 0) if c in found else 0 for c in near}
     nulls = {c: bool(found[c]["nulls"]) if c in found else False for c in near}
     too_many = [c for c in columns if c in far or distinct[c] > max_distinct]
-    return CategoryProfile(near, distinct, nulls, too_many, table, sizes["global_mean"])
+    return CategoryProfile(near, distinct, sizes_of, nulls, too_many, table, sizes["global_mean"])
 
 
 @dataclass(frozen=True)
@@ -101,6 +104,7 @@ class Encoder:
     dropped: list[str] = field(default_factory=list)
     binary: dict[str, tuple[str, str]] = field(default_factory=dict)
     one_hot: dict[str, list[str]] = field(default_factory=dict)
+    one_hot_names: dict[str, list[str]] = field(default_factory=dict)
     by_target: list[str] = field(default_factory=list)
     profile: CategoryProfile | None = None
     target: str | None = None
@@ -108,7 +112,7 @@ class Encoder:
     def apply(self, df: DataFrame) -> DataFrame:
         kept = df.drop(*self.dropped)
         kept = apply_binary(kept, self.binary)
-        kept = apply_one_hot(kept, self.one_hot)
+        kept = apply_one_hot(kept, self.one_hot, self.one_hot_names)
         for name in self.by_target:
             kept = apply_target_means(kept, name, self.profile)
         if self.target in kept.columns:
@@ -127,20 +131,40 @@ def apply_binary(df: DataFrame, mapping: dict[str, tuple[str, str]]) -> DataFram
     )
 
 
-def apply_one_hot(df: DataFrame, categories: dict[str, list[str]]) -> DataFrame:
-    """A boolean ``<column>_<value>`` per category but the first, after the other columns."""
+def one_hot_names(columns: Iterable[str], categories: dict[str, list[str]]) -> dict[str, list[str]]:
+    """Name of the new column for each category but the first: ``<column>_<value>``.
+
+    A name that another column has, in whatever case, gets the first free number behind it.
+    """
+    taken = {c.lower() for c in columns if c not in categories}
+    names: dict[str, list[str]] = {}
+    for column, values in categories.items():
+        names[column] = []
+        for value in values[1:]:
+            name, n = f"{column}_{value}", 2
+            while name.lower() in taken:
+                name, n = f"{column}_{value}_{n}", n + 1
+            taken.add(name.lower())
+            names[column].append(name)
+    return names
+
+
+def apply_one_hot(df: DataFrame, categories: dict[str, list[str]], names: dict[str, list[str]] | None = None) -> DataFrame:
+    """A boolean column per category but the first, after the other columns; names as fitted, or as they fit ``df``."""
+    names = names or one_hot_names(df.columns, categories)
     new = {
-        f"{name}_{value}": F.coalesce(named(name) == value, F.lit(False))
-        for name, values in categories.items()
-        for value in values[1:]
+        name: F.coalesce(named(column) == value, F.lit(False))
+        for column, values in categories.items()
+        for name, value in zip(names[column], values[1:])
     }
-    return replace_columns(df, new).drop(*categories)
+    rest = [named(c) for c in df.columns if c not in categories]
+    return df.select(*rest, *[flag.alias(name) for name, flag in new.items()])
 
 
 def apply_target_means(df: DataFrame, name: str, profile: CategoryProfile) -> DataFrame:
     """Category → mean target; null and unknown categories → global mean."""
     default = F.lit(profile.global_mean).cast("double")
-    return map_values(df, name, profile.lookup(name), default, profile.distinct[name])
+    return map_values(df, name, profile.lookup(name), default, profile.bytes[name])
 
 
 def fit_encoder(
@@ -174,4 +198,5 @@ def fit_encoder(
         for name in several:
             one_hot[name] = sorted(r["value"] for r in rows if profile.columns[r["position"]] == name)
     by_target = [c for c in usable if c not in binary and c not in one_hot] if target else []
-    return Encoder(profile.too_many, binary, one_hot, by_target, profile, target)
+    names = one_hot_names([c for c in df.columns if c not in profile.too_many], one_hot)
+    return Encoder(profile.too_many, binary, one_hot, names, by_target, profile, target)

@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from rowmill.functions.text import named
 from rowmill.operators.linear import helper_columns, scaling_stage
 from rowmill.operators.scale import fit_standard
-from rowmill.operators.split import MAX_CLASSES
 
 MODEL_TYPES = ("logistic", "random_forest")
 
@@ -23,8 +22,6 @@ def class_weights(df: DataFrame, label: str) -> DataFrame:
     """``(class, rows, weight)`` with weight n / (classes · class rows)."""
     counts = df.groupBy(named(label).alias("class")).agg(F.count(F.lit(1)).alias("rows"))
     totals = counts.agg(F.sum("rows").alias("n"), F.count(F.lit(1)).alias("k")).first()
-    if totals["k"] > MAX_CLASSES:
-        raise ValueError(f"more than {MAX_CLASSES} classes in '{label}'")
     return counts.withColumn("weight", F.try_divide(F.lit(float(totals["n"] or 0)), totals["k"] * F.col("rows")))
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from rowmill.functions.text import named
 
-BROADCAST_ROWS = 200_000  # a (text, double) lookup of this many rows stays in the tens of megabytes
+BROADCAST_BYTES = 32 << 20
 SALTS = 64
 
 
@@ -18,20 +18,21 @@ def map_values(
     column: str,
     lookup: DataFrame,
     default: Column,
-    lookup_rows: int,
-    broadcast_rows: int = BROADCAST_ROWS,
+    lookup_bytes: int,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Replace ``column`` by the looked-up value, unmatched and null keys by ``default``.
 
     ``lookup`` holds ``(key, value)`` with unique keys. Its known size decides: a small one is broadcast;
     a larger one is joined by shuffle on key plus salt, so that the rows of a hot key are spread over
-    ``SALTS`` tasks, against as many copies of the lookup.
+    ``SALTS`` tasks, against as many copies of the lookup. Salts follow the place of a row in its task, so equal
+    rows are spread too.
     """
     small = lookup.select(F.col("key").alias("_key"), F.col("value").alias("_value"))
-    if lookup_rows <= broadcast_rows:
+    if lookup_bytes <= broadcast_bytes:
         joined = df.join(F.broadcast(small), named(column) == F.col("_key"), "left")
     else:
-        salt = F.pmod(F.xxhash64(*map(named, df.columns)), F.lit(SALTS)).cast("int")
+        salt = F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int")
         copies = small.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
         matches = (named(column) == F.col("_key")) & (F.col("_salt") == F.col("_copy"))
         joined = df.withColumn("_salt", salt).join(copies, matches, "left")

@@ -5,12 +5,12 @@ The same row lands in the same part on any cluster and with any partitioning.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rowmill.functions.text import named
+from rowmill.storage import materialize
 
-MAX_CLASSES = 1_000
 LEAF_ROWS = 10_000  # hashes of one class that may be sorted in one group
 
 
@@ -46,53 +46,35 @@ def with_stratified_test_flag(
 
     Sorting a class by hash would put a class with a third of all rows into one task. Instead the cut
     is found by counting: rows per class and hash prefix, then longer prefixes inside the one prefix
-    that holds the cut, until its rows are few. Only the cut hash per class reaches the final filter.
+    that holds the cut, until its rows are few. Cuts are a table with a row per class, joined to the rows, so there
+    may be any number of classes. Rows with equal ids are on one side of the cut.
     A table with fewer than ``min_rows`` rows is all training data.
     """
     digest = row_digest(named(row_id), salt)
-    hashed = df.select(named(label).alias("label"), digest.alias("digest"))
-    classes = hashed.groupBy("label").agg(F.count(F.lit(1)).alias("rows")).limit(MAX_CLASSES + 1).collect()
-    if len(classes) > MAX_CLASSES:
-        raise ValueError(f"more than {MAX_CLASSES} classes in '{label}'")
-    total = sum(row["rows"] for row in classes)
-    # per class: prefix known to hold the cut, test rows still wanted inside it, rows inside it
-    open_cuts = {row["label"]: ("", int(test_share * row["rows"] + 1e-9), row["rows"]) for row in classes}
-    open_cuts = {name: cut for name, cut in open_cuts.items() if cut[1] > 0}
-    if total < min_rows or not open_cuts:
+    hashed = materialize(df.select(named(label).alias("label"), digest.alias("digest")), "split-hashes")
+    wanted = F.floor(F.col("rows") * test_share + 1e-9).cast("bigint")
+    sizes = hashed.groupBy("label").agg(F.count(F.lit(1)).alias("rows"))
+    cuts = materialize(sizes.select("label", F.lit("").alias("prefix"), wanted.alias("wanted"), "rows"), "split-cuts")
+    total = cuts.agg(F.sum("rows").alias("rows"), F.max("rows").alias("most")).first()
+    if (total["rows"] or 0) < min_rows:
         return df.withColumn("is_test", F.lit(False))
 
-    while any(rows > leaf_rows and len(prefix) < 30 for prefix, _, rows in open_cuts.values()):
-        length = max(len(prefix) for prefix, _, _ in open_cuts.values()) + 3
-        counts = (
-            hashed.filter(_inside(open_cuts))
-            .groupBy("label", F.substring("digest", 1, length).alias("prefix"))
-            .agg(F.count(F.lit(1)).alias("rows"))
-            .collect()
-        )
-        for name, (_, wanted, _) in list(open_cuts.items()):
-            for prefix, rows in sorted((r["prefix"], r["rows"]) for r in counts if r["label"] == name):
-                if wanted <= rows:
-                    open_cuts[name] = (prefix, wanted, rows)
-                    break
-                wanted -= rows
-    leaves = (
-        hashed.filter(_inside(open_cuts))
-        .groupBy("label")
-        .agg(F.sort_array(F.collect_list("digest")).alias("digests"))
-    )
-    wanted = F
-    for name, (_, rows, _) in open_cuts.items():
-        wanted = wanted.when(F.col("label").eqNullSafe(F.lit(name)), F.lit(rows))
-    last = leaves.select("label", F.element_at("digests", wanted).alias("digest")).collect()
-    in_test = F.lit(False)
-    for row in last:
-        in_test |= named(label).eqNullSafe(F.lit(row["label"])) & (digest <= row["digest"])
-    return df.withColumn("is_test", in_test)
-
-
-def _inside(cuts: dict) -> Column:
-    """Rows whose digest starts with the open prefix of their class."""
-    condition = F.lit(False)
-    for name, (prefix, _, _) in cuts.items():
-        condition |= F.col("label").eqNullSafe(F.lit(name)) & F.col("digest").startswith(prefix)
-    return condition
+    length, most = 0, total["most"]
+    while most > leaf_rows and length < 30:
+        length += 3
+        cuts = materialize(_next_cuts(hashed, cuts, length), "split-cuts")
+        most = cuts.agg(F.max("rows").alias("most")).first()["most"] or 0
+    last = _next_cuts(hashed, cuts, 32).select("label", F.col("prefix").alias("cut"))
+    last = materialize(last.select(F.col("label").alias("_label"), F.col("cut").alias("_cut")), "split-cuts")
+    joined = df.join(last, named(label).eqNullSafe(F.col("_label")), "left")
+    return joined.withColumn("is_test", F.coalesce(digest <= F.col("_cut"), F.lit(False))).drop("_label", "_cut")
+
+
+def _next_cuts(hashed: DataFrame, cuts: DataFrame, length: int) -> DataFrame:
+    """For each class the longer prefix that holds its cut, with the test rows wanted inside it and its rows."""
+    known = cuts.where("wanted > 0").select(F.col("label").alias("_label"), F.col("prefix").alias("_prefix"), "wanted")
+    inside = hashed.join(known, F.col("label").eqNullSafe(F.col("_label")) & F.col("digest").startswith(F.col("_prefix")))
+    counted = inside.groupBy("label", "wanted", F.substring("digest", 1, length).alias("prefix")).agg(F.count(F.lit(1)).alias("rows"))
+    up_to = F.sum("rows").over(Window.partitionBy("label").orderBy("prefix").rowsBetween(Window.unboundedPreceding, 0))
+    reached = counted.withColumn("up_to", up_to).where((F.col("up_to") >= F.col("wanted")) & (F.col("up_to") - F.col("rows") < F.col("wanted")))
+    return reached.select("label", "prefix", (F.col("wanted") - F.col("up_to") + F.col("rows")).alias("wanted"), "rows")

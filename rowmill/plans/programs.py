@@ -25,15 +25,18 @@ from rowmill.storage import materialize
 ROW_ID = "row_id"
 
 
-def read_records(spark: SparkSession, path: str | Sequence[str], multi_line: bool = True) -> DataFrame:
-    """CSV records with a ``row_id``: the unnamed index column if there is one, else a generated id.
+def read_records(spark: SparkSession, path: str | Sequence[str], multi_line: bool = False) -> DataFrame:
+    """CSV records with a ``row_id``: the unnamed index column if it tells all rows apart, else a generated id.
 
-    A generated id depends on how the files are split, so the table is written once and re-read; feature
-    preparation and labelling must then share it.
+    Several files usually count from 0 each, so their index does not. A generated id depends on how the files are
+    split: the table is written once and re-read, and feature preparation and labelling must share it.
     """
     raw = read_csv(spark, path, multi_line=multi_line)
     if "_c0" in raw.columns:
-        return raw.withColumnRenamed("_c0", ROW_ID).withColumn(ROW_ID, named(ROW_ID).cast("bigint"))
+        index = raw.select(named("_c0").try_cast("bigint").alias("id"))
+        if index.groupBy("id").agg(F.count(F.lit(1)).alias("n")).where("n > 1 OR id IS NULL").isEmpty():
+            return raw.withColumnRenamed("_c0", ROW_ID).withColumn(ROW_ID, named(ROW_ID).cast("bigint"))
+        raw = raw.drop("_c0")
     return materialize(raw.withColumn(ROW_ID, F.monotonically_increasing_id()), "records")
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rowmill.functions.numeric import NUMBER_TEXT
 from rowmill.functions.text import named
 from rowmill.operators.columns import replace_columns, text_columns
 
@@ -22,14 +23,13 @@ def read_csv(
     spark: SparkSession,
     path: str | Sequence[str],
     schema: T.StructType | str | None = None,
-    multi_line: bool = True,
+    multi_line: bool = False,
     null_texts: Sequence[str] = NULL_TEXTS,
 ) -> DataFrame:
     """Read CSV with a header row; several paths or a folder form one table.
 
-    Without a schema, columns are text unless every value in them is a number. A file with quoted line
-    breaks needs ``multi_line`` and is read by one task, so large inputs should come as many files, or
-    with ``multi_line=False`` if they have none.
+    Without a schema, columns are text unless every value in them is a number. Files with quoted line breaks
+    need ``multi_line``; each is then read by one task, so they should be many.
     """
     reader = spark.read.option("header", True).option("multiLine", multi_line).option("escape", '"')
     if schema is not None:
@@ -44,27 +44,28 @@ def null_out(df: DataFrame, texts: Sequence[str]) -> DataFrame:
 
 
 def infer_numbers(df: DataFrame) -> DataFrame:
-    """Cast text columns that hold only whole numbers to bigint, only numbers to double (one pass)."""
+    """Cast text columns that hold only whole numbers to bigint, only numbers to double (one pass).
+
+    Whole numbers beyond the range of bigint stay text: as doubles, different ids would become equal.
+    """
     columns = text_columns(df)
     if not columns:
         return df
 
-    def unreadable(name: str, kind: str):
-        return F.count_if(named(name).isNotNull() & named(name).try_cast(kind).isNull())
-
     # a cast to bigint would accept and cut "1.5", so whole numbers are told by their digits
-    whole = [F.count_if(~named(c).rlike(r"^\s*[+-]?[0-9]{1,18}\s*$")) for c in columns]
+    integral = [named(c).rlike(r"^\s*[+-]?[0-9]+\s*$") for c in columns]
     row = df.agg(
         *[F.count(named(c)).alias(f"n{i}") for i, c in enumerate(columns)],
-        *[unreadable(c, "double").alias(f"d{i}") for i, c in enumerate(columns)],
-        *[w.alias(f"w{i}") for i, w in enumerate(whole)],
+        *[F.count_if(~named(c).rlike(NUMBER_TEXT)).alias(f"d{i}") for i, c in enumerate(columns)],
+        *[F.count_if(~whole).alias(f"w{i}") for i, whole in enumerate(integral)],
+        *[F.count_if(whole & named(c).try_cast("bigint").isNull()).alias(f"o{i}") for i, (c, whole) in enumerate(zip(columns, integral))],
         *[F.count_if(named(c).rlike(r"[0-9]")).alias(f"g{i}") for i, c in enumerate(columns)],
     ).first()
     casts = {}
     for i, name in enumerate(columns):
         if row[f"n{i}"] == 0:
             casts[name] = named(name).cast("double")
-        elif row[f"d{i}"] == 0 and row[f"g{i}"] == row[f"n{i}"]:
+        elif row[f"d{i}"] == 0 and row[f"g{i}"] == row[f"n{i}"] and (row[f"w{i}"] or not row[f"o{i}"]):
             casts[name] = named(name).cast("double" if row[f"w{i}"] else "bigint")
     return replace_columns(df, casts)
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -13,8 +15,8 @@ _local_scratch: dict[str, str] = {}
 def scratch_dir(spark: SparkSession) -> str:
     """Shared folder for intermediate tables, as the cluster names it in ``spark.checkpoint.dir``.
 
-    Only a local-mode session without the setting gets a folder of its own: executors on other
-    machines could not read it.
+    Only a local-mode session without the setting gets a folder of its own, which goes when the process ends:
+    executors on other machines could not read it.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if configured:
@@ -24,6 +26,7 @@ def scratch_dir(spark: SparkSession) -> str:
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     if context.applicationId not in _local_scratch:
         _local_scratch[context.applicationId] = tempfile.mkdtemp(prefix="rowmill-")
+        atexit.register(shutil.rmtree, _local_scratch[context.applicationId], ignore_errors=True)
     return _local_scratch[context.applicationId]
 
 

@@ -19,7 +19,7 @@ from rowmill.storage import new_path
 
 
 def csv_stream(
-    spark: SparkSession, path: str, schema: T.StructType | str, files_per_batch: int = 1000, multi_line: bool = True
+    spark: SparkSession, path: str, schema: T.StructType | str, files_per_batch: int = 1000, multi_line: bool = False
 ) -> DataFrame:
     reader = spark.readStream.schema(schema).option("header", True).option("multiLine", multi_line).option("escape", '"')
     return null_out(reader.option("maxFilesPerTrigger", files_per_batch).csv(path), NULL_TEXTS)

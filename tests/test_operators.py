@@ -201,7 +201,7 @@ def test_lookup_beyond_broadcast_size_gives_the_same(spark):
     df = df.select("row_id", "town", "y")
     profile = profile_categories(df, ["town"], "y")
     small = apply_target_means(df, "town", profile)
-    large = map_values(df, "town", profile.lookup("town"), F.lit(profile.global_mean), 12, broadcast_rows=1)
+    large = map_values(df, "town", profile.lookup("town"), F.lit(profile.global_mean), 12, broadcast_bytes=1)
     assert "_copy" in large._jdf.queryExecution().analyzed().toString()
     assert "_copy" not in small._jdf.queryExecution().analyzed().toString()
     assert sorted(map(tuple, small.collect())) == sorted(map(tuple, large.collect()))

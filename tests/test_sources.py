@@ -38,7 +38,7 @@ def csv_path(tmp_path):
 
 
 def test_csv_with_inference(spark, csv_path):
-    df = read_csv(spark, csv_path)
+    df = read_csv(spark, csv_path, multi_line=True)
     kinds = dict(df.dtypes)
     assert (kinds["_c0"], kinds["n"], kinds["mixed"], kinds["empty"]) == ("bigint", "bigint", "string", "double")
     rows = df.orderBy("_c0").collect()
@@ -49,7 +49,7 @@ def test_csv_with_inference(spark, csv_path):
 def test_csv_with_schema_and_many_files(spark, csv_path, tmp_path):
     (tmp_path / "in" / "b.csv").write_text(CSV.replace("\n0,", "\n7,"), encoding="utf-8")
     schema = f"_c0 long, `{v.GENDER_AGE}` string, `{v.SALARY}` string, n int, mixed string, empty string"
-    df = read_csv(spark, csv_path, schema)
+    df = read_csv(spark, csv_path, schema, multi_line=True)
     assert df.count() == 6 and df.filter("_c0 = 7").count() == 1
     with pytest.raises(AnalysisException):
         read_csv(spark, str(tmp_path / "none"))
