@@ -15,6 +15,7 @@ from rowmill.functions.text import named
 from rowmill.operators.linear import helper_columns, scaling_stage
 from rowmill.operators.scale import fit_standard
 
+FOREST_ROWS = 1_000_000  # labelled rows a forest is grown from; the model on the driver grows with them
 MODEL_TYPES = ("logistic", "random_forest")
 
 
@@ -62,11 +63,13 @@ def train_classifier(
     trees: int = 100,
     max_depth: int = 30,
     seed: int = 42,
+    forest_rows: int = FOREST_ROWS,
 ) -> ClassifierFit:
     """Scaler, balanced classifier and label decoding as one pipeline that saves and loads as a whole.
 
     Logistic models are one against the rest with unit inverse penalty: the regularisation per weighted
-    row is 1 / total weight, and balanced weights add up to the row count.
+    row is 1 / total weight, and balanced weights add up to the row count. Forests are grown from about
+    ``forest_rows`` rows at most, drawn by hash.
     """
     if model_type not in MODEL_TYPES:
         raise ValueError(f"unknown model type: {model_type}")
@@ -75,6 +78,10 @@ def train_classifier(
     if not weights:
         raise ValueError("no training rows")
     classes = sorted(weights)
+    labelled = sum(row["rows"] for row in counted)
+    if model_type == "random_forest" and labelled > forest_rows:
+        share = int(forest_rows / labelled * (1 << 31))
+        df = df.filter(F.pmod(F.xxhash64(*map(named, df.columns)), F.lit(1 << 31)) < share)
     shared = {"featuresCol": "_features", "labelCol": "_label", "weightCol": "_weight"}
     if model_type == "logistic":
         rows = sum(row["rows"] for row in counted)

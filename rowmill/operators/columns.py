@@ -48,10 +48,6 @@ def append_columns(df: DataFrame, other: dict[str, Column]) -> DataFrame:
     return replace_columns(df, other)
 
 
-def rename(df: DataFrame, names: dict[str, str]) -> DataFrame:
-    return df.withColumnsRenamed(names)
-
-
 def union_all(frames: Sequence[DataFrame]) -> DataFrame:
     """Vertical concat by column name; a column absent from one input is null there."""
     result = frames[0]

@@ -56,19 +56,12 @@ def fit_amount_treatment(df: DataFrame, column: str, threshold: float | None) ->
     amount = named(column)
     if not threshold:
         return AmountTreatment(column, None)
-    seen = df.agg(
-        F.count_if(amount > 0).alias("valid"),
-        F.count_if(amount > threshold).alias("over"),
-        F.count_if(F.coalesce(amount <= 0, F.lit(True))).alias("invalid"),
-    ).first()
-    if not seen["valid"]:
+    if df.where(amount > 0).isEmpty():
         return AmountTreatment(column, threshold)
-    cap = fill = None
-    if seen["over"]:
-        usual = F.when((amount > 0) & (amount <= threshold), amount)
-        # no usual amount at all leaves nothing to cap to
-        cap = exact_quantiles(df, {column: usual}, [0.95])[column][0]
-    if seen["invalid"]:
-        capped = amount if cap is None else F.when(amount > threshold, F.lit(cap)).otherwise(amount)
-        fill = exact_quantiles(df, {column: F.when(amount > 0, F.log1p(capped))}, [0.5])[column][0]
+    # Both are fitted whenever there is a valid amount: other rows may need what these rows do not.
+    usual = F.when((amount > 0) & (amount <= threshold), amount)
+    # no usual amount at all leaves nothing to cap to
+    cap = exact_quantiles(df, {column: usual}, [0.95])[column][0]
+    capped = amount if cap is None else F.when(amount > threshold, F.lit(cap)).otherwise(amount)
+    fill = exact_quantiles(df, {column: F.when(amount > 0, F.log1p(capped))}, [0.5])[column][0]
     return AmountTreatment(column, threshold, cap, fill, True)

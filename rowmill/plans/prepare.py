@@ -23,7 +23,7 @@ from rowmill.storage import materialize
 
 @dataclass(frozen=True)
 class PresetOptions:
-    """What a preset does. The ``published`` variants repeat the published behaviour to the letter; the
+    """What a preset does. The ``published`` variants repeat the published choices listed in ``_as_published``; the
     plain ones keep amounts out of the features, do not scale the target and take its log only once."""
 
     salary_threshold: float | None

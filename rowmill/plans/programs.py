@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from rowmill.functions.text import named
 from rowmill.operators.classify import MODEL_TYPES
 from rowmill.operators.columns import split_target
+from rowmill.operators.correlation import correlation_array, correlation_table, near_duplicate_pairs
+from rowmill.operators.evaluate import averaged_metrics, class_distribution
 from rowmill.operators.summary import quality_report
 from rowmill.plans import resume_values as v
 from rowmill.plans.prepare import Prepared, PresetOptions, prepare
@@ -50,8 +52,10 @@ def prepare_records(records: DataFrame, options: PresetOptions, out: str) -> tup
     write_feature_names(spark, prepared.features, f"{out}/names")
     report = quality_report(written, prepared.features, prepared.target)
     report.coalesce(1).write.mode("overwrite").json(f"{out}/quality")
-    rows = report.first()["rows"]
-    check = verify_written(spark, f"{out}/matrix", [ROW_ID, *prepared.features, prepared.target], rows)
+    pairs = correlation_table(spark, prepared.features, correlation_array(written, prepared.features))
+    near_duplicate_pairs(pairs).coalesce(1).write.mode("overwrite").json(f"{out}/near_duplicate_pairs")
+    # counted on the table that was sent, not on what was read back
+    check = verify_written(spark, f"{out}/matrix", [ROW_ID, *prepared.features, prepared.target], prepared.table.count())
     return replace(prepared, table=written), check
 
 
@@ -90,4 +94,9 @@ def train_levels(
         save_classifier(spark, result.fit, out)
     if any(r.per_class is not None for r in results.values()):
         write_class_report(compare_models(results), f"{out}/report")
+        averages = [averaged_metrics(r.per_class).withColumn("model_type", F.lit(k)) for k, r in results.items() if r.per_class is not None]
+        write_class_report(averages, f"{out}/averages")
+    training = [r.training_accuracy.withColumn("model_type", F.lit(k)) for k, r in results.items()]
+    write_class_report(training, f"{out}/training_accuracy")
+    write_class_report(class_distribution(labelled, "level"), f"{out}/distribution")
     return results

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from rowmill.functions.text import named
 from rowmill.operators.classify import ClassifierFit, MODEL_TYPES, classify, encode_labels, train_classifier
-from rowmill.operators.evaluate import class_metrics
+from rowmill.operators.evaluate import accuracy, class_metrics
 from rowmill.operators.joins import align
 from rowmill.operators.labels import LevelRules, keep_labelled, with_levels
 from rowmill.operators.split import with_stratified_test_flag
@@ -37,6 +37,7 @@ class SeniorityResult:
     fit: ClassifierFit
     per_class: DataFrame | None
     scored: DataFrame | None
+    training_accuracy: DataFrame | None = None
 
 
 def train_seniority_models(
@@ -62,7 +63,8 @@ def train_seniority_models(
         report = None
         if testable:
             report = class_metrics(scored, label, "predicted").withColumn("model_type", F.lit(model_type))
-        results[model_type] = SeniorityResult(fit, report, scored)
+        on_training = accuracy(classify(train, fit.model, fit.features), label, "predicted")
+        results[model_type] = SeniorityResult(fit, report, scored, on_training)
     return results
 
 

@@ -34,6 +34,14 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def release_shuffles(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of finished jobs now, not when the driver next happens to collect garbage.
+
+    Spark's cleaner removes them once the plans that made them are collected. Useful after a step is materialized.
+    """
+    spark.sparkContext._jvm.System.gc()
+
+
 def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     """Write ``df`` once as Parquet and continue from the file.
 

@@ -37,3 +37,24 @@ def test_generated_ids_are_stable(spark, tmp_path):
     first, second = records.collect(), records.collect()
     assert sorted(map(str, first)) == sorted(map(str, second))
     assert len({r["row_id"] for r in first}) == len(first)
+
+
+def test_reports_of_the_jobs(spark, tmp_path):
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    write_csv(resumes(spark, SF).withColumnRenamed("row_id", ""), source)
+    records = read_records(spark, source)
+    prepared, check = prepare_records(records, improved(), out)
+    assert check.first()["rows"] == spark.read.parquet(f"{out}/matrix").count()
+    assert spark.read.json(f"{out}/near_duplicate_pairs").first()["near_duplicate_pairs"] >= 0
+    train_levels(records, f"{out}/matrix", f"{out}/levels", ["random_forest"], trees=3, max_depth=4, forest_rows=400)
+    averages = read_csv(spark, f"{out}/levels/averages")
+    assert {r["average"] for r in averages.collect()} == {"macro", "weighted"}
+    assert 0 < read_csv(spark, f"{out}/levels/training_accuracy").first()["accuracy"] <= 1
+    assert abs(sum(r["percent"] for r in read_csv(spark, f"{out}/levels/distribution").collect()) - 100) < 1e-6
+
+
+def test_ids_of_several_files_are_told_apart(spark, tmp_path):
+    for name in "ab":
+        (tmp_path / f"{name}.csv").write_text(f",x\n0,{name}0\n1,{name}1\n")
+    records = read_records(spark, [str(tmp_path / "a.csv"), str(tmp_path / "b.csv")])
+    assert len({r["row_id"] for r in records.collect()}) == 4
