@@ -30,13 +30,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rowmill.llm.shingles import _power_table, buffers, mixed, random_words, slices
-from rowmill.storage import materialize
+from rowmill.storage import materialize, release_shuffles
 
 LENGTH = 50
 FIRST = 24
 HALF = LENGTH // 2
 COMMON = 8
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 2 << 20
 _BYTE = random_words(256, 9)
 _LAST = (1 << 63) - 1
 _INDEX = np.uint64((1 << 32) - 1)
@@ -96,7 +96,9 @@ def runs(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
 
 
 OPEN, DONE, SEEN = 0, 1, 2
-RUN_SCHEMA = "rank long, whole long, id long, copy int, first long, windows int, state int"
+# ``place`` packs, from the high end, a number among texts of equal id, the first window, the windows, the state.
+RUN_SCHEMA = "rank long, whole long, id long, place long"
+COPY_BIT, FIRST_BIT, WINDOWS_BIT = 48, 10, 2
 
 
 def _run_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -116,16 +118,15 @@ def _run_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             state = np.where(ids > ids[new_whole][group], DONE, OPEN)
             different = np.bincount(kind[new_whole])[kind]
             state = np.where((state == OPEN) & (different > COMMON), SEEN, state)
-            columns = [
-                rank.view(np.int64), whole.view(np.int64), ids, copies_of[low:high][row], start - offsets[row], count.astype(np.int32), state.astype(np.int32),
-            ]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["rank", "whole", "id", "copy", "first", "windows", "state"])
+            place = copies_of[low:high][row].astype(np.int64) << COPY_BIT | (start - offsets[row]) << FIRST_BIT | count << WINDOWS_BIT | state
+            columns = [rank.view(np.int64), whole.view(np.int64), ids, place]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["rank", "whole", "id", "place"])
             # One row tells the other slices that the representative is common.
             told = np.flatnonzero(new_rank & (different > COMMON))
             n = len(told)
             if n:
-                columns = [rank[told].view(np.int64), np.zeros(n, np.int64), np.full(n, _LAST), np.zeros(n, np.int32), np.zeros(n, np.int64), np.zeros(n, np.int32), np.full(n, OPEN, np.int32)]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["rank", "whole", "id", "copy", "first", "windows", "state"])
+                columns = [rank[told].view(np.int64), np.zeros(n, np.int64), np.full(n, _LAST), np.full(n, OPEN)]
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["rank", "whole", "id", "place"])
 
 
 def _window_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -137,8 +138,8 @@ def _window_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             begin = np.repeat(first, count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
             n = len(begin)
             rank = np.concatenate([_ranked(data, part) for part in np.array_split(begin, max(1, n // 1_000_000))])
-            columns = [pa.array(rank.view(np.int64)), pa.array(np.full(n, batch.column(0)[i].as_py())), pa.array(np.full(n, batch.column(1)[i].as_py(), np.int32)), pa.array(begin)]
-            yield pa.RecordBatch.from_arrays(columns, ["rank", "id", "copy", "first"])
+            place = begin | np.int64(batch.column(1)[i].as_py() << COPY_BIT)
+            yield pa.RecordBatch.from_arrays([pa.array(rank.view(np.int64)), pa.array(np.full(n, batch.column(0)[i].as_py(), np.int64)), pa.array(place)], ["rank", "id", "place"])
 
 
 def _ranked(data: np.ndarray, begin: np.ndarray) -> np.ndarray:
@@ -174,25 +175,29 @@ def repeated_bytes(docs: DataFrame) -> DataFrame:
     if not texts.groupBy("id").agg(F.count("*").alias("n")).where("n > 1").isEmpty():
         of_id = Window.partitionBy("id").orderBy(F.xxhash64("text"))
         texts = texts.withColumn("copy", F.dense_rank().over(of_id))
-    packed = F.shiftleft("first", 8) + F.col("windows")
+    part = lambda low, bits: F.shiftright("place", low).bitwiseAND(F.lit((1 << bits) - 1))
+    copy, first, windows_of, state = part(COPY_BIT, 15).cast("int"), part(FIRST_BIT, 38), part(WINDOWS_BIT, 8), part(0, 2)
     found = texts.select("id", "copy", F.coalesce("text", F.lit("")).alias("text")).mapInArrow(_run_rows, RUN_SCHEMA)
     by_whole, by_rank = Window.partitionBy("rank", "whole"), Window.partitionBy("rank")
-    earlier = F.min(F.when(F.col("state") != SEEN, F.col("id"))).over(by_whole)
+    earlier = F.min(F.when(state != SEEN, F.col("id"))).over(by_whole)
     sorted_runs = (
         found.repartition("rank")
-        .withColumn("done", (F.col("state") == DONE) | ((F.col("state") == OPEN) & (F.col("windows") > 0) & (F.col("id") > earlier)))
+        .withColumn("done", (state == DONE) | ((state == OPEN) & (windows_of > 0) & (F.col("id") > earlier)))
         .withColumn("low", F.min("id").over(by_rank))
         .withColumn("high", F.max("id").over(by_rank))
         .withColumn("apart", F.min("whole").over(by_rank) != F.max("whole").over(by_rank))
     )
-    still = (F.col("state") == SEEN) | ((F.col("low") < F.col("high")) & F.col("apart"))
-    known = materialize(sorted_runs.where((F.col("windows") > 0) & (F.col("done") | still)).select("id", "copy", packed.alias("run"), "done"), "runs")
+    still = (state == SEEN) | ((F.col("low") < F.col("high")) & F.col("apart"))
+    known = materialize(sorted_runs.where((windows_of > 0) & (F.col("done") | still)).select("id", copy.alias("copy"), (F.shiftleft(first, 8) + windows_of).alias("run"), "done"), "runs")
+    release_shuffles(docs.sparkSession)
     open_runs = known.where("not done").groupBy("id", "copy").agg(F.collect_list("run").alias("runs"))
     shown = texts.where("text is not null").select("id", "copy", F.col("text").cast("binary").alias("text")).join(open_runs.hint("merge"), ["id", "copy"])
-    windows = shown.select("id", "copy", "text", "runs").mapInArrow(_window_rows, "rank long, id long, copy int, first long")
+    windows = shown.select("id", "copy", "text", "runs").mapInArrow(_window_rows, "rank long, id long, place long")
     same = Window.partitionBy("rank")
-    again = windows.withColumn("low", F.min("id").over(same)).where("id > low").select("id", "copy", (F.shiftleft("first", 8) + 1).alias("run"))
-    marks = known.where("done").select("id", "copy", "run").unionByName(materialize(again, "windows")).groupBy("id", "copy").agg(F.collect_list("run").alias("runs"))
+    again = windows.withColumn("low", F.min("id").over(same)).where("id > low")
+    again = materialize(again.select("id", copy.alias("copy"), (F.shiftleft(part(0, 48), 8) + 1).alias("run")), "windows")
+    release_shuffles(docs.sparkSession)
+    marks = known.where("done").select("id", "copy", "run").unionByName(again).groupBy("id", "copy").agg(F.collect_list("run").alias("runs"))
     rows = texts.select("doc_id", "id", "copy", F.col("text").cast("binary").alias("text")).join(marks.hint("merge"), ["id", "copy"], "left")
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<array<long>>"
     return rows.select("doc_id", "text", "runs").mapInArrow(_cut, schema)
