@@ -5,6 +5,7 @@ from __future__ import annotations
 import atexit
 import shutil
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -37,9 +38,12 @@ def new_path(spark: SparkSession, name: str) -> str:
 def release_shuffles(spark: SparkSession) -> None:
     """Let Spark delete the shuffle files of finished jobs now, not when the driver next happens to collect garbage.
 
-    Spark's cleaner removes them once the plans that made them are collected. Useful after a step is materialized.
+    Spark's cleaner removes them once the plans that made them are collected. That takes two collections with time between
+    them: the first one frees what holds the plans. Useful after a step is materialized.
     """
-    spark.sparkContext._jvm.System.gc()
+    for _ in range(2):
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(1)
 
 
 def materialize(df: DataFrame, name: str = "table") -> DataFrame:
