@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 
 from rowmill.llm.shingles import slices
 
-CACHED_PIECES = 300_000
+CACHED_PIECES = 600_000
 SLICE_BYTES = 4 << 20
 _OPEN_SPACE = re.compile(r" \s|\s |^ | $")
 _SPACE = re.compile(r"\s")
