@@ -15,7 +15,8 @@ Ranks are 64-bit hashes. Runs with equal texts are merged before every shuffle,
 different surroundings in one slice goes straight to step 2, so no rank gathers the rows of all documents.
 
 Edge cases: null and empty texts and texts under 50 bytes have nothing removed and repeat nothing; documents
-with equal ids do not count as earlier for each other, whatever their texts; null ids come after all others; an empty
+with equal ids do not count as earlier for each other, whatever their texts (any number of texts under one id is told
+apart by a 64-bit hash of the text, used only if some id is repeated); null ids come after all others; an empty
 table gives an empty result.
 """
 
@@ -96,9 +97,10 @@ def runs(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
 
 
 OPEN, DONE, SEEN = 0, 1, 2
-# ``place`` packs, from the high end, a number among texts of equal id, the first window, the windows, the state.
-RUN_SCHEMA = "rank long, whole long, id long, place long"
-COPY_BIT, FIRST_BIT, WINDOWS_BIT = 48, 10, 2
+# ``place`` packs, from the high end, the first window, the windows, the state. ``copy`` tells texts of equal id apart.
+RUN_SCHEMA = "rank long, whole long, id long, copy long, place long"
+RUN_NAMES = ["rank", "whole", "id", "copy", "place"]
+FIRST_BIT, WINDOWS_BIT = 10, 2
 
 
 def _run_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -118,15 +120,15 @@ def _run_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             state = np.where(ids > ids[new_whole][group], DONE, OPEN)
             different = np.bincount(kind[new_whole])[kind]
             state = np.where((state == OPEN) & (different > COMMON), SEEN, state)
-            place = copies_of[low:high][row].astype(np.int64) << COPY_BIT | (start - offsets[row]) << FIRST_BIT | count << WINDOWS_BIT | state
-            columns = [rank.view(np.int64), whole.view(np.int64), ids, place]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["rank", "whole", "id", "place"])
+            place = (start - offsets[row]) << FIRST_BIT | count << WINDOWS_BIT | state
+            columns = [rank.view(np.int64), whole.view(np.int64), ids, copies_of[low:high][row], place]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], RUN_NAMES)
             # One row tells the other slices that the representative is common.
             told = np.flatnonzero(new_rank & (different > COMMON))
             n = len(told)
             if n:
-                columns = [rank[told].view(np.int64), np.zeros(n, np.int64), np.full(n, _LAST), np.full(n, OPEN)]
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["rank", "whole", "id", "place"])
+                columns = [rank[told].view(np.int64), np.zeros(n, np.int64), np.full(n, _LAST), np.zeros(n, np.int64), np.full(n, OPEN)]
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], RUN_NAMES)
 
 
 def _window_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -138,8 +140,8 @@ def _window_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             begin = np.repeat(first, count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
             n = len(begin)
             rank = np.concatenate([_ranked(data, part) for part in np.array_split(begin, max(1, n // 1_000_000))])
-            place = begin | np.int64(batch.column(1)[i].as_py() << COPY_BIT)
-            yield pa.RecordBatch.from_arrays([pa.array(rank.view(np.int64)), pa.array(np.full(n, batch.column(0)[i].as_py(), np.int64)), pa.array(place)], ["rank", "id", "place"])
+            doc = [pa.array(np.full(n, batch.column(j)[i].as_py(), np.int64)) for j in (0, 1)]
+            yield pa.RecordBatch.from_arrays([pa.array(rank.view(np.int64)), *doc, pa.array(begin)], ["rank", "id", "copy", "first"])
 
 
 def _ranked(data: np.ndarray, begin: np.ndarray) -> np.ndarray:
@@ -171,12 +173,11 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def repeated_bytes(docs: DataFrame) -> DataFrame:
     """One row per document: ``doc_id, n_bytes, n_removed, n_spans, kept_sha256, spans`` (begin and end bytes removed)."""
-    texts = docs.select("doc_id", F.coalesce("doc_id", F.lit(_LAST)).alias("id"), F.lit(0).alias("copy"), "text")
+    texts = docs.select("doc_id", F.coalesce("doc_id", F.lit(_LAST)).alias("id"), F.lit(0).cast("long").alias("copy"), "text")
     if not texts.groupBy("id").agg(F.count("*").alias("n")).where("n > 1").isEmpty():
-        of_id = Window.partitionBy("id").orderBy(F.xxhash64("text"))
-        texts = texts.withColumn("copy", F.dense_rank().over(of_id))
+        texts = texts.withColumn("copy", F.xxhash64("text"))
     part = lambda low, bits: F.shiftright("place", low).bitwiseAND(F.lit((1 << bits) - 1))
-    copy, first, windows_of, state = part(COPY_BIT, 15).cast("int"), part(FIRST_BIT, 38), part(WINDOWS_BIT, 8), part(0, 2)
+    first, windows_of, state = F.shiftright("place", FIRST_BIT), part(WINDOWS_BIT, 8), part(0, 2)
     found = texts.select("id", "copy", F.coalesce("text", F.lit("")).alias("text")).mapInArrow(_run_rows, RUN_SCHEMA)
     by_whole, by_rank = Window.partitionBy("rank", "whole"), Window.partitionBy("rank")
     earlier = F.min(F.when(state != SEEN, F.col("id"))).over(by_whole)
@@ -188,14 +189,14 @@ def repeated_bytes(docs: DataFrame) -> DataFrame:
         .withColumn("apart", F.min("whole").over(by_rank) != F.max("whole").over(by_rank))
     )
     still = (state == SEEN) | ((F.col("low") < F.col("high")) & F.col("apart"))
-    known = materialize(sorted_runs.where((windows_of > 0) & (F.col("done") | still)).select("id", copy.alias("copy"), (F.shiftleft(first, 8) + windows_of).alias("run"), "done"), "runs")
+    known = materialize(sorted_runs.where((windows_of > 0) & (F.col("done") | still)).select("id", "copy", (F.shiftleft(first, 8) + windows_of).alias("run"), "done"), "runs")
     release_shuffles(docs.sparkSession)
     open_runs = known.where("not done").groupBy("id", "copy").agg(F.collect_list("run").alias("runs"))
     shown = texts.where("text is not null").select("id", "copy", F.col("text").cast("binary").alias("text")).join(open_runs.hint("merge"), ["id", "copy"])
-    windows = shown.select("id", "copy", "text", "runs").mapInArrow(_window_rows, "rank long, id long, place long")
+    windows = shown.select("id", "copy", "text", "runs").mapInArrow(_window_rows, "rank long, id long, copy long, first long")
     same = Window.partitionBy("rank")
     again = windows.withColumn("low", F.min("id").over(same)).where("id > low")
-    again = materialize(again.select("id", copy.alias("copy"), (F.shiftleft(part(0, 48), 8) + 1).alias("run")), "windows")
+    again = materialize(again.select("id", "copy", (F.shiftleft("first", 8) + 1).alias("run")), "windows")
     release_shuffles(docs.sparkSession)
     marks = known.where("done").select("id", "copy", "run").unionByName(again).groupBy("id", "copy").agg(F.collect_list("run").alias("runs"))
     rows = texts.select("doc_id", "id", "copy", F.col("text").cast("binary").alias("text")).join(marks.hint("merge"), ["id", "copy"], "left")

@@ -151,6 +151,22 @@ def test_null_ids_come_last_for_repeats(spark):
     assert got == {None: 60, 5: 0}
 
 
+def test_many_texts_under_one_null_id(spark):
+    """More than 32,768 different texts under the null id, a quarter of which repeat the first document after their own number."""
+    shared, n = "shared passage of sixty bytes, the same in every text, end.", 33_500
+    docs = spark.range(n, numPartitions=4).select(
+        F.lit(None).cast("long").alias("doc_id"),
+        F.concat(F.col("id").cast("string"), F.expr("repeat('.', id % 3)"), F.when(F.col("id") % 4 == 0, shared).otherwise("")).alias("text"),
+    )
+    docs = docs.unionByName(spark.createDataFrame([(5, shared)], "doc_id long, text string"))
+    want = {}
+    for i in range(n):
+        own = f"{i}{'.' * (i % 3)}"
+        want[hashlib.sha256(own.encode()).hexdigest()] = len(shared) if i % 4 == 0 else 0
+    got = repeated_bytes(docs).where("doc_id is null").collect()
+    assert len(got) == n and {r.kept_sha256: r.n_removed for r in got} == want
+
+
 def test_fingerprints(spark):
     rows = corpus(5) + [(7, "again again again again again again", ), (7, "again again again again again again"), (None, "no id at all here now"), (1000, "é" * 7)]
     docs = spark.createDataFrame([(d, t, "x") for d, t in rows], "doc_id long, text string, sketch string")
