@@ -2,7 +2,9 @@
 
 1. Each page is cut into blocks, each with the path of containers around it (tags with generalised classes:
    digits become ``#``). A container's score is the text directly in its blocks, less what is link text, and half of that
-   of the containers inside it. The best container of the page is its vote.
+   of the containers inside it. The best container of the page, lifted to the nearest article or main around it, is its
+   vote. Without one it is lifted to the parent while that adds text without links: to the body only if that adds
+   nothing but blocks directly in the body, as other containers there are not known to belong to the text.
 2. Spark adds up the votes of a host by path; the path with most votes wins (then by score, then by text).
 3. Pages are extracted with the winning path of their host: all blocks inside such containers. A page without one is
    extracted with its own best container.
@@ -87,6 +89,11 @@ def _noise(name: str, attributes: str) -> tuple[bool, str]:
     return noise, classes
 
 
+def _named(path: str) -> str:
+    """Name of the last element of a path."""
+    return path.rsplit("/", 1)[-1].split(".", 1)[0]
+
+
 class Page:
     """Blocks of a page in order: text, characters of link text, and the paths of the containers around."""
 
@@ -187,10 +194,32 @@ class Page:
                 worth /= 2
         return max(scores.items(), key=lambda s: (s[1], -len(s[0]), s[0]), default=None)
 
+    def vote(self) -> tuple[str, float] | None:
+        """Path and score of the best container, the path lifted to the whole article around it."""
+        if not (found := self.best()):
+            return None
+        path, score = found
+        parents = {p: above for _, _, chain in self.blocks for above, p in zip(("", *chain), chain) if above != p}
+        up = path
+        while up:
+            if _named(up) in ("article", "main"):
+                return up, score
+            up = parents[up]
+        while (up := parents.get(path, "")) and self._adds_text(up, path):
+            path = up
+        return path, score
+
+    def _adds_text(self, up: str, path: str) -> bool:
+        """Whether what the container ``up`` holds besides ``path`` is text of the same article."""
+        added = [(text, links, chain) for text, links, chain in self.blocks if up in chain and path not in chain]
+        if _named(up) == "body" and any(chain[-1] != up for _, _, chain in added):
+            return False
+        return bool(added) and all(2 * links <= len(text) for text, links, _ in added)
+
     def text(self, path: str | None) -> str:
         inside = [text for text, _, chain in self.blocks if path in chain]
         if not inside and self.blocks:
-            own = self.best()[0]
+            own = self.vote()[0]
             inside = [text for text, _, chain in self.blocks if own in chain]
         return "\n".join(inside)
 
@@ -199,10 +228,10 @@ def _votes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         votes: dict[tuple[str, str], list] = defaultdict(lambda: [0, 0.0])
         for url, html in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            if best := Page(html).best():
-                vote = votes[host_of(url), best[0]]
+            if found := Page(html).vote():
+                vote = votes[host_of(url), found[0]]
                 vote[0] += 1
-                vote[1] += best[1]
+                vote[1] += found[1]
         keys = list(votes)
         columns = [[k[0] for k in keys], [k[1] for k in keys], [votes[k][0] for k in keys], [votes[k][1] for k in keys]]
         kinds = [pa.string(), pa.string(), pa.int64(), pa.float64()]

@@ -56,3 +56,20 @@ def test_host_votes_win(spark):
     assert texts[5] == "5 main text here, quite long indeed." and texts[6] == "only" and texts[7] == "no url" and texts[8] == texts[None] == ""
     assert all(r.n_chars == len(r.text) for r in got)
     assert main_texts(pages.limit(0)).count() == 0
+
+
+def test_votes_are_lifted_to_the_article(spark):
+    long = "A long section of the article which holds most of the text of this page, without any doubt. " * 3
+    article = f"<body><div class='x'>Elsewhere</div><article><h1>Title</h1><p>intro</p><section><h2>A</h2><p>{long}</p></section><p>between</p><section><p>{long}</p></section><p>after</p></article></body>"
+    entry = f"<body><article><h1>Title</h1><div class='entry-content'><p>{long}</p></div><p>after</p></article></body>"
+    plain = f"<body><div class='top'><p>Elsewhere</p></div><div class='post'><h1>Title</h1><div class='entry-content'><p>{long}</p></div></div></body>"
+    direct = f"<body><h1>Title</h1><p>intro</p><div class='text'><p>{long}</p></div></body>"
+    linked = f"<body><div class='wrap'><p><a href='/'>All of our other pages</a></p><div class='text'><p>{long}</p></div></div></body>"
+    rows = [(i, f"http://{host}.org/{i}", page) for i, (host, page) in enumerate([("a", article), ("b", entry), ("c", plain), ("d", direct), ("e", linked)] * 2)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert {r.host: r.path for r in host_paths(pages).collect()} == {
+        "a.org": "/body/article", "b.org": "/body/article", "c.org": "/body/div.post", "d.org": "/body", "e.org": "/body/div.wrap/div.text",
+    }
+    body = long.strip()
+    want = [f"Title\nintro\nA\n{body}\nbetween\n{body}\nafter", f"Title\n{body}\nafter", f"Title\n{body}", f"Title\nintro\n{body}", body]
+    assert {r.page_id: r.text for r in main_texts(pages).collect()} == dict(enumerate(want * 2))
