@@ -10,7 +10,11 @@
    extracted with its own best container.
 
 Menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and reader comments are left out, known by
-tag, role or words in class and id. A header inside the article keeps its headings. White space inside a block (line
+tag, role or words in class and id. Words that articles use as well (``AMBIGUOUS``) count for containers only, not in
+the id of a section, and not if a header's name says it is the article's. Ids of headings, paragraphs and other text
+are not judged. A container known by words alone stays if it holds more than half of the page's text without links;
+reader comments, adverts and consents (``APART``) do so only around an article, a main or a first heading. A header
+element inside the article keeps its headings. White space inside a block (line
 break elements included) becomes one space; blocks are joined by line breaks; character references are decoded.
 
 Edge cases: a null or empty page has an empty text and no vote; a page cut off inside a tag or comment ends there;
@@ -52,6 +56,18 @@ NOISE = {
     *"share sharing social related recommended recommendations teaser tags form search hidden".split(),
 }
 
+AMBIGUOUS = {
+    *"header masthead notice notices alert reply replies respond response responses discussion".split(),
+    *"share sharing social related recommended recommendations teaser tags form search hidden".split(),
+}
+APART = {
+    *"ad ads adv advert adverts advertisement advertising sponsor sponsored cookie cookies consent gdpr".split(),
+    *"popup modal overlay newsletter subscribe signup login comment comments commentlist disqus".split(),
+}
+OF_ARTICLE = {*"article post entry story content title section".split()}
+TEXT_BLOCKS = {*"h1 h2 h3 h4 h5 h6 hgroup p li dt dd blockquote pre figure figcaption caption".split()}
+STRAY, NAMED, SET_APART = 1, 2, 3  # left out for certain, by name unless it holds most text, by name of an APART kind
+
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
     rf"|<(?P<raw>{UNREAD.replace(' ', '|')})\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
@@ -70,23 +86,39 @@ def host_of(url: str | None) -> str:
     return found[1].lower() if found else ""
 
 
-def _noise(name: str, attributes: str) -> tuple[bool, str]:
-    """Whether an element is left out, and its generalised class names."""
+def _named_noise(name: str, key: str, value: str) -> int:
+    """How a class or id marks an element: not (0) or as one of the kinds of noise."""
+    text = name in TEXT_BLOCKS or name in INLINE
+    if name in ("body", "html", "main", "article") or (text and key == "id"):
+        return 0
+    tokens = [{w.lower() for w in _WORDS.findall(token)} for token in value.split()]
+    noisy = set()
+    for words in tokens:
+        noisy |= (words & NOISE) - ({"header"} if words & OF_ARTICLE else set())
+    if text or (name == "section" and key == "id"):
+        noisy -= AMBIGUOUS
+    if not noisy:
+        return 0
+    return STRAY if text else SET_APART if noisy & APART else NAMED
+
+
+def _noise(name: str, attributes: str) -> tuple[int, str]:
+    """Whether and how an element is left out, and its generalised class names."""
+    noise = STRAY if name in LEFT_OUT else 0
     if not attributes.strip():
-        return name in LEFT_OUT, ""
-    classes, noise = "", name in LEFT_OUT
+        return noise, ""
+    classes, by_name = "", 0
     for found in _ATTRIBUTE.finditer(attributes):
         key, value = (found[1] or "hidden").lower(), found[2] or found[3] or found[4] or ""
         if key in ("class", "id"):
-            words = {w.lower() for token in value.split() for w in _WORDS.findall(token)}
-            noise |= bool(words & NOISE) and name not in ("body", "html", "main", "article")
+            by_name = max(by_name, _named_noise(name, key, value), key=lambda kind: (kind == STRAY, kind))
             if key == "class":
                 classes = "".join(f".{_DIGITS.sub('#', c)}" for c in sorted(value.split()))
         elif key == "role":
             noise |= value.lower() in ROLES
         elif key == "hidden" or (key == "aria-hidden" and value == "true") or (key == "style" and "display:none" in value.replace(" ", "")):
-            noise = True
-    return noise, classes
+            noise = STRAY
+    return noise or by_name, classes
 
 
 def _named(path: str) -> str:
@@ -99,8 +131,12 @@ class Page:
 
     def __init__(self, html: str | None):
         self.blocks: list[tuple[str, int, tuple[str, ...]]] = []
-        self.stack: list[tuple[str, str, bool]] = []  # name, path, left out
+        self.stack: list[tuple[str, str, int]] = []  # name, path, left out
         self.muted = 0
+        self.doubtful: list[int] = []  # containers around that are left out unless they hold most text
+        self.kinds: list[int] = []
+        self.around_article: set[int] = set()
+        self.within: list[tuple[int, ...]] = []  # of each block
         self.parts: list[str] = []
         self.links, self.in_link = 0, False
         html = html or ""
@@ -113,6 +149,21 @@ class Page:
                 self._tag(name.lower(), bool(token["end"]), token["rest"])
         self._text(html[at:])
         self._flush()
+        if any(self.within):
+            self._settle()
+
+    def _settle(self) -> None:
+        """Leave out the blocks of doubtful containers that do not hold most of the text."""
+        worth = [len(text) - links for text, links, _ in self.blocks]
+        dropped = {k for k, kind in enumerate(self.kinds) if kind == SET_APART and k not in self.around_article}
+        held, total = [0] * len(self.kinds), 0
+        for w, within in zip(worth, self.within):
+            if dropped.isdisjoint(within):
+                total += w
+                for k in within:
+                    held[k] += w
+        dropped |= {k for k, h in enumerate(held) if 2 * h <= total}
+        self.blocks = [block for block, within in zip(self.blocks, self.within) if dropped.isdisjoint(within)]
 
     def _text(self, text: str) -> None:
         if not self.muted:
@@ -124,6 +175,7 @@ class Page:
         if text:
             chain = tuple(path for name, path, _ in self.stack if name in CONTAINERS) or ("",)
             self.blocks.append((text, min(self.links, len(text)), chain))
+            self.within.append(tuple(self.doubtful))
         self.parts, self.links, self.in_link = [], 0, False
 
     def _tag(self, name: str, end: bool, attributes: str) -> None:
@@ -147,19 +199,29 @@ class Page:
             self._close_open(CLOSES.get(name, ()))
             noise, classes = _noise(name, attributes)
             if name == "header":
-                noise |= not any(s[0] in ("article", "main") for s in self.stack)
+                noise = STRAY if not any(s[0] in ("article", "main") for s in self.stack) else noise
             inside_header = any(s[0] == "header" for s in self.stack)
-            noise |= inside_header and name not in ("h1", "h2", "h3", "h4", "h5", "h6", "div", "hgroup")
+            if inside_header and name not in ("h1", "h2", "h3", "h4", "h5", "h6", "div", "hgroup"):
+                noise = STRAY
+            if self.doubtful and name in ("article", "main", "h1") and not (noise or self.muted):
+                if NOISE.isdisjoint(w.lower() for w in _WORDS.findall(classes)):  # comments are articles at times
+                    self.around_article.update(self.doubtful)
             self._push(name, classes, noise)
 
     def _push(self, name: str, classes: str, noise: bool) -> None:
         above = self.stack[-1][1] if self.stack else ""
         path = f"{above}/{name}{classes}" if name in CONTAINERS and len(self.stack) < DEEPEST else above
         self.stack.append((name, path, noise))
-        self.muted += noise
+        self.muted += noise == STRAY
+        if noise > STRAY:
+            self.doubtful.append(len(self.kinds))
+            self.kinds.append(noise)
 
     def _pop(self) -> None:
-        self.muted -= self.stack.pop()[2]
+        noise = self.stack.pop()[2]
+        self.muted -= noise == STRAY
+        if noise > STRAY:
+            self.doubtful.pop()
 
     def _close_open(self, names) -> None:
         """End an open item of the same list or row, if there is one."""

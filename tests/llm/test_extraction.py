@@ -73,3 +73,23 @@ def test_votes_are_lifted_to_the_article(spark):
     body = long.strip()
     want = [f"Title\nintro\nA\n{body}\nbetween\n{body}\nafter", f"Title\n{body}\nafter", f"Title\n{body}", f"Title\nintro\n{body}", body]
     assert {r.page_id: r.text for r in main_texts(pages).collect()} == dict(enumerate(want * 2))
+
+
+def test_names_with_words_of_articles():
+    long = "Much of the text of this page stands in this paragraph, so that it is the article. " * 3
+    body = long.strip()
+    text = lambda inner: Page(f"<body><article><p>{long}</p>{inner}</article></body>").text("/body/article")
+    for inner, kept in [
+        ("<h2 id='form-and-function'>Form and function</h2>", "Form and function"), ("<p class='notice'>Note this.</p>", "Note this."),
+        ("<section id='discussion'><h2>Discussion</h2><p>We think so.</p></section>", "Discussion\nWe think so."),
+        ("<div class='article-header'><h1>Title</h1></div>", "Title"), ("<ul><li id='search'>one</ul>", "one"),
+    ]:
+        assert text(inner) == f"{body}\n{kept}"
+    for inner in ("<section class='comments'><p>Hello hello</p></section>", "<div class='share'><p>Tell others</p></div>", "<p class='ad'>Buy</p>", "<div id='site-header'>Top</div>", "<div class='related'><p>More</p></div>"):
+        assert text(inner) == body
+    wrapped = f"<body><div class='with-sidebar'><div class='text'><p>{long}</p></div><div class='sidebar'><p>Side</p></div></div><div class='ad'>Buy</div></body>"
+    assert Page(wrapped).text("/body/div.with-sidebar") == body
+    talk = f"<body><article><p>Short article.</p></article><section class='comments'><p>{long}</p></section></body>"
+    assert Page(talk).text("/body") == "Short article."
+    assert Page(talk.replace("<p>Much", "<article class='comment'><p>Much", 1)).text("/body") == "Short article."
+    assert Page(f"<body><div id='no-comments'><h1>Title</h1><p>{long}</p></div></body>").text("/body") == f"Title\n{body}"
