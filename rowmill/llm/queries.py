@@ -1,4 +1,15 @@
 """All queries of this subpackage, by name."""
 
-from rowmill.llm import decontaminate_queries, extraction_queries, fingerprint_queries, mixing_queries, near_queries, repeat_queries, token_queries, toxicity_queries, warc_queries  # noqa: F401
+from rowmill.llm import (  # noqa: F401
+    decontaminate_queries,
+    extraction_queries,
+    fingerprint_queries,
+    mixing_queries,
+    near_queries,
+    repeat_queries,
+    square_queries,
+    token_queries,
+    toxicity_queries,
+    warc_queries,
+)
 from rowmill.llm.tables import ORACLES, QUERIES  # noqa: F401
