@@ -4,6 +4,7 @@ from rowmill.llm import (  # noqa: F401
     decontaminate_queries,
     extraction_queries,
     fingerprint_queries,
+    interpolation_queries,
     mixing_queries,
     near_queries,
     repeat_queries,
