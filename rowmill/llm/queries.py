@@ -11,6 +11,7 @@ from rowmill.llm import (  # noqa: F401
     square_queries,
     token_queries,
     toxicity_queries,
+    trie_queries,
     warc_queries,
 )
 from rowmill.llm.tables import ORACLES, QUERIES  # noqa: F401
