@@ -6,16 +6,15 @@ of two of how often the context was seen: the two words before, else the one wor
 expectation-maximisation: a tenth of the training texts is deleted, the frequencies of the others are mixed to predict its
 counts, and every step is one aggregate by bucket over all its counts. The model then takes frequencies from all training texts.
 
-How it runs. Texts are read in slices of some megabytes. A slice sends its distinct words, bigrams and trigrams, as hashes with counts, to
+How it runs. Texts are read in slices of some megabytes, which are written as word numbers. A slice sends its distinct words, bigrams and trigrams, as hashes with counts, to
 ranges of hashes (one shuffle); there the counts of all slices are added, and each slice is answered with the totals of what it sent, in its own order.
 So an n-gram in a third of all texts is one row per slice, and nothing is broadcast but some hundred weights and four totals. The
-number of ranges grows with the text. Words have 64-bit hashes. Longer n-grams have log2 of the text's bytes plus 20 bits, at most 64: an unseen one is taken for
-a seen one with a probability of about 2^-20.
+number of ranges grows with the text. Words have 64-bit hashes. Longer n-grams have log2 of the text's bytes plus 14 bits, at most 64: an unseen one is taken for
+a seen one with a probability of about 2^-14.
 
 Edge cases: a null text is an empty one, whose only token is its end. Null and repeated ids are kept, a row each; null ids
 are learned from as the caller's column says. Without training texts every estimate but the last is zero. Texts beyond a slice are
-cut at white space and go on in the next one. The rows of ``docs`` must come in the same order when Spark reads a part
-again, as those of a written table do; a slice whose answers do not fit it raises an error.
+cut at white space and go on in the next one.
 """
 
 from __future__ import annotations
@@ -34,7 +33,7 @@ from rowmill.llm.shingles import mixed, slices, words
 from rowmill.session import ship_package
 from rowmill.storage import materialize
 
-SLICE_BYTES = 6 << 20  # text of a slice; there is a range of hashes for every slice or half of one
+SLICE_BYTES = 8 << 20  # text of a slice; there is a range of hashes for every slice or half of one
 MOST_STEPS, LEAST_GAIN = 20, 1e-4  # steps of expectation-maximisation, and the gain in log10 per token that is worth another
 BUCKETS = 129
 UNSEEN, KEPT, DELETED = 0, 1, 2
@@ -147,30 +146,45 @@ _ARROW = pa.schema([
 ])
 
 
-def _sent(batches: Iterator[pa.RecordBatch], ranges: int, bits: int, slice_bytes: int) -> Iterator[pa.RecordBatch]:
-    """Per slice a row with its texts, and one with its n-grams for each range."""
+def _texts(batches: Iterator[pa.RecordBatch], slice_bytes: int) -> Iterator[pa.RecordBatch]:
+    """Per slice a row with its words, numbered by how often they occur there, and the number of each token's word."""
     number = TaskContext.get().partitionId() << 32
     for batch in batches:
         started = None
         for fold, rows, tokens, ends in _slices_of(batch, slice_bytes):
             started = number if not tokens.going_on else started
-            _, counting = tokens.places()
-            distinct, places = np.unique(tokens.tokens, return_inverse=True)
+            distinct, places, n = np.unique(tokens.tokens, return_inverse=True, return_counts=True)
+            order = np.lexsort((distinct, -n))
+            rank = np.empty(len(order), np.int64)
+            rank[order] = np.arange(len(order))
             yield _row(
-                slice=number, range=-1, fold=fold, payload=_join([_pack(distinct, True), _pack(places)]), tokens=int(counting.sum()), texts=int(ends) + len(rows) - 1,
-                doc_ids=batch.column(0).take(pa.array(rows)).to_pylist(), parts=[{"slice": started, "place": i} for i in range(len(rows))],
+                slice=number, range=-1, fold=fold, payload=_join([_pack(distinct[order], True), _pack(rank[places])]), tokens=int(tokens.places()[1].sum()),
+                texts=int(ends) + len(rows) - 1, doc_ids=batch.column(0).take(pa.array(rows)).to_pylist(), parts=[{"slice": started, "place": i} for i in range(len(rows))],
                 sizes=tokens.sizes.tolist(), going_on=tokens.going_on,
             )
+            number += 1
+
+
+def _read(row: dict) -> Slice:
+    distinct, places = _split(row["payload"], 2)
+    return Slice(_unpack(distinct, True)[_unpack(places).astype(np.int64)], np.array(row["sizes"], np.int64), row["going_on"])
+
+
+def _sent(batches: Iterator[pa.RecordBatch], ranges: int, bits: int) -> Iterator[pa.RecordBatch]:
+    """Per slice and range of hashes a row with the slice's distinct n-grams and their counts."""
+    for batch in batches:
+        for row in batch.to_pylist():
+            tokens = _read(row)
+            _, counting = tokens.places()
             found = []
             for order, keys in enumerate(tokens.keys(bits)):
                 keys, at = np.unique(keys, return_inverse=True)
-                counts = np.bincount(at, counting, len(keys)) if fold != UNSEEN else np.zeros(len(keys))
+                counts = np.bincount(at, counting, len(keys)) if row["fold"] != UNSEEN else np.zeros(len(keys))
                 found.append((keys, counts, np.concatenate([[0], _range_ends(keys, bits if order else 64, ranges)])))
             for r in range(ranges):
                 cut = [(keys[ends[r] : ends[r + 1]], counts[ends[r] : ends[r + 1]]) for keys, counts, ends in found]
                 if any(len(keys) for keys, _ in cut):
-                    yield _row(slice=number, range=r, fold=fold, payload=_join([p for keys, counts in cut for p in (_pack(keys, True), _pack(counts))]))
-            number += 1
+                    yield _row(slice=row["slice"], range=r, fold=row["fold"], payload=_join([p for keys, counts in cut for p in (_pack(keys, True), _pack(counts))]))
 
 
 def _groups(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[list[dict]]:
@@ -187,11 +201,8 @@ def _groups(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[list[dic
 
 
 def _answered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per range, totals over all slices for each slice's n-grams; rows with texts pass through."""
+    """Per range, totals over all slices for each slice's n-grams."""
     for group in _groups(batches, "range"):
-        if group[0]["range"] < 0:
-            yield from (_row(**row) for row in group)
-            continue
         parts = [_split(row.pop("payload"), 6) for row in group]
         folds = np.array([row["fold"] for row in group])
         answers: list[list[bytes]] = [[] for _ in group]
@@ -227,15 +238,12 @@ class Totals:
 def _counts(group: list[dict], bits: int, kept: bool, totals: Totals):
     """A slice's texts with what was counted of each token: the n-grams that end there, and their contexts."""
     texts = next(row for row in group if row["range"] < 0)
-    distinct, places = _split(texts["payload"], 2)
-    tokens = Slice(_unpack(distinct, True)[_unpack(places).astype(np.int64)], np.array(texts["sizes"], np.int64), texts["going_on"])
+    tokens = _read(texts)
     answers = [_split(row["payload"], 6) for row in sorted((r for r in group if r["range"] >= 0), key=lambda r: r["range"])]
     found = []
     for order, keys in enumerate(tokens.keys(bits)):
         keys, at = np.unique(keys, return_inverse=True)
         known = np.concatenate([_unpack(a[2 * order + kept]) for a in answers]).astype(np.float64)
-        if len(known) != len(keys):
-            raise RuntimeError("a slice's answers do not fit it: its rows were read in another order the second time")
         found.append(known[at])
     first, counting = tokens.places()
     contexts = []
@@ -313,27 +321,28 @@ def interpolated_scores(docs: DataFrame, learn: Column, slice_bytes: int = SLICE
     ship_package(spark)
     size = docs.agg(F.sum(F.octet_length("text")).alias("bytes")).first()["bytes"] or 0
     ranges = 1 << (size // slice_bytes).bit_length()
-    bits = min(64, max(32, int(size).bit_length() + 20))
+    bits = min(64, max(32, int(size).bit_length() + 14))
     deleted = F.pmod(F.xxhash64(F.col("doc_id").cast("bigint"), F.col("text")), F.lit(10)) == 0
     fold = F.when(~F.coalesce(learn, F.lit(False)), UNSEEN).when(deleted, DELETED).otherwise(KEPT)
-    sent = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"), fold.cast("int").alias("fold")).mapInArrow(lambda b: _sent(b, ranges, bits, slice_bytes), _ROWS)
-    # rows with texts are dealt by slice, so no task gets them all
-    dealt = F.when(F.col("range") >= 0, F.col("range")).otherwise(F.pmod(F.hash("slice"), F.lit(ranges)))
-    at_ranges = sent.withColumn("to", dealt).repartitionByRange(ranges, "to").sortWithinPartitions("range", "slice").drop("to")
-    answered = materialize(at_ranges.mapInArrow(_answered, _ROWS), "answers")
+    numbered = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"), fold.cast("int").alias("fold"))
+    texts = materialize(numbered.mapInArrow(lambda b: _texts(b, slice_bytes), _ROWS), "slices")
+    sent = texts.mapInArrow(lambda b: _sent(b, ranges, bits), _ROWS).repartition(ranges, "range").sortWithinPartitions("range", "slice")
+    answers = materialize(sent.mapInArrow(_answered, _ROWS), "answers")
 
     learned, kept = F.col("fold") != UNSEEN, F.col("fold") == KEPT
-    sums = [F.sum(F.when(on, F.col(c))) for on in (learned, kept) for c in ("tokens", "texts")] + [F.sum("known"), F.sum("known_kept")]
-    tokens, texts, kept_tokens, kept_texts, known, kept_known = (x or 0 for x in answered.agg(*sums).first())
-    totals = Totals(tokens, texts, known, kept_tokens, kept_texts, kept_known)
+    sums = [F.sum(F.when(on, F.col(c))) for on in (learned, kept) for c in ("tokens", "texts")]
+    tokens, n_texts, kept_tokens, kept_texts = (x or 0 for x in texts.agg(*sums).first())
+    known, kept_known = (x or 0 for x in answers.agg(F.sum("known"), F.sum("known_kept")).first())
+    totals = Totals(tokens, n_texts, known, kept_tokens, kept_texts, kept_known)
 
-    def by_slice(rows: DataFrame) -> DataFrame:
+    def by_slice(wanted: Column) -> DataFrame:
+        rows = texts.where(wanted).unionByName(answers.where(wanted))
         return rows.repartition(ranges, "slice").sortWithinPartitions("slice", "range")
 
     counts = "bucket bigint, c3 bigint, h3 bigint, c2 bigint, h2 bigint, c1 bigint, n bigint"
-    held_out = materialize(by_slice(answered.where(F.col("fold") == DELETED)).mapInArrow(lambda b: _held_out_counts(b, bits, totals), counts), "held-out")
+    held_out = materialize(by_slice(F.col("fold") == DELETED).mapInArrow(lambda b: _held_out_counts(b, bits, totals), counts), "held-out")
     weights = fit_weights(held_out, totals)
-    scored = by_slice(answered).mapInArrow(
+    scored = by_slice(F.lit(True)).mapInArrow(
         lambda b: _scored(b, bits, totals, weights),
         "slice bigint, place int, doc_id bigint, n_tokens bigint, n_known bigint, base_score double, score double",
     )
