@@ -40,6 +40,24 @@ def csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_csv(spark, path)
 
 
+@query(
+    "q_csv_multiline_split",
+    """SELECT doc_id, strlen(text) AS n_bytes, md5(text) AS digest, 'say "' || lang || '",' || chr(10) AS quoted FROM documents""",
+)
+def csv_multiline_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts with line breaks and quotes through one file that is read in many ranges."""
+    path, small = new_path(spark, "texts-csv"), "spark.sql.files.maxPartitionBytes"
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", F.concat(F.lit('say "'), "lang", F.lit('",\n')).alias("quoted"))
+    write_csv(docs.coalesce(1), path)
+    before = spark.conf.get(small)
+    spark.conf.set(small, "256k")
+    try:
+        read = materialize(read_csv(spark, path, null_texts=()), "texts")
+    finally:
+        spark.conf.set(small, before)
+    return read.select("doc_id", F.octet_length("text").cast("bigint").alias("n_bytes"), F.md5("text").alias("digest"), "quoted")
+
+
 @query(
     "q_csv_seats",
     """SELECT o_orderkey AS k, CAST(9000000000000000000 + o_orderkey AS BIGINT) AS id,

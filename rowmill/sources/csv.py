@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from rowmill.functions.numeric import NUMBER_TEXT
 from rowmill.functions.text import named
 from rowmill.operators.columns import replace_columns, text_columns
+from rowmill.sources.csv_records import breaks_in_quotes, csv_records, file_lines, parsed
 
 # Cell texts that mean "no value".
 NULL_TEXTS = [
@@ -28,13 +29,19 @@ def read_csv(
 ) -> DataFrame:
     """Read CSV with a header row; several paths or a folder form one table.
 
-    Without a schema, columns are text unless every value in them is a number. Files with quoted line breaks
-    need ``multi_line``; each is then read by one task, so they should be many.
+    Without a schema, columns are text unless every value in them is a number. Files are read in ranges, line breaks in
+    quoted fields included: if there are any, records are put together by ``csv_records``. ``multi_line`` reads
+    each file by one task instead, which other line ends than ``\\n`` and ``\\r\\n`` need.
     """
     reader = spark.read.option("header", True).option("multiLine", multi_line).option("escape", '"')
-    if schema is not None:
-        return null_out(reader.schema(schema).csv(path), null_texts)
-    return infer_numbers(null_out(reader.csv(path), null_texts))
+    lines = None if multi_line else file_lines(spark, path)
+    if lines is not None and breaks_in_quotes(lines):
+        # names come from the first record of a file; no more of it is read
+        names = schema if isinstance(schema, T.StructType) else reader.option("multiLine", True).csv(path, schema).schema
+        raw = parsed(csv_records(lines), names)
+    else:
+        raw = reader.csv(path, schema)
+    return null_out(raw, null_texts) if schema is not None else infer_numbers(null_out(raw, null_texts))
 
 
 def null_out(df: DataFrame, texts: Sequence[str]) -> DataFrame:
@@ -71,4 +78,6 @@ def infer_numbers(df: DataFrame) -> DataFrame:
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    """White space around values is kept, and quotes are doubled."""
+    kept = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+    df.write.mode("overwrite").option("header", True).option("escape", '"').options(**kept).csv(path)

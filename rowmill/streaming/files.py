@@ -19,8 +19,9 @@ from rowmill.storage import new_path
 
 
 def csv_stream(
-    spark: SparkSession, path: str, schema: T.StructType | str, files_per_batch: int = 1000, multi_line: bool = False
+    spark: SparkSession, path: str, schema: T.StructType | str, files_per_batch: int = 1000, multi_line: bool = True
 ) -> DataFrame:
+    """Files as they arrive, each read by one task so that quoted line breaks are kept; without ``multi_line`` they are split."""
     reader = spark.readStream.schema(schema).option("header", True).option("multiLine", multi_line).option("escape", '"')
     return null_out(reader.option("maxFilesPerTrigger", files_per_batch).csv(path), NULL_TEXTS)
 
