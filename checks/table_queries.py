@@ -14,6 +14,8 @@ from rowmill.operators.correlation import (
     correlation_array,
     correlation_table,
     near_duplicate_pairs,
+    pair_correlations,
+    strong_pairs,
     strongest,
     target_correlations,
 )
@@ -277,7 +279,37 @@ def corr_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(correlation_table(spark, WIDE, matrix), 6, "correlation", "abs_correlation")
 
 
-@query("q_target_topk_wide", "SELECT 'x0' AS feature, 1.0::DOUBLE AS correlation, 'up' AS direction FROM orders LIMIT 1")
+BASES, MANY = 25, 500
+
+
+def many_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """500 columns, each a linear form of one of 25; two neighbouring forms are close."""
+    item = {b: F.col("l_quantity") * (1 + b % 2) + F.pmod(F.col("l_partkey") * (1 + b // 2), F.lit(101)) * (b // 2) for b in range(BASES)}
+    columns = [((item[c % BASES] * (1 + c // BASES)) * (-1 if c % 3 == 0 else 1) + c).alias(f"x{c}") for c in range(MANY)]
+    return table(spark, sf_dir, "lineitem").select(*columns)
+
+
+@query(
+    "q_corr_500_columns",
+    f"""WITH b AS (SELECT {', '.join(f'l_quantity * {1 + b % 2} + (l_partkey * {1 + b // 2}) % 101 * {b // 2} AS b{b}' for b in range(BASES))} FROM lineitem),
+    r AS ({' UNION ALL '.join(f"SELECT {a} AS a, {b} AS b, corr(b{a}, b{b}) AS r FROM b" for a in range(BASES) for b in range(a, BASES))}),
+    both_ways AS (SELECT a, b, r FROM r UNION ALL SELECT b, a, r FROM r WHERE a <> b), c AS (SELECT range AS i FROM range({MANY}))
+    SELECT 'x' || x.i AS feature, 'x' || y.i AS other, round(r * CASE WHEN (x.i % 3 = 0) <> (y.i % 3 = 0) THEN -1 ELSE 1 END, 6) AS correlation
+    FROM c x JOIN c y ON x.i < y.i JOIN both_ways ON a = x.i % {BASES} AND b = y.i % {BASES} WHERE abs(r) > 0.99""",
+)
+def corr_500_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Strong pairs of 500 columns, by blocks of columns."""
+    pairs = pair_correlations(many_columns(spark, sf_dir), [f"x{c}" for c in range(MANY)])
+    return rounded(strong_pairs(pairs, 0.99).select("feature", "other", "correlation"), 6, "correlation")
+
+
+@query(
+    "q_target_topk_wide",
+    f"""{WIDE_SQL}, z AS (SELECT x0 - 1.7e12 AS x0, {', '.join(WIDE[1:])}, y FROM w),
+    r AS ({' UNION ALL '.join(f"SELECT {i} AS position, '{x}' AS feature, corr({x}, y) AS correlation FROM z" for i, x in enumerate(WIDE))})
+    SELECT feature, round(correlation, 6) AS correlation, CASE WHEN correlation > 0 THEN 'up' ELSE 'down' END AS direction
+    FROM r WHERE correlation IS NOT NULL AND NOT isnan(correlation) ORDER BY round(abs(correlation), 9) DESC, position DESC LIMIT 1""",
+)
 def target_topk_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The column that only late rows have is the strongest one."""
     top = strongest(target_correlations(wide_orders(spark, sf_dir), WIDE, "y"), 1)

@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rowmill.operators.columns import numeric_columns
-from rowmill.operators.moments import correlations_with, pair_moments
+from rowmill.operators.moments import BLOCK, correlations_with, pair_moments, pair_table
+from rowmill.storage import materialize
 
 
 def correlation_array(df: DataFrame, columns: Sequence[str]) -> np.ndarray:
@@ -30,6 +31,28 @@ def correlation_table(spark: SparkSession, columns: Sequence[str], matrix: np.nd
     )
 
 
+def pair_correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``i, j, feature, other, correlation, abs_correlation`` for every pair of columns and each with itself, however many there are.
+
+    Written once, as several questions are asked of it.
+    """
+    if not columns:
+        return df.sparkSession.createDataFrame([], "i int, j int, feature string, other string, correlation double, abs_correlation double")
+    names = F.array(*map(F.lit, columns))
+    pairs = materialize(pair_table(df, columns), "pairs")
+    return pairs.select("i", "j", names[F.col("i")].alias("feature"), names[F.col("j")].alias("other"), "correlation", F.abs("correlation").alias("abs_correlation"))
+
+
+def strong_pairs(pairs: DataFrame, threshold: float) -> DataFrame:
+    """Pairs of different columns above ``threshold``, with the mean absolute correlation of either column (to twelve digits)."""
+    known = pairs.where("correlation IS NOT NULL")
+    ends = known.select("i", "abs_correlation").unionByName(known.where("i < j").select(F.col("j").alias("i"), "abs_correlation"))
+    means = ends.groupBy("i").agg(F.round(F.avg("abs_correlation"), 12).alias("mean"))
+    strong = known.where((F.col("i") < F.col("j")) & (F.col("abs_correlation") > threshold))
+    of_i, of_j = means.withColumnRenamed("mean", "mean_i"), means.select(F.col("i").alias("j"), F.col("mean").alias("mean_j"))
+    return strong.join(of_i, "i").join(of_j, "j")
+
+
 def near_duplicate_pairs(table: DataFrame, threshold: float = 0.99) -> DataFrame:
     """Number of feature pairs correlated above ``threshold``, in a one-row table."""
     return table.agg(F.count_if(F.col("abs_correlation") > threshold).alias("near_duplicate_pairs"))
@@ -44,13 +67,31 @@ def collinear_columns(columns: Sequence[str], matrix: np.ndarray, threshold: flo
     strength = np.abs(matrix)
     valid = ~np.isnan(strength)
     mean = np.where(valid, strength, 0.0).sum(axis=0) / np.maximum(valid.sum(axis=0), 1)
+    k = len(columns)
+    strong = {i: [j for j in range(i + 1, k) if valid[i, j] and strength[i, j] > threshold] for i in range(k)}
+    dropped = _dropped(strong, mean)
+    return [name for i, name in enumerate(columns) if i in dropped]
+
+
+def _dropped(strong: Mapping[int, Sequence[int]], mean: Mapping[int, float]) -> set[int]:
+    """Positions to drop; ``strong`` lists the later partners of each column, in order."""
     dropped: set[int] = set()
-    for i in range(len(columns)):
-        strong = [j for j in range(i + 1, len(columns)) if valid[i, j] and strength[i, j] > threshold]
-        weaker = next((at for at, j in enumerate(strong) if mean[i] > mean[j]), None)
-        dropped.update(strong[:weaker])
+    for i in sorted(strong):
+        weaker = next((at for at, j in enumerate(strong[i]) if mean[i] > mean[j]), None)
+        dropped.update(strong[i][:weaker])
         if weaker is not None:
             dropped.add(i)
+    return dropped
+
+
+def collinear_from_pairs(columns: Sequence[str], pairs: DataFrame, threshold: float) -> list[str]:
+    """``collinear_columns`` from the table of pairs: only pairs above the threshold come to the driver. Means that agree to twelve digits tie."""
+    strong: dict[int, list[int]] = {}
+    mean: dict[int, float] = {}
+    for row in strong_pairs(pairs, threshold).select("i", "j", "mean_i", "mean_j").collect():
+        strong.setdefault(row["i"], []).append(row["j"])
+        mean[row["i"]], mean[row["j"]] = row["mean_i"], row["mean_j"]
+    dropped = _dropped({i: sorted(later) for i, later in strong.items()}, mean)
     return [name for i, name in enumerate(columns) if i in dropped]
 
 
@@ -58,7 +99,9 @@ def fit_collinear(df: DataFrame, threshold: float = 0.9, exclude: Iterable[str]
     columns = numeric_columns(df, exclude)
     if len(columns) < 2:
         return []
-    return collinear_columns(columns, correlation_array(df, columns), threshold)
+    if len(columns) <= BLOCK:  # the whole matrix is small
+        return collinear_columns(columns, correlation_array(df, columns), threshold)
+    return collinear_from_pairs(columns, pair_correlations(df, columns), threshold)
 
 
 def target_correlations(df: DataFrame, features: Sequence[str], target: str) -> DataFrame:

@@ -10,18 +10,25 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 
 from rowmill.functions.text import named
 from rowmill.session import ship_package
 
 MERGERS = 16
+BLOCK = 128  # columns of a block
+STATE_BYTES = 128 << 20  # states of block pairs that a task holds at a time
 States = dict[int, np.ndarray]
 
 
+PAIR_SCHEMA = "i int, j int, n double, correlation double"
+
+
 def _doubles(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.select(*[named(c).cast("double").alias(f"x{i}") for i, c in enumerate(columns)])
 
@@ -123,7 +130,7 @@ class PairMoments:
 
 
 def pair_moments(df: DataFrame, columns: Sequence[str]) -> PairMoments:
-    """Moments of every pair of columns in one pass; the result is k×k however long the table."""
+    """Moments of every pair of columns in one pass; the result is k×k on the driver, for a few hundred columns (else ``pair_table``)."""
     k = len(columns)
 
     def partial(x):
@@ -152,6 +159,94 @@ def pair_moments(df: DataFrame, columns: Sequence[str]) -> PairMoments:
     return PairMoments(n, squares, products)
 
 
+def _centred(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Presence of values, a centre per column, and values about it (0 where missing)."""
+    present = ~np.isnan(x)
+    count = present.sum(axis=0)
+    with np.errstate(invalid="ignore", over="ignore"):
+        first = np.where(count > 0, x[present.argmax(axis=0), np.arange(x.shape[1])], 0.0) if len(x) else np.zeros(x.shape[1])
+        z = np.where(present, x - first, 0.0)
+        middle = z.sum(axis=0) / np.maximum(count, 1)
+        return present.astype("float64"), first + middle, np.where(present, z - middle, 0.0)
+
+
+def _block_state(a: tuple, b: tuple) -> np.ndarray:
+    """State of every column of one block with every column of another, over the rows where both are present."""
+    (mask_a, centre_a, za), (mask_b, centre_b, zb) = a, b
+    with np.errstate(invalid="ignore", over="ignore"):
+        n = mask_a.T @ mask_b
+        safe = np.maximum(n, 1)
+        mean_a, mean_b = (za.T @ mask_b) / safe, (mask_a.T @ zb) / safe
+        squares_a = np.maximum((za * za).T @ mask_b - n * mean_a * mean_a, 0.0)
+        squares_b = np.maximum(mask_a.T @ (zb * zb) - n * mean_b * mean_b, 0.0)
+        state = np.stack([n, centre_a[:, None] + mean_a, centre_b + mean_b, squares_a, squares_b, za.T @ zb - n * mean_a * mean_b])
+    return state.reshape(6, -1)
+
+
+def pair_table(df: DataFrame, columns: Sequence[str], block: int = BLOCK) -> DataFrame:
+    """``i, j, n, correlation`` for every pair of columns (and each with itself), by position; null where one does not vary.
+
+    States are kept per pair of column blocks, merged inside tasks, then by (block pair, part), then by block pair: neither the driver nor
+    a merging task holds all pairs. A task holds ``STATE_BYTES`` of them at a time: wider tables are read once per that many block pairs,
+    each time only the columns in question.
+    """
+    starts = range(0, len(columns), block)
+    pairs = [(a, b) for a in starts for b in starts if a <= b]
+    together = max(1, STATE_BYTES // (48 * block * block))
+    parts = [_pairs_of_blocks(df, columns, pairs[at : at + together], block) for at in range(0, len(pairs), together)]
+    if not parts:
+        return df.sparkSession.createDataFrame([], PAIR_SCHEMA)
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _pairs_of_blocks(df: DataFrame, columns: Sequence[str], pairs: list[tuple[int, int]], block: int) -> DataFrame:
+    used = sorted({start for pair in pairs for start in pair})
+    width = {start: min(block, len(columns) - start) for start in used}
+    at = dict(zip(used, np.cumsum([0, *[width[s] for s in used]]).tolist()))
+    sides = {number: pair for number, pair in enumerate(pairs)}
+
+    def batch_of(number: int, part: int, state: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([number]), pa.array([part]), pa.array([state.ravel()], pa.list_(pa.float64()))], ["pair", "part", "state"])
+
+    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: States = {}
+        for batch in batches:
+            x = np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns])
+            sliced = {s: _centred(x[:, at[s] : at[s] + width[s]]) for s in used}
+            for number, (a, b) in sides.items():
+                state = _block_state(sliced[a], sliced[b])
+                total[number] = merge_pairs(total[number], state) if number in total else state
+        part = TaskContext.get().partitionId() % MERGERS
+        for number, (a, b) in sides.items():
+            yield batch_of(number, part, total.pop(number) if number in total else np.zeros((6, width[a] * width[b])))
+
+    def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray]]:
+        states = ((number, state.values.to_numpy().reshape(6, -1)) for b in batches for number, state in zip(b.column(0).to_pylist(), b.column(2)))
+        yield from _merged(states, merge_pairs).items()
+
+    def second(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for number, state in merged(batches):
+            yield batch_of(number, 0, state)
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for number, state in merged(batches):
+            a, b = sides[number]
+            i, j = (x.ravel() for x in np.meshgrid(np.arange(width[a]) + a, np.arange(width[b]) + b, indexing="ij"))
+            with np.errstate(invalid="ignore", divide="ignore"):
+                varies = (state[SQUARES_A] > 0) & (state[SQUARES_B] > 0)
+                r = np.where(varies, np.clip(state[PRODUCTS] / (np.sqrt(state[SQUARES_A]) * np.sqrt(state[SQUARES_B])), -1.0, 1.0), np.nan)
+            upper = i <= j
+            found = pa.array(r[upper], mask=np.isnan(r[upper]))
+            yield pa.RecordBatch.from_arrays([pa.array(i[upper].astype(np.int32)), pa.array(j[upper].astype(np.int32)), pa.array(state[N][upper]), found], ["i", "j", "n", "correlation"])
+
+    ship_package(df.sparkSession)
+    schema = "pair bigint, part bigint, state array<double>"
+    chosen = [c for s in used for c in columns[s : s + width[s]]]
+    states = _doubles(df, chosen).mapInArrow(first, schema)
+    by_part = states.repartition("pair", "part").mapInArrow(second, schema)
+    return by_part.repartition("pair").mapInArrow(rows, PAIR_SCHEMA)
+
+
 def correlations_with(df: DataFrame, columns: Sequence[str], other: str) -> list[float]:
     """Correlation of each column with one ``other``, in one pass of linear cost; NaN where one does not vary."""
     def partial(x):

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from math import ceil, floor, log1p
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from rowmill.functions.numeric import to_number
 from rowmill.functions.text import named
 from rowmill.operators.columns import assign
-from rowmill.operators.quantiles import exact_quantiles
+from rowmill.operators.quantiles import RankSketch, between
 
 
 def target_profile(df: DataFrame, target: str) -> DataFrame:
@@ -56,12 +57,23 @@ def fit_amount_treatment(df: DataFrame, column: str, threshold: float | None) ->
     amount = named(column)
     if not threshold:
         return AmountTreatment(column, None)
-    if df.where(amount > 0).isEmpty():
-        return AmountTreatment(column, threshold)
     # Both are fitted whenever there is a valid amount: other rows may need what these rows do not.
-    usual = F.when((amount > 0) & (amount <= threshold), amount)
-    # no usual amount at all leaves nothing to cap to
-    cap = exact_quantiles(df, {column: usual}, [0.95])[column][0]
-    capped = amount if cap is None else F.when(amount > threshold, F.lit(cap)).otherwise(amount)
-    fill = exact_quantiles(df, {column: F.when(amount > 0, F.log1p(capped))}, [0.5])[column][0]
-    return AmountTreatment(column, threshold, cap, fill, True)
+    values = {"usual": F.when((amount > 0) & (amount <= threshold), amount), "over": F.when(amount > threshold, amount)}
+    sketch = RankSketch(df, values)
+    usual, over = sketch.counts["usual"], sketch.counts["over"]
+    if not usual + over:
+        return AmountTreatment(column, threshold)
+    middle = (usual + over - 1) / 2
+    if not usual:  # no usual amount at all leaves nothing to cap to
+        found = sketch.values({"over": [floor(middle), ceil(middle)]})
+        return AmountTreatment(column, threshold, None, between(log1p(found["over", floor(middle)]), log1p(found["over", ceil(middle)]), 0.5), True)
+    # The capped amounts in order are the usual ones with a cap for every other one put in where it belongs, so
+    # their ranks are ranks of the usual ones: both quantiles come from the same two passes.
+    at = 0.95 * (usual - 1)
+    put_in = floor(at) + 1
+    of_middle = {r: r if r < put_in else r - over if r >= put_in + over else None for r in (floor(middle), ceil(middle))}
+    found = sketch.values({"usual": [floor(at), ceil(at), *[r for r in of_middle.values() if r is not None]]})
+    cap = between(found["usual", floor(at)], found["usual", ceil(at)], at - floor(at))
+    capped = {r: cap if place is None else found["usual", place] for r, place in of_middle.items()}
+    low, high = capped[floor(middle)], capped[ceil(middle)]
+    return AmountTreatment(column, threshold, cap, between(log1p(low), log1p(high), 0.5), True)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from rowmill.functions.text import named
 from rowmill.operators.classify import MODEL_TYPES
 from rowmill.operators.columns import split_target
-from rowmill.operators.correlation import correlation_array, correlation_table, near_duplicate_pairs
+from rowmill.operators.correlation import near_duplicate_pairs, pair_correlations
 from rowmill.operators.evaluate import averaged_metrics, class_distribution
 from rowmill.operators.summary import quality_report
 from rowmill.plans import resume_values as v
@@ -52,7 +52,7 @@ def prepare_records(records: DataFrame, options: PresetOptions, out: str) -> tup
     write_feature_names(spark, prepared.features, f"{out}/names")
     report = quality_report(written, prepared.features, prepared.target)
     report.coalesce(1).write.mode("overwrite").json(f"{out}/quality")
-    pairs = correlation_table(spark, prepared.features, correlation_array(written, prepared.features))
+    pairs = pair_correlations(written, prepared.features).where("i < j")
     near_duplicate_pairs(pairs).coalesce(1).write.mode("overwrite").json(f"{out}/near_duplicate_pairs")
     # counted on the table that was sent, not on what was read back
     check = verify_written(spark, f"{out}/matrix", [ROW_ID, *prepared.features, prepared.target], prepared.table.count())

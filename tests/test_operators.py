@@ -17,7 +17,8 @@ from rowmill.operators.columns import (
     text_columns,
     unique,
 )
-from rowmill.operators.correlation import collinear_columns, fit_collinear, strongest, target_correlations
+from rowmill.operators import moments
+from rowmill.operators.correlation import collinear_columns, collinear_from_pairs, fit_collinear, pair_correlations, strongest, target_correlations
 from rowmill.operators.dedupe import drop_duplicate_rows, merge_duplicate_features
 from rowmill.operators.impute import fill_missing, fit_medians, fit_modes, prepare_features
 from rowmill.operators.joins import map_values
@@ -278,6 +279,28 @@ def test_collinear_columns():
     assert collinear_columns(["a", "b", "c"], with_nan, 0.9) == ["b"]
 
 
+def test_pairs_by_blocks_equal_the_matrix(spark, monkeypatch):
+    draw = np.random.default_rng(5)
+    x = draw.normal(size=(300, 11)) + draw.normal(size=(300, 1)) * np.arange(11)
+    x[:, 3], x[::7, 4], x[:, 10] = 2.5, np.nan, x[:, 9] * -2 + 1e9
+    names = [f"c{i}" if i != 5 else "a.b" for i in range(11)]
+    df = spark.createDataFrame(pd.DataFrame(x, columns=names)).repartition(5)
+    matrix = pair_moments(df, names).correlations()
+    for block, room in ((128, 128 << 20), (4, 128 << 20), (4, 1)):  # one block; several; one pair of blocks at a time
+        monkeypatch.setattr(moments, "STATE_BYTES", room)
+        rows = moments.pair_table(df, names, block).collect()
+        assert sorted((r.i, r.j) for r in rows) == [(i, j) for i in range(11) for j in range(i, 11)]
+        for r in rows:
+            want = matrix[r.i, r.j]
+            assert r.correlation is None if np.isnan(want) else r.correlation == pytest.approx(want, abs=1e-9)
+    monkeypatch.undo()
+    for threshold in (0.5, 0.9):
+        pairs = pair_correlations(df, names)
+        assert collinear_from_pairs(names, pairs, threshold) == collinear_columns(names, matrix, threshold)
+    empty = [r.correlation for r in moments.pair_table(df.limit(0), names[:2]).collect()]
+    assert empty in ([None] * 3, [])
+
+
 def test_fit_collinear(mixed):
     df, _ = mixed
     assert len(fit_collinear(df, 0.9, exclude=["row_id"])) == 1
