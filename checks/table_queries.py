@@ -177,6 +177,25 @@ def impute_mode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fill_missing(orders, fit_modes(orders, v.NOT_STATED)).select("row_id", "priority", "remark")
 
 
+NEARLY_UNIQUE_SQL = """WITH k AS (SELECT o_orderkey AS row_id, CASE WHEN o_orderkey % 7 = 0 THEN NULL WHEN o_orderkey % 50 = 3 THEN 'common'
+  WHEN o_orderkey % 50 = 4 THEN 'as common' ELSE 'order ' || o_orderkey END AS remark, 'order ' || o_orderkey AS key FROM orders)"""
+
+
+@query(
+    "q_impute_mode_nearly_unique",
+    f"""{NEARLY_UNIQUE_SQL} SELECT row_id, coalesce(remark, (SELECT remark FROM k WHERE remark IS NOT NULL GROUP BY remark
+    ORDER BY count(*) DESC, remark LIMIT 1)) AS remark, (SELECT min(key) FROM k) AS smallest_key FROM k""",
+)
+def impute_mode_nearly_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Most values of ``remark`` occur once: its mode comes from a summary. No value of ``key`` stands out: the smallest is its mode."""
+    k = F.col("o_orderkey")
+    key = F.concat(F.lit("order "), k.cast("string"))
+    remark = F.when(k % 7 == 0, None).when(k % 50 == 3, "common").when(k % 50 == 4, "as common").otherwise(key)
+    orders = table(spark, sf_dir, "orders").select(k.alias("row_id"), remark.alias("remark"), key.alias("key"))
+    fills = fit_modes(orders, v.NOT_STATED)
+    return fill_missing(orders, {"remark": fills["remark"]}).select("row_id", "remark", F.lit(fills["key"]).alias("smallest_key"))
+
+
 # Encoding
 
 

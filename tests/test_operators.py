@@ -20,7 +20,7 @@ from rowmill.operators.columns import (
 from rowmill.operators import moments
 from rowmill.operators.correlation import collinear_columns, collinear_from_pairs, fit_collinear, pair_correlations, strongest, target_correlations
 from rowmill.operators.dedupe import drop_duplicate_rows, merge_duplicate_features
-from rowmill.operators.impute import fill_missing, fit_medians, fit_modes, prepare_features
+from rowmill.operators.impute import fill_missing, fit_medians, fit_modes, modes, prepare_features
 from rowmill.operators.joins import map_values
 from rowmill.operators.moments import column_stats, pair_moments
 from rowmill.operators.outliers import fit_bounds, limit_to_bounds, remove_outlier_rows, treat_outliers
@@ -279,6 +279,40 @@ def test_collinear_columns():
     assert collinear_columns(["a", "b", "c"], with_nan, 0.9) == ["b"]
 
 
+def test_modes_of_all_kinds_of_columns(spark):
+    k = F.col("id")
+    df = spark.range(40_000).select(
+        F.when(k % 40 == 0, "hot").otherwise(F.concat(F.lit("u"), k.cast("string"))).alias("one stands out"),
+        k.cast("string").alias("all.unique"),
+        F.lit(None).cast("string").alias("empty"),
+        F.when(k % 3 != 0, (k % 3).cast("string")).alias("tie"),
+        F.concat(F.lit("v"), (k % 15_000).cast("string")).alias("none stands out"),
+    )
+    assert modes(df, df.columns, "none") == {"one stands out": "hot", "all.unique": "0", "empty": "none", "tie": "1", "none stands out": "v0"}
+    assert modes(df.limit(0), df.columns, "none") == dict.fromkeys(df.columns, "none")
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_amount_treatment_equals_numpy(spark, seed):
+    draw = np.random.default_rng(seed)
+    x = np.round(draw.lognormal(3, 1, 1 + 60 * seed), draw.integers(0, 3)) * draw.choice([1, 1, 1, 0, -1], 1 + 60 * seed)
+    x[draw.random(len(x)) < 0.1 * seed] *= 100
+    threshold = [50.0, 1e9, 0.001][seed % 3]
+    usual, over = x[(x > 0) & (x <= threshold)], x[x > threshold]
+    df = spark.createDataFrame(pd.DataFrame({"a": x}))
+    spark.sparkContext.setJobGroup(f"amounts {seed}", "")
+    got = fit_amount_treatment(df, "a", threshold)
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"amounts {seed}")) <= 5
+    if not len(usual) + len(over):
+        assert not got.active
+        return
+    cap = np.quantile(usual, 0.95) if len(usual) else None
+    assert got.cap == pytest.approx(cap) if cap is not None else got.cap is None
+    capped = np.concatenate([usual, over if cap is None else np.full(len(over), cap)])
+    assert got.fill == pytest.approx(np.median(np.log1p(capped)))
+
+
 def test_pairs_by_blocks_equal_the_matrix(spark, monkeypatch):
     draw = np.random.default_rng(5)
     x = draw.normal(size=(300, 11)) + draw.normal(size=(300, 1)) * np.arange(11)
