@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from checks.table_queries import hash_sql, rounded
 from checks.tables import query, table
 from rowmill.operators.linear import FOLDS, L1_SHARE, PATH_LENGTH, PATH_RATIO, RIDGE_ALPHAS, LinearFit, coefficient_table, cv_summary, predict, train_linear
+from rowmill.plans.seniority import train_seniority_models
 from rowmill.sources.csv import read_csv
-from rowmill.sources.models import load_linear, save_linear
+from rowmill.sources.models import load_evaluation, load_linear, save_classifier, save_linear
 from rowmill.storage import new_path
 
 X1, X2, NOISE = "size", "phase", "week"
@@ -169,3 +170,23 @@ def lasso_one_feature(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("q_elasticnet_one_feature", _soft_sql("elasticnet"))
 def elasticnet_one_feature(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _one_feature(spark, sf_dir, "elasticnet")
+
+
+TEST_SQL = """t AS (SELECT CASE WHEN p_size > 25 THEN 'big' ELSE 'small' END AS class,
+  row_number() OVER (PARTITION BY p_size > 25 ORDER BY md5(CAST(p_partkey AS VARCHAR))) AS place, count(*) OVER (PARTITION BY p_size > 25) AS n FROM part)"""
+
+
+@query(
+    "q_saved_evaluation",
+    f"WITH {TEST_SQL} SELECT class, count(*) AS support, 1.0::DOUBLE AS recall, 1.0::DOUBLE AS test_accuracy, 1.0::DOUBLE AS training_accuracy FROM t WHERE place <= floor(n * 0.3 + 1e-9) GROUP BY class",
+)
+def saved_evaluation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A forest on classes that a feature tells apart: what is saved with it, after a second save that failed half way."""
+    size = F.col("p_size")
+    rows = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("row_id"), (size > 25).cast("double").alias("large"), (F.col("p_partkey") % 7).cast("double").alias(NOISE), F.when(size > 25, "big").otherwise("small").alias("level"))
+    result = train_seniority_models(rows, ["large", NOISE], "row_id", model_types=["random_forest"], trees=5, max_depth=4)["random_forest"]
+    path = new_path(spark, "forest")
+    save_classifier(spark, result.fit, path, result)
+    result.fit.model.write().save(f"{path}/random_forest/unfinished/model")  # a version that is not in the list
+    saved = load_evaluation(spark, path, "random_forest")
+    return saved.select(F.inline("per_class"), "test_accuracy", "training_accuracy").select("class", "support", "recall", "test_accuracy", "training_accuracy")

@@ -344,6 +344,30 @@ def preset_simple(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+REPORT_SQL = f"WITH {RECORDS_SQL}, {amount_sql()}, {TYPED_SQL}, {treated_sql('500000')}"
+
+
+@query(
+    "q_job_reduction",
+    f"""{REPORT_SQL}, g AS (SELECT count(*) AS n FROM treated GROUP BY gender_age, title, city, employment, experience, education, school, trips, has_car, age, months)
+    SELECT CAST(sum(n) AS BIGINT) AS rows_before, count(*) AS rows_after, CAST(sum(n) - count(*) AS BIGINT) AS rows_saved, round(avg(n), 6) AS mean_group_size FROM g""",
+)
+def job_reduction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the preparation job reports on merged rows."""
+    return rounded(prepare(resumes(spark, sf_dir), simple(), "row_id").reports["reduction"](), 6, "mean_group_size")
+
+
+def _summary_sql(stage: str, x: str, source: str) -> str:
+    return f"SELECT '{stage}' AS stage, count({x}) AS n, round(min({x}), 6) AS min, round(max({x}), 6) AS max, round(avg({x}), 4) AS mean, round(median({x}), 6) AS median FROM {source}"
+
+
+@query("q_job_amounts", f"{REPORT_SQL} {_summary_sql('before', 'base', 'typed WHERE base > 0')} UNION ALL {_summary_sql('after', 'amount', 'treated')}")
+def job_amounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the preparation job reports on amounts, before and after their treatment."""
+    report = prepare(resumes(spark, sf_dir), simple(), "row_id").reports["amounts"]()
+    return rounded(rounded(report, 6, "min", "max", "median"), 4, "mean")
+
+
 @query("q_preset_improved")
 def preset_improved(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prepare(resumes(spark, sf_dir), improved(), "row_id").table

@@ -160,6 +160,20 @@ def written_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     return verify_written(spark, path, ["p_partkey", "p_size", "p_retailprice"], parts.count())
 
 
+@query(
+    "q_short_write",
+    "SELECT count(*) AS rows, 3 AS columns, FALSE AS rows_match, TRUE AS columns_match FROM part WHERE p_partkey % 10 <> 0",
+)
+def short_write(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A matrix that lost rows after it was counted is told from the one that was sent."""
+    path = new_path(spark, "matrix")
+    parts = table(spark, sf_dir, "part")
+    sent = write_matrix(parts, path, ["p_size"], "p_retailprice", "p_partkey")
+    short = new_path(spark, "matrix")
+    spark.read.parquet(path).where("p_partkey % 10 <> 0").write.parquet(short)
+    return verify_written(spark, short, ["p_partkey", "p_size", "p_retailprice"], sent)
+
+
 @query("q_dedupe", "SELECT DISTINCT text, lang, source, n_chars FROM documents")
 def dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drop_duplicate_rows(table(spark, sf_dir, "documents").drop("doc_id"))

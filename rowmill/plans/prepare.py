@@ -2,24 +2,28 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from rowmill.functions.text import Rules, named
 from rowmill.operators.categorical import Encoder, far_beyond, fit_encoder
 from rowmill.operators.columns import Stage, numeric_columns, run_stages, split_target, text_columns
 from rowmill.operators.correlation import fit_collinear
-from rowmill.operators.dedupe import drop_duplicate_rows, merge_duplicate_features
+from rowmill.operators.dedupe import drop_duplicate_rows, merge_duplicate_features, reduction_report
 from rowmill.operators.impute import fill_missing, fit_medians, fit_modes, prepare_features
-from rowmill.operators.outliers import fit_bounds, limit_to_bounds, remove_outlier_rows
+from rowmill.operators.outliers import count_outliers, fit_bounds, limit_to_bounds, remove_outlier_rows
 from rowmill.operators.scale import Scaling, fit_normalizer, normalize
+from rowmill.operators.summary import value_summary
 from rowmill.operators.target import AmountTreatment, fit_amount_treatment, prepare_target
 from rowmill.plans import resume_values as v
 from rowmill.plans.resume_features import advanced_features, basic_features, clean_table, with_base_currency
 from rowmill.storage import materialize
 
+GROUP_SIZE = "rows in group"
+
 
 @dataclass(frozen=True)
 class PresetOptions:
@@ -104,6 +108,7 @@ class Prepared:
     target: str
     row_id: str
     fitted: FittedPreset | None = None
+    reports: Mapping[str, Callable[[], DataFrame]] = field(default_factory=dict)
 
 
 def extract(df: DataFrame, options: PresetOptions, row_id: str) -> DataFrame:
@@ -129,7 +134,8 @@ def prepare(df: DataFrame, options: PresetOptions, row_id: str, target: str = v.
     split_target(extracted, target)
     amounts = fit_amount_treatment(extracted, target, options.salary_threshold)
     treated = amounts.apply(extracted).drop(*options.leaks)
-    merged = materialize(merge_duplicate_features(treated, target, row_id=row_id), "merged")
+    grouped = materialize(merge_duplicate_features(treated, target, row_id=row_id, size_column=GROUP_SIZE), "merged")
+    merged = grouped.drop(GROUP_SIZE)
 
     medians = fit_medians(merged, exclude=[row_id])
     # columns the encoder is sure to drop need no mode, which would shuffle all their values
@@ -159,4 +165,16 @@ def prepare(df: DataFrame, options: PresetOptions, row_id: str, target: str = v.
         table = prepare_target(table, target)
     numbers = prepare_features(table, features)
     ordered = numbers.select(named(row_id), *[named(c).cast("double").alias(c) for c in [*features, target]])
-    return Prepared(ordered, features, target, row_id, fitted)
+    # computed only when asked for, from the tables written above
+    reports = {
+        "amounts": lambda: amount_summaries(extracted, treated, target),
+        "reduction": lambda: reduction_report(grouped, GROUP_SIZE),
+        "outliers": lambda: count_outliers(kept, bounds),
+    }
+    return Prepared(ordered, features, target, row_id, fitted, reports if bounds else {k: r for k, r in reports.items() if k != "outliers"})
+
+
+def amount_summaries(before: DataFrame, after: DataFrame, target: str) -> DataFrame:
+    """Positive amounts as they came, and the target that became of all of them: count, range, mean and median."""
+    rows = [value_summary(table, target, positive).withColumn("stage", F.lit(stage)) for stage, table, positive in (("before", before, True), ("after", after, False))]
+    return rows[0].unionByName(rows[1])

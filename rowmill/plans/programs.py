@@ -46,7 +46,7 @@ def prepare_records(records: DataFrame, options: PresetOptions, out: str) -> tup
     """Write matrix, names, metadata and quality report; the result's second part is the write check."""
     spark = records.sparkSession
     prepared = prepare(records, options, ROW_ID)
-    write_matrix(prepared.table, f"{out}/matrix", prepared.features, prepared.target, ROW_ID)
+    sent = write_matrix(prepared.table, f"{out}/matrix", prepared.features, prepared.target, ROW_ID)
     written = read_matrix(spark, f"{out}/matrix")
     write_feature_metadata(written.drop(ROW_ID), f"{out}/metadata")
     write_feature_names(spark, prepared.features, f"{out}/names")
@@ -54,8 +54,10 @@ def prepare_records(records: DataFrame, options: PresetOptions, out: str) -> tup
     report.coalesce(1).write.mode("overwrite").json(f"{out}/quality")
     pairs = pair_correlations(written, prepared.features).where("i < j")
     near_duplicate_pairs(pairs).coalesce(1).write.mode("overwrite").json(f"{out}/near_duplicate_pairs")
-    # counted on the table that was sent, not on what was read back
-    check = verify_written(spark, f"{out}/matrix", [ROW_ID, *prepared.features, prepared.target], prepared.table.count())
+    for name, made in prepared.reports.items():
+        made().coalesce(1).write.mode("overwrite").json(f"{out}/{name}")
+    # counted while it was sent, not on what was read back
+    check = verify_written(spark, f"{out}/matrix", [ROW_ID, *prepared.features, prepared.target], sent)
     return replace(prepared, table=written), check
 
 
@@ -91,7 +93,7 @@ def train_levels(
     labelled = classification_set(table, records, ROW_ID)
     results = train_seniority_models(labelled, features, ROW_ID, model_types=model_types, **training)
     for result in results.values():
-        save_classifier(spark, result.fit, out)
+        save_classifier(spark, result.fit, out, result)
     if any(r.per_class is not None for r in results.values()):
         write_class_report(compare_models(results), f"{out}/report")
         averages = [averaged_metrics(r.per_class).withColumn("model_type", F.lit(k)) for k, r in results.items() if r.per_class is not None]

@@ -4,17 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from rowmill.functions.text import named
 from rowmill.operators.columns import reconcile_names
 
 
-def write_matrix(df: DataFrame, path: str, features: Sequence[str], target: str, row_id: str | None = None) -> None:
+def write_matrix(df: DataFrame, path: str, features: Sequence[str], target: str, row_id: str | None = None) -> int:
+    """Write the table, and return the rows that went into it, counted by the tasks that write them."""
     keys = [named(row_id)] if row_id else []
     numbers = [named(c).cast("double").alias(c) for c in [*features, target]]
-    df.select(*keys, *numbers).write.mode("overwrite").parquet(path)
+    sent = Observation()
+    df.select(*keys, *numbers).observe(sent, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
+    return int(sent.get.get("rows") or 0)
 
 
 def read_matrix(spark: SparkSession, path: str, names: Sequence[str] | None = None) -> DataFrame:

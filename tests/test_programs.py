@@ -46,6 +46,12 @@ def test_reports_of_the_jobs(spark, tmp_path):
     prepared, check = prepare_records(records, improved(), out)
     assert check.first()["rows"] == spark.read.parquet(f"{out}/matrix").count()
     assert spark.read.json(f"{out}/near_duplicate_pairs").first()["near_duplicate_pairs"] >= 0
+    reduced = spark.read.json(f"{out}/reduction").first()
+    assert reduced["rows_before"] == reduced["rows_after"] + reduced["rows_saved"]
+    outliers = spark.read.json(f"{out}/outliers").collect()
+    assert outliers and all(0 <= r["percent"] <= 100 for r in outliers)
+    amounts = {r["stage"]: r for r in spark.read.json(f"{out}/amounts").collect()}
+    assert amounts["before"]["max"] > amounts["after"]["max"] > amounts["after"]["median"] > 0
     train_levels(records, f"{out}/matrix", f"{out}/levels", ["random_forest"], trees=3, max_depth=4, forest_rows=400)
     averages = read_csv(spark, f"{out}/levels/averages")
     assert {r["average"] for r in averages.collect()} == {"macro", "weighted"}
