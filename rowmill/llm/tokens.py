@@ -1,8 +1,8 @@
 """Token ids and token counts of whole texts, from a public tokenizer file.
 
 Texts are cut at safe boundaries only: places where the tokenizer never joins what lies on both sides. The pieces
-repeat far more often than texts do, so each worker encodes a piece once and keeps the result: the last
-``CACHED_PIECES`` to twice as many, of which those in use stay. Results equal those of encoding the whole text.
+repeat far more often than texts do, so each task encodes a piece once and keeps the result, in two generations of about
+``CACHED_BYTES``: pieces in use move to the new one. A task's pieces go with the task. Results equal those of encoding the whole text.
 
 Edge cases: a null text is an empty one; an empty text has no tokens; null and repeated ids are kept as they are.
 """
@@ -21,20 +21,28 @@ from pyspark.sql import DataFrame
 
 from rowmill.llm.shingles import slices
 
-CACHED_PIECES = 600_000
+CACHED_BYTES = 64 << 20  # of one generation: pieces, results and what Python adds to either
+PIECE_COST = 200  # bytes of two objects and an entry
 SLICE_BYTES = 4 << 20
 _OPEN_SPACE = re.compile(r" \s|\s |^ | $")
 _SPACE = re.compile(r"\s")
 _SAFE_SPACE = re.compile(r"(?<=\S)(?= \S)")
 
 
+_loaded: dict[str, object] = {}
+
+
 def load_tokenizer(path: str):
+    """The tokenizer, read once per process."""
+    if path in _loaded:
+        return _loaded[path]
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs one worker per core
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
     tokenizer.no_truncation()
     tokenizer.no_padding()
+    _loaded[path] = tokenizer
     return tokenizer
 
 
@@ -49,15 +57,17 @@ class PieceCache:
         self.tokenizer, self.before, self.value = tokenizer, before, value
         self.known: dict[str, object] = {}
         self.old: dict[str, object] = {}
+        self.size = 0
 
     def learn(self, pieces: set[str]) -> Callable[[str], object]:
         """A look-up that holds at least the given pieces."""
-        if len(self.known) > CACHED_PIECES:
-            self.known, self.old = {}, self.known
+        if self.size > CACHED_BYTES:
+            self.known, self.old, self.size = {}, self.known, 0
         unseen = pieces.difference(self.known)
         again = unseen.intersection(self.old)
         self.known.update((p, self.old[p]) for p in again)
         missing = list(unseen - again)
+        self.size += sum(map(len, unseen)) * 2 + PIECE_COST * len(unseen)
         for begin in range(0, len(missing), 2_000):
             part = missing[begin : begin + 2_000]
             self.known.update(zip(part, self.encoded(part)))
@@ -136,18 +146,9 @@ def token_counts(docs: DataFrame, path: str) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_bytes long, n_tokens long")
 
 
-_counting: dict[str, PieceCache] = {}
-_encoding: dict[str, IdEncoder] = {}
-
-
 def _counting_cache(path: str) -> PieceCache:
-    """One cache per worker process; workers serve many tasks."""
-    if path not in _counting:
-        _counting[path] = PieceCache(load_tokenizer(path), "", len)
-    return _counting[path]
+    return PieceCache(load_tokenizer(path), "", len)
 
 
 def id_encoder(path: str) -> IdEncoder:
-    if path not in _encoding:
-        _encoding[path] = IdEncoder(path)
-    return _encoding[path]
+    return IdEncoder(path)
