@@ -33,7 +33,7 @@ from rowmill.llm.shingles import mixed, slices, words
 from rowmill.session import ship_package
 from rowmill.storage import materialize
 
-SLICE_BYTES = 8 << 20  # text of a slice; there is a range of hashes for every slice or half of one
+SLICE_BYTES = 4 << 20  # text of a slice; there is a range of hashes for every slice or half of one
 MOST_STEPS, LEAST_GAIN = 20, 1e-4  # steps of expectation-maximisation, and the gain in log10 per token that is worth another
 BUCKETS = 129
 UNSEEN, KEPT, DELETED = 0, 1, 2
