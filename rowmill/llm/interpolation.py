@@ -279,8 +279,10 @@ def fit_weights(counts: DataFrame, totals: Totals, most_steps: int = MOST_STEPS)
     table = counts.select("bucket", "n", *[e.alias(f"f{i}") for i, e in enumerate(estimates)])
     weights, best = np.full((BUCKETS, 4), 0.25), -np.inf
     for _ in range(most_steps):
-        parts = [F.array(*map(F.lit, weights[:, i].tolist()))[F.col("bucket").cast("int")] * F.col(f"f{i}") for i in range(4)]
-        shares = table.select("bucket", "n", *[p.alias(f"p{i}") for i, p in enumerate(parts)]).withColumn("p", F.expr("p0 + p1 + p2 + p3"))
+        # weights come as a table of one row per bucket: the plan is the same in every step, so it is compiled once
+        known = table.sparkSession.createDataFrame([(b, *map(float, w)) for b, w in enumerate(weights)], "bucket bigint, w0 double, w1 double, w2 double, w3 double")
+        mixed_parts = table.join(F.broadcast(known), "bucket").select("bucket", "n", *[(F.col(f"w{i}") * F.col(f"f{i}")).alias(f"p{i}") for i in range(4)])
+        shares = mixed_parts.withColumn("p", F.expr("p0 + p1 + p2 + p3"))
         step = shares.groupBy("bucket").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.log10("p")).alias("score"), *[F.sum(F.col("n") * F.col(f"p{i}") / F.col("p")).alias(f"s{i}") for i in range(4)]).collect()
         tokens, score = sum(r["n"] for r in step), sum(r["score"] for r in step)
         if not tokens or score / tokens - best < LEAST_GAIN:
