@@ -82,7 +82,7 @@ def save_classifier(spark: SparkSession, fit: ClassifierFit, path: str, evaluati
     leaves the old model with its old metadata in place.
     """
     target, version = f"{path}/{fit.model_type}", uuid.uuid4().hex
-    fit.model.write().save(f"{target}/{version}/model")
+    fit.model.write().overwrite().save(f"{target}/{version}/model")
     per_class = evaluation.per_class.collect() if evaluation is not None and evaluation.per_class is not None else []
     measured = [(r["class"], r["precision"], r["recall"], r["f1"], r["support"]) for r in per_class]
     on_training = evaluation.training_accuracy.first()["accuracy"] if evaluation is not None and evaluation.training_accuracy is not None else None
