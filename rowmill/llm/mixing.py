@@ -97,7 +97,7 @@ def apportion(claims: DataFrame, group: Sequence[str], tie: Sequence[str], claim
 def _sized(docs: DataFrame, keep_text: bool) -> DataFrame:
     text = F.col("text")
     columns = [F.col("doc_id"), F.col("source"), word_count(text).alias("size"), F.md5(text).alias("digest")]
-    return docs.select(*columns, *([F.struct(*[F.col(c) for c in docs.columns]).alias("row")] if keep_text else []))
+    return docs.select(*columns, *([F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")] if keep_text else []))
 
 
 def mix(

@@ -88,3 +88,8 @@ def test_mixed_documents_hold_the_taken_words(spark):
 def test_empty_table(spark):
     docs = spark.createDataFrame([], SCHEMA)
     assert mix(docs).count() == 0 and mixed_documents(docs).count() == 0
+
+
+def test_columns_with_dots(spark):
+    docs = spark.createDataFrame([(1, "a b c d", "x", 0.5)], "doc_id long, text string, source string, `meta.score` double")
+    assert mixed_documents(docs).columns == docs.columns
