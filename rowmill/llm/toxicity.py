@@ -185,9 +185,9 @@ def _learned_exceptions(neighbours: DataFrame, terms: dict[str, float]) -> tuple
     return tuple(r["phrase"] for r in rows)
 
 
-def fit_toxicity(labelled: DataFrame, rows: int = LABELLED_ROWS, exceptions: Sequence[str] = EXCEPTIONS) -> ToxicityModel:
-    """Learn from ``text, toxic`` (0 or 1); ``labelled`` holds at most ``rows`` documents (see ``sample_labelled``)."""
-    sample = materialize(labelled.select("text", F.col("toxic").cast("int").alias("toxic")).limit(rows), "labelled")
+def fit_toxicity(labelled: DataFrame, exceptions: Sequence[str] = EXCEPTIONS) -> ToxicityModel:
+    """Learn from all rows of ``text, toxic`` (0 or 1); ``sample_labelled`` bounds them."""
+    sample = materialize(labelled.select("text", F.col("toxic").cast("int").alias("toxic")), "labelled")
     schema = "word string, before string, behind string, toxic int"
     spread = sample.repartition(24).mapInArrow(_neighbourhoods, schema)
     neighbours = materialize(spread.groupBy("word", "before", "behind").agg(F.max("toxic").alias("toxic")), "neighbourhoods")
@@ -211,10 +211,14 @@ def fit_toxicity(labelled: DataFrame, rows: int = LABELLED_ROWS, exceptions: Seq
 
 
 def sample_labelled(docs: DataFrame, labels: DataFrame, rows: int = LABELLED_ROWS) -> DataFrame:
-    """Texts with labels: those of the ``rows`` ids with the smallest hashes that may be learned from."""
+    """Texts with labels: those of the ``rows`` ids with the smallest hashes that may be learned from.
+
+    A label names an id, so of different texts under one id the one with the smallest digest is learned from.
+    """
     known = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     drawn = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
-    return docs.select("doc_id", "text").join(F.broadcast(drawn), "doc_id").select("text", "toxic")  # at most ``rows`` ids
+    texts = docs.select("doc_id", "text").join(F.broadcast(drawn), "doc_id")  # at most ``rows`` ids
+    return texts.groupBy("doc_id", "toxic").agg(F.min_by("text", F.md5("text")).alias("text")).select("text", "toxic")
 
 
 def held_out(doc_id):
