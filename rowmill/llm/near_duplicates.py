@@ -8,7 +8,7 @@ shingle sets. A pair with similarity 0.75 has fewer than MATCHES collisions with
 
 Only connectivity is asked for, so a posting list is never expanded into all its pairs while links are found:
 in each round the members are compared with one centre per list, linked nodes share a label from then on, and a list
-under one label is done. What is left after these rounds is compared completely across labels, each pair once.
+under one label is done. Rounds end when they find next to nothing. What is left after these rounds is compared completely across labels, each pair once.
 Before sets are compared, a bitmap of each set (bit h mod 1024 flips with every shingle hash h) rules out pairs: the
 bits in which two bitmaps differ are at most the shingles in which the sets differ, so nothing similar is lost.
 
@@ -35,6 +35,7 @@ from rowmill.storage import materialize
 COORDINATES = 40
 MATCHES = 14
 STAR_ROUNDS = 4
+IDLE_SHARE = 100  # a round with fewer than one link in so many pairs is the last
 BITS = 1024
 _MULTIPLY = random_words(COORDINATES, 3) | np.uint64(1)
 _FLIP = random_words(COORDINATES, 4)
@@ -75,26 +76,12 @@ def _with_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             sets = shingle_sets(part)
             bits = [np.packbits(np.bincount((x & np.uint64(BITS - 1)).astype(np.int64), minlength=BITS) & 1).view(np.int64) for x in sets]
             columns = [
-                pa.array(_nodes(*words(part)), pa.binary()), pa.array([x.tobytes() for x in sets], pa.binary()),
+                pa.array(_nodes(*words(part)), pa.binary()), pa.array([x.view(np.int64) for x in sets], pa.list_(pa.int64())),
                 pa.array([len(x) for x in sets], pa.int64()), pa.array(bits, pa.list_(pa.int64())),
             ]
             yield pa.RecordBatch.from_arrays(columns, ["node", "shingles", "n", "bits"])
 
 
-def _confirmed(per_cent: int):
-    def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            left, right = batch.column(2), batch.column(3)
-            keep = np.zeros(batch.num_rows, bool)
-            for i in range(batch.num_rows):
-                x, y = (np.frombuffer(side[i].as_buffer(), np.uint64) for side in (left, right))
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                keep[i] = 100 * both >= per_cent * (len(x) + len(y) - both)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(keep))
-
-    return confirm
-
-
 def _collisions(one: str, other: str):
     return F.aggregate(F.zip_with(one, other, lambda x, y: (x == y).cast("int")), F.lit(0), lambda n, x: n + x)
 
@@ -108,6 +95,11 @@ def _may_be_similar(one: str, other: str, per_cent: int):
     return (F.least(n, m) * 100 >= F.greatest(n, m) * per_cent) & (apart * (100 + per_cent) <= (n + m) * (100 - per_cent))
 
 
+def _ordered(doc_id: str):
+    """An id that can be compared, null after all others."""
+    return F.struct(F.col(doc_id).isNull().alias("missing"), F.col(doc_id).alias("id"))
+
+
 def near_duplicates(docs: DataFrame, per_cent: int = 75) -> DataFrame:
     """One row per document: ``doc_id, n_shingles, digest, node, component_id, component, kept``.
 
@@ -116,9 +108,8 @@ def near_duplicates(docs: DataFrame, per_cent: int = 75) -> DataFrame:
     """
     signed = materialize(docs.select("doc_id", F.md5("text").alias("digest"), "text").mapInArrow(_signed, SIGNED), "signatures")
     at_least_one = signed.where("n_shingles > 0")
-    last = F.lit((1 << 63) - 1)
     classes = materialize(
-        at_least_one.groupBy("node").agg(F.min(F.coalesce("doc_id", last)).alias("least"), F.first("signature").alias("signature")), "classes"
+        at_least_one.groupBy("node").agg(F.min(_ordered("doc_id")).alias("least"), F.first("signature").alias("signature")), "classes"
     )
     token = F.posexplode("signature").alias("coordinate", "value")
     tokens = classes.select("node", token).select("node", F.xxhash64("coordinate", "value").alias("token"))
@@ -132,7 +123,7 @@ def near_duplicates(docs: DataFrame, per_cent: int = 75) -> DataFrame:
     nodes = materialize(
         posted.select("node").join(classes, "node").select("node", "signature", F.struct("least", "node").alias("label")), "nodes"
     )
-    sets = _sets(docs, nodes, last)
+    sets = _sets(docs, nodes)
     labels = nodes.select("node", "label")
     tested = None
     for turn in range(STAR_ROUNDS):
@@ -151,20 +142,23 @@ def near_duplicates(docs: DataFrame, per_cent: int = 75) -> DataFrame:
         if pairs.isEmpty():
             break
         tested = pairs if tested is None else tested.unionByName(pairs)
-        labels = merge_labels(labels, _links(pairs, nodes, sets, per_cent))
+        links = _links(pairs, nodes, sets, per_cent)
+        labels = merge_labels(labels, links)
+        if links.count() * IDLE_SHARE < pairs.count():
+            break  # centres link next to nothing any more
     labels = merge_labels(labels, _links(_open_pairs(posted, postings, labels, sets, tested, per_cent), nodes, sets, per_cent))
     found = labels.select("node", F.col("label.least").alias("found"), F.col("label.node").alias("component"))
     known = signed.drop("signature").join(classes.select("node", "least"), "node", "left").join(found, "node", "left")
-    smallest = F.when(F.col("n_shingles") > 0, F.nullif(F.coalesce("found", "least"), last)).otherwise(F.col("doc_id"))
+    smallest = F.when(F.col("n_shingles") > 0, F.coalesce("found", "least")["id"]).otherwise(F.col("doc_id"))
     result = known.select("doc_id", "n_shingles", "digest", "node", smallest.alias("component_id"), F.coalesce("component", "node").alias("component"))
     return result.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
-def _sets(docs: DataFrame, nodes: DataFrame, last) -> DataFrame:
+def _sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     """Full shingle sets of the nodes that have postings, from the text of their smallest id."""
-    wanted = nodes.select(F.col("label.least").alias("id")).distinct()
-    texts = docs.select(F.coalesce("doc_id", last).alias("id"), "text").join(wanted, "id").dropDuplicates(["id", "text"])
-    return materialize(texts.select("text").mapInArrow(_with_sets, "node binary, shingles binary, n long, bits array<long>"), "shingle-sets")
+    wanted = nodes.select(F.col("label.least.id").alias("id")).distinct()
+    texts = docs.select("doc_id", "text").join(wanted, F.col("doc_id").eqNullSafe(F.col("id"))).dropDuplicates(["doc_id", "text"])
+    return materialize(texts.select("text").mapInArrow(_with_sets, "node binary, shingles array<long>, n long, bits array<long>"), "shingle-sets")
 
 
 def _links(pairs: DataFrame, nodes: DataFrame, sets: DataFrame, per_cent: int) -> DataFrame:
@@ -179,8 +173,10 @@ def _links(pairs: DataFrame, nodes: DataFrame, sets: DataFrame, per_cent: int) -
     )
     left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("left"))
     right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("right"))
-    both = near.join(left, "a").join(right, "b").select("a", "b", "left", "right")
-    return materialize(both.mapInArrow(_confirmed(per_cent), "a binary, b binary"), "links")
+    # Row by row in the JVM: a batch of pairs of long sets would be held whole by a Python worker.
+    both = near.join(left, "a").join(right, "b").withColumn("common", F.size(F.array_intersect("left", "right")))
+    similar = F.col("common") * 100 >= (F.size("left") + F.size("right") - F.col("common")) * per_cent
+    return materialize(both.where(similar).select("a", "b"), "links")
 
 
 def _open_pairs(posted: DataFrame, postings: DataFrame, labels: DataFrame, sets: DataFrame, tested: DataFrame | None, per_cent: int) -> DataFrame:

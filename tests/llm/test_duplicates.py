@@ -68,6 +68,16 @@ def corpus(seed=1):
     return list(enumerate(texts))
 
 
+def test_greatest_id_is_not_null(spark):
+    same, other = "a b c d e f g h", "x y z x y z w"
+    rows = [((1 << 63) - 1, other), ((1 << 63) - 1, "one two"), (None, same), ((1 << 63) - 1, same.upper())]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = near_duplicates(docs).collect()
+    assert sorted((str(r.doc_id), r.component_id, r.kept) for r in got) == [*[(str((1 << 63) - 1), (1 << 63) - 1, True)] * 3, ("None", (1 << 63) - 1, False)]
+    kept = without_near_duplicates(docs).collect()
+    assert sorted(r.text for r in kept) == sorted([other, "one two", same.upper()])
+
+
 @pytest.mark.parametrize("seed", [1, 2])
 def test_components_equal_brute_force(spark, seed):
     rows = corpus(seed)

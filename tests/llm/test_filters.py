@@ -5,9 +5,11 @@ import gzip
 import hashlib
 import random
 
+import duckdb
 import pytest
 
 from rowmill.llm.decontaminate import decontaminated, passages
+from rowmill.llm.decontaminate_queries import PASSAGES_SQL
 from rowmill.llm.toxicity import ToxicityModel, fit_toxicity, fold, measure, not_toxic, sample_labelled, toxicity
 from rowmill.llm.warc import IndexReader, archive_pages, parse_record, read_records, record, url_key
 
@@ -18,12 +20,12 @@ def words(n, draw, prefix="w"):
 
 @pytest.mark.parametrize("least,text,found", [
     (40, "copy", True), (40, "substituted", True), (40, "half", True), (40, "clean", False), (40, "few", False),
-    (12, "copy", True), (8, "copy", True), (8, "substituted", False), (4, "copy", False),
+    (12, "copy", True), (11, "few", False), (8, "copy", True), (8, "one", True), (8, "substituted", False), (6, "one", True), (5, "one", False), (4, "copy", True), (2, "copy", True), (1, "copy", False),
 ])
 def test_planted_passages(spark, least, text, found):
     draw = random.Random(least)
     item = words(least, draw, "q")
-    inside = {"copy": item, "substituted": [w if i % 6 else "other" for i, w in enumerate(item)], "half": item[: least // 2], "clean": [], "few": item[:8]}[text]
+    inside = {"copy": item, "substituted": [w if i % 6 else "other" for i, w in enumerate(item)], "half": item[: least // 2], "clean": [], "few": item[:8], "one": [w if i != least // 2 else "other" for i, w in enumerate(item)]}[text]
     body = words(5000, draw) + [w.upper() + "," for w in inside] + words(300, draw)
     docs = spark.createDataFrame([(1, " ".join(body), "a"), (2, " ".join(words(200, draw)), "b")], "doc_id long, text string, item_id string")
     bench = spark.createDataFrame([(7, " ".join(item), "x"), (8, " ".join(words(30, draw, "z")), "y")], "item_id long, text string, doc_id string")
@@ -34,6 +36,30 @@ def test_planted_passages(spark, least, text, found):
     assert decontaminated(docs, bench).count() == (1 if found else 2) and decontaminated(docs, bench).columns == docs.columns
 
 
+def test_short_items_and_scripts_without_spaces(spark):
+    items = [(1, "the capital of france"), (2, "what is the boiling temperature of water"), (3, "日本の首都は東京です。"), (4, "日本"), (5, "Paris")]
+    texts = ["Well, The Capital of France: see", "so what is the boiling point of water then", "昨日、日本の首都は東京ですと", "the capital city of france, Paris", "what is a boiling point of water", "日 本"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = sorted((r.doc_id, r.item_id, r.equal_words, r.place) for r in passages(docs, bench).collect())
+    assert got == [(0, 1, 4, 1), (1, 2, 6, 1), (2, 3, 10, 2), (2, 4, 2, 2), (5, 4, 2, 0)]
+    connection = duckdb.connect()
+    connection.register("documents", docs.toPandas())
+    connection.register("benchmark", bench.toPandas())
+    sql = connection.sql(PASSAGES_SQL).fetchall()
+    assert sorted((d, i, equal, place) for d, i, _, equal, place in sql) == got
+
+
+@pytest.mark.parametrize("seeds,hashes", [(0, 10**6), (0, 0)])
+def test_large_benchmarks_are_merged(spark, monkeypatch, seeds, hashes):
+    docs = spark.createDataFrame([(i, " ".join(words(60, random.Random(i % 7)))) for i in range(20)] + [(30, "one two three four")], "doc_id long, text string")
+    bench = spark.createDataFrame([(1, " ".join(words(60, random.Random(3))[10:40])), (2, "two three four")], "item_id long, text string")
+    want = sorted(map(tuple, passages(docs, bench).drop("digest").collect()))
+    monkeypatch.setattr("rowmill.llm.decontaminate.BROADCAST_SEEDS", seeds)
+    monkeypatch.setattr("rowmill.llm.decontaminate.BROADCAST_HASHES", hashes)
+    assert sorted(map(tuple, passages(docs, bench).drop("digest").collect())) == want and len(want) == 4
+
+
 def test_passages_edge_cases(spark):
     draw = random.Random(9)
     item = " ".join(words(20, draw, "q"))
@@ -85,6 +111,13 @@ def test_learned_lexicon(spark):
     assert toxicity(docs.limit(0), model).count() == 0
 
 
+def test_repeated_ids_of_labels(spark):
+    docs = spark.createDataFrame([(i % 3, f"text {i}") for i in range(30)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1) for i in range(3)] * 2, "doc_id long, toxic int")
+    drawn = [sorted(r.text for r in sample_labelled(docs.repartition(n), labels, 2).collect()) for n in (1, 5)]
+    assert drawn[0] == drawn[1] and len(drawn[0]) <= 2
+
+
 def test_nothing_to_learn(spark):
     docs = spark.createDataFrame([(1, "a b"), (2, None)], "doc_id long, text string")
     for labels in ([], [(1, 0), (2, 0)]):
