@@ -14,7 +14,9 @@ tag, role or words in class and id. Words that articles use as well (``AMBIGUOUS
 the id of a section, and not if a header's name says it is the article's. Ids of headings, paragraphs and other text
 are not judged. A container known by words alone stays if it holds more than half of the page's text without links;
 reader comments, adverts and consents (``APART``) do so only around an article, a main or a first heading. A header
-element inside the article keeps its headings. White space inside a block (line
+element inside the article keeps its headings and the paragraphs whose class names a lead (``LEADS``). A form is left out
+unless it is wrapped around the page: directly in the body (or around an article, a main or a first heading) with more than half of
+the text. White space inside a block (line
 break elements included) becomes one space; blocks are joined by line breaks; character references are decoded.
 
 Edge cases: a null or empty page has an empty text and no vote; a page cut off inside a tag or comment ends there;
@@ -25,6 +27,7 @@ rows are extracted each and all vote; an empty table gives an empty result.
 from __future__ import annotations
 
 import re
+from bisect import bisect
 from collections import defaultdict
 from collections.abc import Iterator
 from html import unescape
@@ -40,7 +43,7 @@ DEEPEST = 200  # containers inside so many elements share the path of the last o
 
 # Elements by their part in a page.
 UNREAD = "script style noscript template svg iframe object canvas head title math audio video"
-LEFT_OUT = {*"nav footer aside form button select textarea input dialog menu fieldset".split()}
+LEFT_OUT = {*"nav footer aside button select textarea input dialog menu fieldset".split()}
 INLINE = {*"a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q ruby rb rp rt s samp small span strike strong sub sup time tt u var wbr".split()}
 VOID = {*"area base br col embed hr img input link meta param source track wbr".split()}
 CONTAINERS = {*"article main section div body td".split()}
@@ -66,6 +69,7 @@ APART = {
 }
 OF_ARTICLE = {*"article post entry story content title section".split()}
 TEXT_BLOCKS = {*"h1 h2 h3 h4 h5 h6 hgroup p li dt dd blockquote pre figure figcaption caption".split()}
+LEADS = {*"lead lede intro introduction summary standfirst dek deck subtitle subheading abstract".split()}
 STRAY, NAMED, SET_APART = 1, 2, 3  # left out for certain, by name unless it holds most text, by name of an APART kind
 
 _TOKEN = re.compile(
@@ -126,6 +130,14 @@ def _named(path: str) -> str:
     return path.rsplit("/", 1)[-1].split(".", 1)[0]
 
 
+def _adds_text(unlinked: dict[tuple[str, ...], bool], up: str, path: str) -> bool:
+    """Whether what the container ``up`` holds besides ``path`` is text of the same article."""
+    added = [chain for chain in unlinked if up in chain and path not in chain]
+    if _named(up) == "body" and any(chain[-1] != up for chain in added):
+        return False
+    return bool(added) and all(unlinked[chain] for chain in added)
+
+
 class Page:
     """Blocks of a page in order: text, characters of link text, and the paths of the containers around."""
 
@@ -133,10 +145,15 @@ class Page:
         self.blocks: list[tuple[str, int, tuple[str, ...]]] = []
         self.stack: list[tuple[str, str, int]] = []  # name, path, left out
         self.muted = 0
-        self.doubtful: list[int] = []  # containers around that are left out unless they hold most text
+        self.open: dict[str, list[int]] = defaultdict(list)  # places of each name on the stack, so it is never searched
+        self.closed_in, self.not_inline = [-1], [-1]  # places of such elements on the stack
+        self.chain: list[str] = []  # paths of the containers around
+        self.chain_now: tuple[str, ...] | None = None
+        self.doubtful = [-1]  # containers around that are left out unless they hold most text
         self.kinds: list[int] = []
+        self.outside: list[int] = []  # the next doubtful container around each
         self.around_article: set[int] = set()
-        self.within: list[tuple[int, ...]] = []  # of each block
+        self.within: list[int] = []  # innermost doubtful container of each block
         self.parts: list[str] = []
         self.links, self.in_link = 0, False
         html = html or ""
@@ -149,21 +166,30 @@ class Page:
                 self._tag(name.lower(), bool(token["end"]), token["rest"])
         self._text(html[at:])
         self._flush()
-        if any(self.within):
+        if self.kinds:
             self._settle()
 
     def _settle(self) -> None:
         """Leave out the blocks of doubtful containers that do not hold most of the text."""
-        worth = [len(text) - links for text, links, _ in self.blocks]
-        dropped = {k for k, kind in enumerate(self.kinds) if kind == SET_APART and k not in self.around_article}
-        held, total = [0] * len(self.kinds), 0
-        for w, within in zip(worth, self.within):
-            if dropped.isdisjoint(within):
-                total += w
-                for k in within:
-                    held[k] += w
-        dropped |= {k for k, h in enumerate(held) if 2 * h <= total}
-        self.blocks = [block for block, within in zip(self.blocks, self.within) if dropped.isdisjoint(within)]
+        for k in reversed(range(len(self.kinds))):
+            if k in self.around_article:
+                self.around_article.add(self.outside[k])
+
+        def spread(dropped: list[bool]) -> list[bool]:
+            for k, outer in enumerate(self.outside):
+                dropped[k] = dropped[k] or (outer >= 0 and dropped[outer])
+            return [*dropped, False]  # the last one stands for no container
+
+        apart = spread([kind == SET_APART and k not in self.around_article for k, kind in enumerate(self.kinds)])
+        held, total = [0] * len(apart), 0
+        for (text, links, _), k in zip(self.blocks, self.within):
+            if not apart[k]:
+                held[k] += len(text) - links
+                total += len(text) - links
+        for k in reversed(range(len(self.kinds))):
+            held[self.outside[k]] += held[k]
+        dropped = spread([apart[k] or 2 * held[k] <= total for k in range(len(self.kinds))])
+        self.blocks = [block for block, k in zip(self.blocks, self.within) if not dropped[k]]
 
     def _text(self, text: str) -> None:
         if not self.muted:
@@ -173,9 +199,10 @@ class Page:
     def _flush(self) -> None:
         text = " ".join(unescape("".join(self.parts)).split()) if self.parts else ""
         if text:
-            chain = tuple(path for name, path, _ in self.stack if name in CONTAINERS) or ("",)
-            self.blocks.append((text, min(self.links, len(text)), chain))
-            self.within.append(tuple(self.doubtful))
+            if self.chain_now is None:
+                self.chain_now = tuple(self.chain) or ("",)
+            self.blocks.append((text, min(self.links, len(text)), self.chain_now))
+            self.within.append(self.doubtful[-1])
         self.parts, self.links, self.in_link = [], 0, False
 
     def _tag(self, name: str, end: bool, attributes: str) -> None:
@@ -199,58 +226,74 @@ class Page:
             self._close_open(CLOSES.get(name, ()))
             noise, classes = _noise(name, attributes)
             if name == "header":
-                noise = STRAY if not any(s[0] in ("article", "main") for s in self.stack) else noise
-            inside_header = any(s[0] == "header" for s in self.stack)
-            if inside_header and name not in ("h1", "h2", "h3", "h4", "h5", "h6", "div", "hgroup"):
+                noise = noise if self.open["article"] or self.open["main"] else STRAY
+            if name == "form" and noise != STRAY:
+                noise = NAMED if all(s[0] in ("html", "body") for s in self.stack[:3]) else SET_APART
+            lead = name == "p" and not LEADS.isdisjoint(w.lower() for w in _WORDS.findall(classes))
+            if self.open["header"] and not lead and name not in ("h1", "h2", "h3", "h4", "h5", "h6", "div", "hgroup"):
                 noise = STRAY
-            if self.doubtful and name in ("article", "main", "h1") and not (noise or self.muted):
+            if self.kinds and name in ("article", "main", "h1") and not (noise or self.muted):
                 if NOISE.isdisjoint(w.lower() for w in _WORDS.findall(classes)):  # comments are articles at times
-                    self.around_article.update(self.doubtful)
+                    self.around_article.add(self.doubtful[-1])
             self._push(name, classes, noise)
 
     def _push(self, name: str, classes: str, noise: bool) -> None:
-        above = self.stack[-1][1] if self.stack else ""
-        path = f"{above}/{name}{classes}" if name in CONTAINERS and len(self.stack) < DEEPEST else above
+        above, at = self.stack[-1][1] if self.stack else "", len(self.stack)
+        path = f"{above}/{name}{classes}" if name in CONTAINERS and at < DEEPEST else above
+        if path != above:
+            self.chain.append(path)
+            self.chain_now = None
         self.stack.append((name, path, noise))
+        self.open[name].append(at)
+        if name in CLOSED_IN:
+            self.closed_in.append(at)
+        if name not in INLINE:
+            self.not_inline.append(at)
         self.muted += noise == STRAY
         if noise > STRAY:
+            self.outside.append(self.doubtful[-1])
             self.doubtful.append(len(self.kinds))
             self.kinds.append(noise)
 
     def _pop(self) -> None:
-        noise = self.stack.pop()[2]
+        name, path, noise = self.stack.pop()
+        if path != (self.stack[-1][1] if self.stack else ""):
+            self.chain.pop()
+            self.chain_now = None
+        self.open[name].pop()
+        if name in CLOSED_IN:
+            self.closed_in.pop()
+        if name not in INLINE:
+            self.not_inline.pop()
         self.muted -= noise == STRAY
         if noise > STRAY:
             self.doubtful.pop()
 
+    def _pop_to(self, place: int) -> None:
+        while len(self.stack) > place:
+            self._pop()
+
     def _close_open(self, names) -> None:
-        """End an open item of the same list or row, if there is one."""
-        for i in range(len(self.stack) - 1, -1, -1):
-            if self.stack[i][0] in names:
-                while len(self.stack) > i:
-                    self._pop()
-            elif self.stack[i][0] in CLOSED_IN:
-                return
+        """End the open items of the same list or row."""
+        last = self.closed_in[-1]
+        places = [self.open[n][bisect(self.open[n], last)] for n in names if self.open[n] and self.open[n][-1] > last]
+        if places:
+            self._pop_to(min(places))
 
     def _close(self, name: str) -> None:
         inline = name in INLINE
-        for i in range(len(self.stack) - 1, -1, -1):
-            if self.stack[i][0] == name:
-                if not inline:
-                    self._flush()
-                while len(self.stack) > i:
-                    self._pop()
-                return
-            if inline and self.stack[i][0] not in INLINE:
-                return
         if not inline:
             self._flush()
+        if self.open[name] and not (inline and self.open[name][-1] < self.not_inline[-1]):
+            self._pop_to(self.open[name][-1])
 
     def best(self) -> tuple[str, float] | None:
         """Path and score of the container with most text."""
         scores: dict[str, float] = defaultdict(float)
+        per_chain: dict[tuple[str, ...], float] = defaultdict(float)
         for text, links, chain in self.blocks:
-            worth = len(text) - links
+            per_chain[chain] += len(text) - links
+        for chain, worth in per_chain.items():
             for path in reversed(chain):
                 scores[path] += worth
                 worth /= 2
@@ -261,29 +304,24 @@ class Page:
         if not (found := self.best()):
             return None
         path, score = found
-        parents = {p: above for _, _, chain in self.blocks for above, p in zip(("", *chain), chain) if above != p}
+        unlinked: dict[tuple[str, ...], bool] = {}  # whether no block of a chain is mostly link text
+        for text, links, chain in self.blocks:
+            unlinked[chain] = 2 * links <= len(text) and unlinked.get(chain, True)
+        parents = {p: above for chain in unlinked for above, p in zip(("", *chain), chain) if above != p}
         up = path
         while up:
             if _named(up) in ("article", "main"):
                 return up, score
             up = parents[up]
-        while (up := parents.get(path, "")) and self._adds_text(up, path):
+        while (up := parents.get(path, "")) and _adds_text(unlinked, up, path):
             path = up
         return path, score
 
-    def _adds_text(self, up: str, path: str) -> bool:
-        """Whether what the container ``up`` holds besides ``path`` is text of the same article."""
-        added = [(text, links, chain) for text, links, chain in self.blocks if up in chain and path not in chain]
-        if _named(up) == "body" and any(chain[-1] != up for _, _, chain in added):
-            return False
-        return bool(added) and all(2 * links <= len(text) for text, links, _ in added)
-
     def text(self, path: str | None) -> str:
-        inside = [text for text, _, chain in self.blocks if path in chain]
+        inside = {chain for chain in {chain for _, _, chain in self.blocks} if path in chain}
         if not inside and self.blocks:
-            own = self.vote()[0]
-            inside = [text for text, _, chain in self.blocks if own in chain]
-        return "\n".join(inside)
+            return self.text(self.vote()[0])
+        return "\n".join(text for text, _, chain in self.blocks if chain in inside)
 
 
 def _votes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

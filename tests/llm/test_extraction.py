@@ -1,5 +1,9 @@
 """Extraction on pages with known main text, votes of hosts, broken markup, edge cases."""
 
+import time
+
+import pytest
+
 from rowmill.llm.extraction import Page, host_of, host_paths, main_texts
 
 RICH = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style></head><body class="page-12">
@@ -93,3 +97,24 @@ def test_names_with_words_of_articles():
     assert Page(talk).text("/body") == "Short article."
     assert Page(talk.replace("<p>Much", "<article class='comment'><p>Much", 1)).text("/body") == "Short article."
     assert Page(f"<body><div id='no-comments'><h1>Title</h1><p>{long}</p></div></body>").text("/body") == f"Title\n{body}"
+
+
+def test_pages_wrapped_in_a_form():
+    long = "Much of the text of this page stands in this paragraph, so that it is the article. " * 3
+    page = f"<html><body><form id='page'><nav>Menu</nav><div class='text'><h1>Title</h1><p>{long}</p><form><p>Your name</p></form></div></form></body></html>"
+    assert Page(page).text(None if not (vote := Page(page).vote()) else vote[0]) == f"Title\n{long.strip()}"
+    inner = f"<body><div class='text'><p>{long}</p><form><p>Your name</p></form></div><form><p>Search all of it</p></form></body>"
+    assert Page(inner).text("/body") == long.strip()
+
+
+def test_leads_in_an_articles_header_stay():
+    page = Page("<body><article><header><h1>Title</h1><p class='article-lede'>What it says.</p><p class='byline'>By someone</p></header><p>Text of it.</p></article></body>")
+    assert page.text("/body/article") == "Title\nWhat it says.\nText of it."
+
+
+@pytest.mark.parametrize("piece", ["<div>", "<div>a", "<ul>x</ol>", "<div class='share'>b", "<td><table><x>a<th></th>", "<div class='share'><h1>c", "<span><span>d", "<li><b>e</i>"])
+def test_hostile_megabyte(piece):
+    began = time.process_time()
+    page = Page(piece * (1_000_000 // len(piece)))
+    page.text((page.vote() or ("/none",))[0])
+    assert time.process_time() - began < 30
