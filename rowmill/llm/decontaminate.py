@@ -43,7 +43,9 @@ UNSPACED = r"([\x{0E00}-\x{0EFF}\x{1000}-\x{109F}\x{1780}-\x{17FF}\x{3040}-\x{30
 
 
 def word_hashes(text: Column) -> Column:
-    spaced = F.regexp_replace(F.lower(text), UNSPACED, " $1 ")
+    lower = F.lower(text)
+    ascii_only = F.octet_length(lower) == F.char_length(lower)
+    spaced = F.when(ascii_only, lower).otherwise(F.regexp_replace(lower, UNSPACED, " $1 "))
     words = F.array_remove(F.split(spaced, BETWEEN_WORDS), "")
     return F.transform(words, lambda w: F.xxhash64(w))
 
