@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rowmill.functions.numeric import clip, nonzero, signed_percent_error
@@ -70,8 +70,9 @@ def sample_predictions(df: DataFrame, actual: str, predicted: str, row_id: str,
 def class_distribution(df: DataFrame, label: str) -> DataFrame:
     """``(class, rows, percent)``."""
     counts = df.groupBy(named(label).alias("class")).agg(F.count(F.lit(1)).alias("rows"))
-    total = F.sum("rows").over(Window.partitionBy(F.lit(0)))  # one row per class by now
-    return counts.withColumn("percent", F.col("rows") / total * 100)
+    total = counts.agg(F.sum("rows").alias("_total"))
+    shares = counts.join(F.broadcast(total))  # one row
+    return shares.select("class", "rows", (F.col("rows") / F.col("_total") * 100).alias("percent"))
 
 
 def confusion(df: DataFrame, label: str, predicted: str) -> DataFrame:
