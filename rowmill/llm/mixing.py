@@ -3,7 +3,8 @@
 Every source gets a target number of words. Documents are dealt to shards, each shard is one stream of words cut
 into equal blocks of about ``block_words``. Seats (blocks) go to sources, and within a source to its shards, by the highest
 quotients ``target / 1, 3, 5, ...``; a shard then takes whole passes over its blocks plus the blocks with the
-smallest seeded hashes.
+smallest seeded hashes. Documents are dealt by id and text together, so null or repeated ids spread over all shards of
+their source; only rows equal in both stay in one.
 
 Edge cases: null and empty texts have size 0 and are never taken; a null source is a source of its own, last in
 order; null ids are allowed; repeated rows are separate documents; an empty table gives an empty result. Other
@@ -126,7 +127,7 @@ def mix(
         .withColumnRenamed("source", "of_source"),
         "mix-sources",
     )
-    deal = F.conv(F.substring(_seeded(seed, F.col("doc_id")), 1, 8), 16, 10).cast("long")
+    deal = F.conv(F.substring(_seeded(seed, F.col("doc_id"), F.col("digest")), 1, 8), 16, 10).cast("long")
     dealt = sizes.join(sources, F.col("source").eqNullSafe(F.col("of_source"))).withColumn("shard", deal % F.col("shards"))
     shard_sizes = dealt.groupBy("place", "shard", F.col("quota").alias("seats")).agg(F.sum("size").alias("words"))
     shards = materialize(
@@ -146,7 +147,7 @@ def mix(
     )
     stream = Window.partitionBy("place", "shard").orderBy("drawn", "doc_id", "size", "digest").rowsBetween(Window.unboundedPreceding, 0)
     placed = (
-        dealt.withColumn("drawn", _seeded(seed, "order", F.col("doc_id")))
+        dealt.withColumn("drawn", _seeded(seed, "order", F.col("doc_id"), F.col("digest")))
         .withColumn("end", F.sum("size").over(stream))
         .withColumn("begin", F.col("end") - F.col("size"))
         .withColumn("spot", F.when(F.col("size") > 0, F.col("end")))  # unique in the shard

@@ -36,9 +36,9 @@ source_quotients AS (
   WHERE nth <= (SELECT n FROM seats) AND quotient > 0 GROUP BY place
 ), dealt AS (
   SELECT s.*, place, source_size, target,
-    ('0x' || substr(md5(concat_ws('|', '{SEED}', doc_id)), 1, 8))::BIGINT
+    ('0x' || substr(md5(concat_ws('|', '{SEED}', doc_id, digest)), 1, 8))::BIGINT
       % greatest(ceil((source_size + source_docs * 16) / {SHARD_WORDS})::BIGINT, 1) AS shard,
-    md5(concat_ws('|', '{SEED}', 'order', doc_id)) AS drawn
+    md5(concat_ws('|', '{SEED}', 'order', doc_id, digest)) AS drawn
   FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source
 ), shard_sizes AS (
   SELECT place, shard, sum(size)::BIGINT AS words FROM dealt GROUP BY ALL

@@ -93,3 +93,11 @@ def test_empty_table(spark):
 def test_columns_with_dots(spark):
     docs = spark.createDataFrame([(1, "a b c d", "x", 0.5)], "doc_id long, text string, source string, `meta.score` double")
     assert mixed_documents(docs).columns == docs.columns
+
+
+def test_null_and_repeated_ids_are_dealt_to_all_shards(spark):
+    rows = [(i if i % 3 else None, f"word{i} a b c d e f g", "hot", 1, "x") for i in range(900)]
+    got = mix(spark.createDataFrame(rows, SCHEMA), block_words=16, shard_words=800).collect()
+    shards = [r.shard for r in got if r.doc_id is None]
+    assert len(set(shards)) > 5 and max(shards.count(s) for s in set(shards)) < 100 and len(got) == 900
+    assert abs(sum(r.taken for r in got) - got[0].target) <= 2 * 16 + 0.02 * got[0].target
