@@ -6,10 +6,11 @@ A folder holds
   least ``least_bytes``) the one with the smallest id is a ``response``; the others are ``revisit`` records without payload
   that refer to it and carry its digest and length.
 * ``index-*.blocks``: capture lines sorted by reversed-host key (``com,example,www)/path``), compressed in
-  blocks of ``BLOCK_LINES``, and ``index-*.directory``: first key, place and length of every block of that file.
+  blocks of ``BLOCK_LINES``, and ``index-*.directory``: first key, place, length and lines of every block of that file.
 
 Lookup: the first keys of the index files (one per partition that wrote the index) choose a file, its directory a
-block, both by binary search; then the block and the record are read by range. Only the parts touched are read.
+block, both by binary search; then the block and the record are read by range. Only the parts touched are read. A key with
+many captures is looked up in pieces (``lookups``): blocks before a piece are passed over by their number of lines.
 
 Executors write and read through ``pyarrow.fs``, so the folder can be any shared file system it knows. A task attempt
 writes to files of its own name; only those of the attempt that Spark kept are listed in the index.
@@ -41,6 +42,8 @@ from pyspark.sql import functions as F
 from rowmill.storage import materialize
 
 BLOCK_LINES = 500
+READ_BYTES = 64 << 20  # of archives, read by one task
+LEAST_READ_BYTES = 1 << 20
 ARCHIVE_BYTES = 1 << 30
 CAPTURES = "key string, page_id long, url string, file string, offset long, length long"
 _URL = re.compile(r"^[a-zA-Z][\w+.-]*://(?:[^/?#@]*@)?([^/?#:]*)(?::\d+)?([^#]*)")
@@ -160,7 +163,7 @@ def write_index(captures: DataFrame, folder: str) -> DataFrame:
 def _write_block(out, lines: list[tuple], places: list, size: int) -> int:
     data = zlib.compress(json.dumps(lines).encode())
     out.write(data)
-    places.append((lines[0][0], size, len(data)))
+    places.append((lines[0][0], size, len(data), len(lines)))
     return size + len(data)
 
 
@@ -195,21 +198,29 @@ class IndexReader:
 
         return self._keep(file, load)
 
-    def captures(self, key: str) -> Iterator[tuple]:
-        """All capture lines of a key. It may begin in the block before the first that starts with it."""
+    def captures(self, key: str, begin: int = 0, end: int | None = None) -> Iterator[tuple]:
+        """Capture lines of a key, from number ``begin`` to ``end`` (without it). The key may begin in the block before the first that starts with it."""
+        passed = 0
         at = max(bisect.bisect_left(self.first_keys, key) - 1, 0)
         for first_key, file in self.files[at:]:
             if first_key > key:
                 return
             places = self._directory(file)
-            begin = max(bisect.bisect_left([p[0] for p in places], key) - 1, 0)
-            for block_key, offset, length in places[begin:]:
+            first = max(bisect.bisect_left(places, key, key=lambda p: p[0]) - 1, 0)
+            for i, (block_key, offset, length, n) in enumerate(places[first:], first):
+                if end is not None and passed >= end:
+                    return
                 if block_key > key:
                     break
+                if passed + n <= begin and block_key == key and i + 1 < len(places) and places[i + 1][0] == key:
+                    passed += n
+                    continue
                 block = self._keep((file, offset), lambda: json.loads(zlib.decompress(self.read(f"{file}.blocks", offset, length))))
-                keys = [line[0] for line in block]
-                for line in block[bisect.bisect_left(keys, key) : bisect.bisect_right(keys, key)]:
+                low, high = (side(block, key, key=lambda line: line[0]) for side in (bisect.bisect_left, bisect.bisect_right))
+                until = high if end is None else min(high, low + end - passed)
+                for line in block[low + max(begin - passed, 0) : max(until, low)]:
                     yield tuple(line)
+                passed += high - low
 
     def record(self, capture: tuple) -> dict:
         _, _, file, offset, length = capture
@@ -219,19 +230,36 @@ class IndexReader:
 RECORDS = "key string, page_id long, url string, record_type string, payload_bytes long, payload_digest string, refers_to long, payload binary"
 
 
-def read_records(keys: DataFrame, folder: str, index_files: DataFrame, with_payload: bool = True) -> DataFrame:
-    """All records of the given ``key`` rows (each key once), as ``RECORDS``; payloads are checked against their digests.
+def lookups(captures: DataFrame) -> tuple[DataFrame, int]:
+    """Look-ups that read all captures, ``key, begin, end`` (line numbers of the key), and how many tasks should share them.
 
-    ``index_files`` has a row per index file; only this list is held by every task.
+    No look-up has more lines than an even share of a task, so a URL that most pages have (or null) is read by many tasks.
     """
+    sums = captures.agg(F.sum("length").alias("bytes"), F.count("*").alias("lines")).first()
+    size = sums["bytes"] or 0
+    tasks = max(min(int(captures.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // LEAST_READ_BYTES)), -(-size // READ_BYTES), 1)
+    share = max(-(-sums["lines"] // tasks), 1)
+    counted = captures.groupBy("key").agg(F.count("*").alias("lines"))
+    pieces = counted.select("key", F.explode(F.expr(f"sequence(0L, lines - 1, {share}L)")).alias("begin"))
+    return pieces.withColumn("end", F.col("begin") + share), tasks
+
+
+def read_records(keys: DataFrame, folder: str, index_files: DataFrame, with_payload: bool = True, tasks: int | None = None) -> DataFrame:
+    """All records of the given ``key`` rows (each once), as ``RECORDS``; payloads are checked against their digests.
+
+    Rows may have ``begin`` and ``end`` (``lookups``), else all captures of the key are read. ``index_files`` has a row per index
+    file; only this list is held by every task.
+    """
+    pieces = {"begin", "end"} <= set(keys.columns)
+    wanted = keys.select("key", *["begin", "end"] if pieces else [F.lit(0).cast("long").alias("begin"), F.lit(None).cast("long").alias("end")])
     files = [(r["first_key"], r["file"]) for r in index_files.collect()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = IndexReader(folder, files)
         for batch in batches:
             rows, size = [], 0
-            for key in batch.column(0).to_pylist():
-                for capture in reader.captures(key):
+            for key, begin, end in zip(*[c.to_pylist() for c in batch.columns]):
+                for capture in reader.captures(key, begin, end):
                     got = reader.record(capture)
                     if got["payload"] is not None and (len(got["payload"]), payload_digest(got["payload"])) != (got["length"], got["digest"]):
                         raise ValueError(f"damaged record of page {got['page_id']} in {capture[2]}")
@@ -243,8 +271,9 @@ def read_records(keys: DataFrame, folder: str, index_files: DataFrame, with_payl
             if rows:
                 yield _record_batch(rows)
 
-    wanted = keys.select("key").distinct().repartitionByRange("key").sortWithinPartitions("key")
-    return wanted.mapInArrow(run, RECORDS)
+    # The number of partitions is given: the keys are small, what they stand for is not.
+    dealt = wanted.distinct().repartitionByRange(*[tasks] if tasks else [], "key", "begin").sortWithinPartitions("key", "begin")
+    return dealt.mapInArrow(run, RECORDS)
 
 
 def _record_batch(rows: list[tuple]) -> pa.RecordBatch:

@@ -1,11 +1,11 @@
-"""The WARC query and the SQL that checks it."""
+"""The WARC query. It has no SQL and is tested by reading back what was written."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
 from rowmill.llm.tables import query, table
-from rowmill.llm.warc import archive_pages, read_records
+from rowmill.llm.warc import archive_pages, lookups, read_records
 from rowmill.storage import new_path
 
 
@@ -14,5 +14,6 @@ def warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page's record, read back through the capture index."""
     folder = new_path(spark, "warc")
     captures, index_files = archive_pages(spark, table(spark, sf_dir, "pages"), folder)
-    records = read_records(captures, folder, index_files, with_payload=False)
+    wanted, tasks = lookups(captures)
+    records = read_records(wanted, folder, index_files, with_payload=False, tasks=tasks)
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")

@@ -11,7 +11,7 @@ import pytest
 from rowmill.llm.decontaminate import decontaminated, passages
 from rowmill.llm.decontaminate_queries import PASSAGES_SQL
 from rowmill.llm.toxicity import ToxicityModel, fit_toxicity, fold, measure, not_toxic, sample_labelled, toxicity
-from rowmill.llm.warc import IndexReader, archive_pages, parse_record, read_records, record, url_key
+from rowmill.llm.warc import IndexReader, archive_pages, lookups, parse_record, read_records, record, url_key
 
 
 def words(n, draw, prefix="w"):
@@ -167,3 +167,19 @@ def test_small_payloads_and_no_pages(spark, tmp_path):
     assert {r.page_id: r.refers_to for r in read_records(captures, str(tmp_path / "w"), files).collect()} == {1: None, 2: None, 3: None, 4: 3}
     captures, files = archive_pages(spark, pages.limit(0), str(tmp_path / "none"))
     assert captures.count() == files.count() == read_records(captures, str(tmp_path / "none"), files).count() == 0
+
+
+def test_a_url_of_a_third_of_all_pages_is_read_in_pieces(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("rowmill.llm.warc.BLOCK_LINES", 7)
+    monkeypatch.setattr("rowmill.llm.warc.READ_BYTES", 8_000)
+    rows = [(i, None if i % 3 == 0 else "http://same.org/" if i % 3 == 1 else f"http://h{i}.org/", f"page {i}") for i in range(300)]
+    captures, files = archive_pages(spark, spark.createDataFrame(rows, "page_id long, url string, html string"), str(tmp_path / "w"))
+    wanted, tasks = lookups(captures)
+    pieces = wanted.collect()
+    assert tasks > 4 and max(r.end - r.begin for r in pieces) <= 300 // tasks + 1
+    got = read_records(wanted, str(tmp_path / "w"), files, tasks=tasks)
+    assert got.rdd.getNumPartitions() == tasks
+    assert sorted((r.page_id, bytes(r.payload).decode()) for r in got.collect()) == [(i, h) for i, _, h in rows]
+    reader = IndexReader(str(tmp_path / "w"), [(r.first_key, r.file) for r in files.collect()])
+    every = list(reader.captures("org,same)/"))
+    assert len(every) == 100 and [list(reader.captures("org,same)/", a, a + 9)) for a in range(0, 100, 9)] == [every[a : a + 9] for a in range(0, 100, 9)]
