@@ -11,8 +11,11 @@ strings that start there; positions whose rank is unique to one document drop ou
 2. 25 bytes and the 25 behind them: the windows of open runs are ranked by the pair of ranks at offset 25 and sorted
    again. A window that an earlier document has is repeated; past the threshold nothing longer is needed.
 
-Ranks are 64-bit hashes. Runs with equal texts are merged before every shuffle, and a representative with many
-different surroundings in one slice goes straight to step 2, so no rank gathers the rows of all documents.
+Ranks are 64-bit hashes. What a slice of texts settles by itself stays out of its rank's group: runs and windows that an earlier
+document of the slice has, and runs whose representative has many different surroundings in the slice (these go
+straight to step 2; two rows tell the other slices its least and greatest id). Such rows get a group of their own, so
+a passage of all documents sends one row per slice to its rank, not one per document. Only texts of one id (null ids, say)
+are not earlier for each other and send all their rows.
 
 Edge cases: null and empty texts and texts under 50 bytes have nothing removed and repeat nothing; documents
 with equal ids do not count as earlier for each other, whatever their texts (any number of texts under one id is told
@@ -38,6 +41,7 @@ FIRST = 24
 HALF = LENGTH // 2
 COMMON = 8
 SLICE_BYTES = 2 << 20
+SLICE_WINDOWS = 1 << 19
 _BYTE = random_words(256, 9)
 _LAST = (1 << 63) - 1
 _INDEX = np.uint64((1 << 32) - 1)
@@ -121,27 +125,55 @@ def _run_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             different = np.bincount(kind[new_whole])[kind]
             state = np.where((state == OPEN) & (different > COMMON), SEEN, state)
             place = (start - offsets[row]) << FIRST_BIT | count << WINDOWS_BIT | state
-            columns = [rank.view(np.int64), whole.view(np.int64), ids, copies_of[low:high][row], place]
+            group_of = np.where(state == OPEN, rank, _own_group(rank, ids, copies_of[low:high][row], start - offsets[row]))
+            columns = [group_of.view(np.int64), whole.view(np.int64), ids, copies_of[low:high][row], place]
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], RUN_NAMES)
-            # One row tells the other slices that the representative is common.
-            told = np.flatnonzero(new_rank & (different > COMMON))
-            n = len(told)
-            if n:
-                columns = [rank[told].view(np.int64), np.zeros(n, np.int64), np.full(n, _LAST), np.zeros(n, np.int64), np.full(n, OPEN)]
+            # Two rows tell the other slices that the representative is common, and the least and greatest id that has it.
+            common = different > COMMON
+            told = np.flatnonzero(new_rank & common)
+            if len(told):
+                ids_told = np.concatenate([np.minimum.reduceat(ids, np.flatnonzero(new_rank)), np.maximum.reduceat(ids, np.flatnonzero(new_rank))])
+                ids_told = ids_told[np.tile(common[new_rank], 2)]
+                n = 2 * len(told)
+                columns = [np.tile(rank[told], 2).view(np.int64), np.zeros(n, np.int64), ids_told, np.zeros(n, np.int64), np.full(n, OPEN)]
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], RUN_NAMES)
 
 
+def _own_group(rank: np.ndarray, ids: np.ndarray, copies: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """A group for each row, by rank and place."""
+    return mixed(rank + ids.view(np.uint64) * _TURN + mixed(copies.astype(np.int64).view(np.uint64) + first.astype(np.uint64)))
+
+
 def _window_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rank, document and first byte of open windows; a window that an earlier document of the slice has is ``~first`` and a group of its own."""
+    parts: list[tuple[np.ndarray, ...]] = []
+    size = 0
     for batch in batches:
         for i in range(batch.num_rows):
             data = np.frombuffer(batch.column(2)[i].as_buffer(), np.uint8)
             packed = np.unique(batch.column(3)[i].values.to_numpy())
             first, count = packed >> 8, packed & 255
             begin = np.repeat(first, count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-            n = len(begin)
-            rank = np.concatenate([_ranked(data, part) for part in np.array_split(begin, max(1, n // 1_000_000))])
-            doc = [pa.array(np.full(n, batch.column(j)[i].as_py(), np.int64)) for j in (0, 1)]
-            yield pa.RecordBatch.from_arrays([pa.array(rank.view(np.int64)), *doc, pa.array(begin)], ["rank", "id", "copy", "first"])
+            for part in np.array_split(begin, max(1, len(begin) // SLICE_WINDOWS)):
+                doc = [np.full(len(part), batch.column(j)[i].as_py(), np.int64) for j in (0, 1)]
+                parts.append((_ranked(data, part), *doc, part.astype(np.int64)))
+                size += len(part)
+                if size >= SLICE_WINDOWS:
+                    yield _settled(parts)
+                    parts, size = [], 0
+    if parts:
+        yield _settled(parts)
+
+
+def _settled(parts: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
+    rank, ids, copies, first = (np.concatenate(column) for column in zip(*parts))
+    order = np.lexsort((ids, rank))
+    rank, ids, copies, first = rank[order], ids[order], copies[order], first[order]
+    new = np.append(True, rank[1:] != rank[:-1])[: len(rank)]
+    done = ids > ids[new][np.cumsum(new) - 1]
+    group = np.where(done, _own_group(rank, ids, copies, first), rank)
+    columns = [group.view(np.int64), ids, copies, np.where(done, ~first, first)]
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["rank", "id", "copy", "first"])
 
 
 def _ranked(data: np.ndarray, begin: np.ndarray) -> np.ndarray:
@@ -195,8 +227,9 @@ def repeated_bytes(docs: DataFrame) -> DataFrame:
     shown = texts.where("text is not null").select("id", "copy", F.col("text").cast("binary").alias("text")).join(open_runs.hint("merge"), ["id", "copy"])
     windows = shown.select("id", "copy", "text", "runs").mapInArrow(_window_rows, "rank long, id long, copy long, first long")
     same = Window.partitionBy("rank")
-    again = windows.withColumn("low", F.min("id").over(same)).where("id > low")
-    again = materialize(again.select("id", "copy", (F.shiftleft("first", 8) + 1).alias("run")), "windows")
+    again = windows.withColumn("low", F.min("id").over(same)).where("first < 0 OR id > low")
+    place = F.when(F.col("first") < 0, F.bitwise_not("first")).otherwise(F.col("first"))
+    again = materialize(again.select("id", "copy", (F.shiftleft(place, 8) + 1).alias("run")), "windows")
     release_shuffles(docs.sparkSession)
     marks = known.where("done").select("id", "copy", "run").unionByName(again).groupBy("id", "copy").agg(F.collect_list("run").alias("runs"))
     rows = texts.select("doc_id", "id", "copy", F.col("text").cast("binary").alias("text")).join(marks.hint("merge"), ["id", "copy"], "left")

@@ -155,6 +155,25 @@ def test_repeated_bytes_equal_brute_force(spark):
     assert repeated_bytes(docs.limit(0)).count() == 0
 
 
+def test_hot_passages_over_many_slices(spark):
+    """Passages of a third of all texts, in equal and in changing surroundings, dealt to many slices; null ids among them."""
+    draw = random.Random(11)
+    text = lambda n: "".join(draw.choice("abcdefgh ") for _ in range(n))
+    hot, alike = text(80), text(120)
+    rows = []
+    for i in range(400):
+        kind = i % 6
+        body = text(20) + hot + text(20) if kind in (0, 1) else text(9) + hot[:55] if kind == 2 else alike if kind == 3 else text(90) + alike[:70] if kind == 4 else text(150)
+        rows.append((None if draw.random() < 0.3 else draw.randrange(1000), body))
+    draw.shuffle(rows)
+    last = 1 << 62
+    want = sorted((-1 if d == last else d, *rest) for d, *rest in repeats([(last if d is None else d, t.encode()) for d, t in rows]))
+    for partitions in (1, 13):
+        docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(partitions)
+        got = repeated_bytes(docs).collect()
+        assert sorted((-1 if r.doc_id is None else r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got) == want
+
+
 def test_null_ids_come_last_for_repeats(spark):
     docs = spark.createDataFrame([(None, "q" * 60), (5, "q" * 55)], "doc_id long, text string")
     got = {r.doc_id: r.n_removed for r in repeated_bytes(docs).collect()}
