@@ -173,7 +173,7 @@ def _read(row: dict) -> Slice:
 def _sent(batches: Iterator[pa.RecordBatch], ranges: int, bits: int) -> Iterator[pa.RecordBatch]:
     """Per slice and range of hashes a row with the slice's distinct n-grams and their counts."""
     for batch in batches:
-        for row in batch.to_pylist():
+        for row in _rows_of(batch):
             tokens = _read(row)
             _, counting = tokens.places()
             found = []
@@ -187,11 +187,17 @@ def _sent(batches: Iterator[pa.RecordBatch], ranges: int, bits: int) -> Iterator
                     yield _row(slice=row["slice"], range=r, fold=row["fold"], payload=_join([p for keys, counts in cut for p in (_pack(keys, True), _pack(counts))]))
 
 
+def _rows_of(batch: pa.RecordBatch) -> Iterator[dict]:
+    """The rows one by one: a batch holds the payloads of many slices, of which one is worked on at a time."""
+    for i in range(batch.num_rows):
+        yield batch.slice(i, 1).to_pylist()[0]
+
+
 def _groups(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[list[dict]]:
     """Neighbouring rows with equal values in a column."""
     group: list[dict] = []
     for batch in batches:
-        for row in batch.to_pylist():
+        for row in _rows_of(batch):
             if group and group[0][column] != row[column]:
                 yield group
                 group = []
@@ -212,6 +218,7 @@ def _answered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             sizes = [len(k) for k in keys]
             counts = np.concatenate([_unpack(p[2 * order + 1]) for p in parts]).astype(np.float64)
             distinct, at = np.unique(np.concatenate(keys), return_inverse=True)
+            del keys
             total = np.bincount(at, counts, len(distinct))
             kept = np.bincount(at, counts * (np.repeat(folds, sizes) == KEPT), len(distinct))
             if order == 0:
