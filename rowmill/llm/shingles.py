@@ -12,7 +12,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
+HASHED_BYTES = 1 << 20  # hashed at once: 64-bit numbers per byte are held for so much only, also within one long text
 _MASK = (1 << 64) - 1
 _R = 0x9E3779B97F4A7C15 | 1
 _R_INVERSE = pow(_R, -1, 1 << 64)
@@ -31,13 +32,19 @@ _PLACE = random_words(8, 2) | np.uint64(1)
 _powers: dict[str, np.ndarray] = {}
 
 
+def _powers_of(base: int, n: int) -> np.ndarray:
+    steps = np.full(n, base, np.uint64)
+    steps[0] = 1
+    return np.cumprod(steps, dtype=np.uint64)
+
+
 def _power_table(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the base and of its inverse. Tables up to the size of a slice are kept."""
+    if n > SLICE_BYTES + 1:
+        return _powers_of(_R, n), _powers_of(_R_INVERSE, n)
     if not _powers or len(_powers["up"]) < n:
-        size = max(n, SLICE_BYTES + 1)
-        for name, base in (("up", _R), ("down", _R_INVERSE)):
-            steps = np.full(size, base, np.uint64)
-            steps[0] = 1
-            _powers[name] = np.cumprod(steps, dtype=np.uint64)
+        size = HASHED_BYTES + 1 if n <= HASHED_BYTES + 1 else SLICE_BYTES + 1
+        _powers.update(up=_powers_of(_R, size), down=_powers_of(_R_INVERSE, size))
     return _powers["up"][:n], _powers["down"][:n]
 
 
@@ -82,10 +89,16 @@ def words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     last = inside.copy()
     last[:-1] &= ~inside[1:] | breaks[1:n]
     starts, ends = np.flatnonzero(first), np.flatnonzero(last) + 1
-    up, down = _power_table(n)
-    sums = np.zeros(n + 1, np.uint64)
-    np.cumsum(_BYTE[data] * up, dtype=np.uint64, out=sums[1:])
-    h = mixed((sums[ends] - sums[starts]) * down[starts])
+    h, i = np.empty(len(starts), np.uint64), 0
+    while i < len(starts):
+        low = starts[i]
+        j = max(i + 1, int(np.searchsorted(ends, low + HASHED_BYTES, "right")))
+        part = data[low : ends[j - 1]]
+        up, down = _power_table(len(part))
+        sums = np.zeros(len(part) + 1, np.uint64)
+        np.cumsum(_BYTE[part] * up, dtype=np.uint64, out=sums[1:])
+        h[i:j] = mixed((sums[ends[i:j] - low] - sums[starts[i:j] - low]) * down[starts[i:j] - low])
+        i = j
     return h, np.searchsorted(starts, offsets)
 
 

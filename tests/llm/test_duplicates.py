@@ -115,6 +115,18 @@ def test_word_hashes():
     assert [len(s) for s in shingle_sets(many)] == [len(shingles(t)) for t in many.to_pylist()]
 
 
+def test_words_of_long_texts_are_hashed_in_parts(monkeypatch):
+    draw = random.Random(2)
+    texts = pa.array([" ".join("".join(draw.choice("abÉ") for _ in range(draw.randrange(1, 9))) for _ in range(n)) for n in (3_000, 0, 1, 40)] + ["x" * 900, None, " y "])
+    whole = words(texts)
+    monkeypatch.setattr("rowmill.llm.shingles.HASHED_BYTES", 64)
+    monkeypatch.setattr("rowmill.llm.shingles.SLICE_BYTES", 128)
+    monkeypatch.setattr("rowmill.llm.shingles._powers", {})
+    parts = words(texts)
+    assert (whole[0] == parts[0]).all() and (whole[1] == parts[1]).all() and len(whole[0]) == 3_043
+    assert len(set(whole[0].tolist())) == len({w for t in texts.to_pylist() for w in (t or "").split()})
+
+
 def repeats(rows):
     first = {}
     for d, t in rows:
