@@ -30,6 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rowmill.llm.shingles import mixed, slices, words
+from rowmill.llm.workers import returning_memory
 from rowmill.session import ship_package
 from rowmill.storage import materialize
 
@@ -334,9 +335,9 @@ def interpolated_scores(docs: DataFrame, learn: Column, slice_bytes: int = SLICE
     deleted = F.pmod(F.xxhash64(F.col("doc_id").cast("bigint"), F.col("text")), F.lit(10)) == 0
     fold = F.when(~F.coalesce(learn, F.lit(False)), UNSEEN).when(deleted, DELETED).otherwise(KEPT)
     numbered = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"), fold.cast("int").alias("fold"))
-    texts = materialize(numbered.mapInArrow(lambda b: _texts(b, slice_bytes), _ROWS), "slices")
-    sent = texts.mapInArrow(lambda b: _sent(b, ranges, bits), _ROWS).repartition(ranges, "range").sortWithinPartitions("range", "slice")
-    answers = materialize(sent.mapInArrow(_answered, _ROWS), "answers")
+    texts = materialize(numbered.mapInArrow(returning_memory(lambda b: _texts(b, slice_bytes)), _ROWS), "slices")
+    sent = texts.mapInArrow(returning_memory(lambda b: _sent(b, ranges, bits)), _ROWS).repartition(ranges, "range").sortWithinPartitions("range", "slice")
+    answers = materialize(sent.mapInArrow(returning_memory(_answered), _ROWS), "answers")
 
     learned, kept = F.col("fold") != UNSEEN, F.col("fold") == KEPT
     sums = [F.sum(F.when(on, F.col(c))) for on in (learned, kept) for c in ("tokens", "texts")]
@@ -349,10 +350,10 @@ def interpolated_scores(docs: DataFrame, learn: Column, slice_bytes: int = SLICE
         return rows.repartition(ranges, "slice").sortWithinPartitions("slice", "range")
 
     counts = "bucket bigint, c3 bigint, h3 bigint, c2 bigint, h2 bigint, c1 bigint, n bigint"
-    held_out = materialize(by_slice(F.col("fold") == DELETED).mapInArrow(lambda b: _held_out_counts(b, bits, totals), counts), "held-out")
+    held_out = materialize(by_slice(F.col("fold") == DELETED).mapInArrow(returning_memory(lambda b: _held_out_counts(b, bits, totals)), counts), "held-out")
     weights = fit_weights(held_out, totals)
     scored = by_slice(F.lit(True)).mapInArrow(
-        lambda b: _scored(b, bits, totals, weights),
+        returning_memory(lambda b: _scored(b, bits, totals, weights)),
         "slice bigint, place int, doc_id bigint, n_tokens bigint, n_known bigint, base_score double, score double",
     )
     return scored.groupBy("slice", "place", "doc_id").agg(*[F.sum(c).alias(c) for c in ("n_tokens", "n_known")], F.lit(totals.tokens).cast("bigint").alias("train_tokens"), *[F.sum(c).alias(c) for c in ("base_score", "score")]).drop("slice", "place")

@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from rowmill.llm.components import merge_labels
 from rowmill.llm.shingles import random_words, shingle_sets, shingles, slices, words
 from rowmill.llm.tables import WORD
+from rowmill.llm.workers import returning_memory
 from rowmill.storage import materialize
 
 COORDINATES = 40
@@ -106,7 +107,7 @@ def near_duplicates(docs: DataFrame, per_cent: int = 75) -> DataFrame:
     ``component_id`` is the smallest id reachable over links; ``kept`` marks the document with that id. ``node`` is
     equal for documents with equal words, ``component`` is the node that names the component, ``digest`` the text's MD5.
     """
-    signed = materialize(docs.select("doc_id", F.md5("text").alias("digest"), "text").mapInArrow(_signed, SIGNED), "signatures")
+    signed = materialize(docs.select("doc_id", F.md5("text").alias("digest"), "text").mapInArrow(returning_memory(_signed), SIGNED), "signatures")
     at_least_one = signed.where("n_shingles > 0")
     classes = materialize(
         at_least_one.groupBy("node").agg(F.min(_ordered("doc_id")).alias("least"), F.first("signature").alias("signature")), "classes"
@@ -158,7 +159,7 @@ def _sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     """Full shingle sets of the nodes that have postings, from the text of their smallest id."""
     wanted = nodes.select(F.col("label.least.id").alias("id")).distinct()
     texts = docs.select("doc_id", "text").join(wanted, F.col("doc_id").eqNullSafe(F.col("id"))).dropDuplicates(["doc_id", "text"])
-    return materialize(texts.select("text").mapInArrow(_with_sets, "node binary, shingles array<long>, n long, bits array<long>"), "shingle-sets")
+    return materialize(texts.select("text").mapInArrow(returning_memory(_with_sets), "node binary, shingles array<long>, n long, bits array<long>"), "shingle-sets")
 
 
 def _links(pairs: DataFrame, nodes: DataFrame, sets: DataFrame, per_cent: int) -> DataFrame:

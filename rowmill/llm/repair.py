@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 
 from rowmill.llm.shingles import slices
 from rowmill.llm.tokens import SLICE_BYTES, id_encoder, vocabulary_size
+from rowmill.llm.workers import returning_memory
 
 SHARD_IDS = 2_000_000
 ROUNDS = 5
@@ -171,7 +172,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, shard_ids: int
 
     order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text")]
     rows = docs.select("doc_id", "text").repartitionByRange(*order).sortWithinPartitions(*order)
-    rows.mapInArrow(run, SHARD_SCHEMA).write.parquet(path)
+    rows.mapInArrow(returning_memory(run), SHARD_SCHEMA).write.parquet(path)
 
 
 def shard_starts(shards: DataFrame) -> DataFrame:
@@ -219,5 +220,5 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
     """One row per stored document, decoded: ``doc_id, start, n_tokens, ids_crc32``."""
     shards = spark.read.parquet(path)
     schema = "part int, shard int, doc_id long, in_shard long, n_tokens long, ids_crc32 long"
-    decoded = shards.drop("n_ids").mapInArrow(_documents, schema)
+    decoded = shards.drop("n_ids").mapInArrow(returning_memory(_documents), schema)
     return decoded.join(shard_starts(shards), ["part", "shard"]).select("doc_id", (F.col("shard_start") + F.col("in_shard")).alias("start"), "n_tokens", "ids_crc32")

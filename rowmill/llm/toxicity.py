@@ -26,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rowmill.llm.workers import returning_memory
 from rowmill.storage import materialize
 
 LABELLED_ROWS = 20_000
@@ -238,7 +239,7 @@ def _measured(docs: DataFrame, model: ToxicityModel, keep: str) -> DataFrame:
 
     inside = keep not in docs.columns
     frame = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("kept")) if inside else docs.select(F.col(keep).alias("kept"), "text")
-    return frame.mapInArrow(run, f"kept {frame.schema['kept'].dataType.simpleString()}, weight double, hits long, words long")
+    return frame.mapInArrow(returning_memory(run), f"kept {frame.schema['kept'].dataType.simpleString()}, weight double, hits long, words long")
 
 
 def toxicity(docs: DataFrame, model: ToxicityModel, threshold: float = THRESHOLD, keep: str = "doc_id") -> DataFrame:
