@@ -8,12 +8,13 @@ from dataclasses import dataclass
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, OneVsRest, RandomForestClassifier
 from pyspark.ml.feature import IndexToString, StringIndexerModel, VectorAssembler
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rowmill.functions.text import named
 from rowmill.operators.linear import helper_columns, scaling_stage
 from rowmill.operators.scale import fit_standard
+from rowmill.storage import new_path
 
 FOREST_ROWS = 1_000_000  # labelled rows a forest is grown from; the model on the driver grows with them
 MODEL_TYPES = ("logistic", "random_forest")
@@ -55,6 +56,17 @@ class ClassifierFit:
     weights: dict[str, float]
 
 
+def without_summaries(spark: SparkSession, model: PipelineModel) -> PipelineModel:
+    """The pipeline written and read back, which leaves the training summaries behind.
+
+    The summary of a model with two classes holds the session. Scoring sends the model to the tasks, which fails in
+    every session that has observed a table.
+    """
+    path = new_path(spark, "classifier")
+    model.write().save(path)
+    return PipelineModel.load(path)
+
+
 def train_classifier(
     df: DataFrame,
     features: Sequence[str],
@@ -107,6 +119,8 @@ def train_classifier(
         IndexToString(inputCol="_class", outputCol="predicted", labels=classes),
     ]
     model = Pipeline(stages=stages).fit(with_class_weights(df, label, weights, "_weight"))
+    if model_type == "logistic" or model.stages[3].numClasses == 2:
+        model = without_summaries(df.sparkSession, model)
     return ClassifierFit(model, model_type, list(features), classes, weights)
 
 

@@ -1,6 +1,7 @@
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from rowmill.operators.classify import (
@@ -217,6 +218,17 @@ def test_classifiers_score_unlabelled_rows(classes, model_type):
         assert recalls.mean() > 0.5
 
 
+@pytest.mark.parametrize("model_type, least", [("logistic", 1), ("logistic", 3), ("random_forest", 1), ("random_forest", 3)])
+def test_classifiers_score_in_a_session_that_observes(classes, model_type, least):
+    df, frame = classes
+    seen = Observation()
+    assert df.observe(seen, F.count(F.lit(1)).alias("rows")).count() == seen.get["rows"]
+    levels = sorted(set(frame.level))[:least]
+    known = df.filter(F.col("level").isin(levels))
+    fit = train_classifier(known, ["u", "w"], "level", model_type, trees=3, max_depth=3)
+    assert set(classify(known, fit.model, fit.features).toPandas().predicted) == set(levels)
+
+
 def test_compare_models(classes):
     df, frame = classes
     results = train_seniority_models(df, ["u", "w"], "row_id", trees=5, max_depth=4)
