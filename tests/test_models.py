@@ -229,6 +229,21 @@ def test_classifiers_score_in_a_session_that_observes(classes, model_type, least
     assert set(classify(known, fit.model, fit.features).toPandas().predicted) == set(levels)
 
 
+def test_compare_models_in_a_session_that_observes(classes):
+    df, _ = classes
+    assert df.observe(Observation(), F.count(F.lit(1)).alias("rows")).count() > 0
+    table = compare_models(train_seniority_models(df, ["u", "w"], "row_id", trees=3, max_depth=3)).toPandas()
+    assert set(table.model_type) == {"logistic", "random_forest"}
+
+
+def test_two_classes_compared_in_a_session_that_observes(classes):
+    df, _ = classes
+    assert df.observe(Observation(), F.count(F.lit(1)).alias("rows")).count() > 0
+    marked = df.withColumn("quality", (F.col("u") > 0).cast("int").cast("string"))
+    table = compare_models(train_seniority_models(marked, ["u", "w"], "row_id", "quality", ["logistic"])).toPandas()
+    assert set(table["class"]) == {"0", "1"} and (table.f1 > 0.9).all()
+
+
 def test_compare_models(classes):
     df, frame = classes
     results = train_seniority_models(df, ["u", "w"], "row_id", trees=5, max_depth=4)
