@@ -30,10 +30,11 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rowmill.llm.shingles import slices
-from rowmill.llm.tokens import SLICE_BYTES, id_encoder, vocabulary_size
+from rowmill.llm.tokens import copied, id_encoder, vocabulary_size
 from rowmill.llm.workers import returning_memory
 
 SHARD_IDS = 2_000_000
+SLICE_BYTES = 16 << 20  # of text encoded at once
 ROUNDS = 5
 PAIRS_PER_ROUND = 3_000
 LEAST_COUNT = 16
@@ -85,12 +86,13 @@ def compress(ids: np.ndarray, ends: np.ndarray, base: int) -> tuple[np.ndarray,
             break
         low = wide((1 << bits) - 1)
         order = np.argsort(pairs)
+        in_order = pairs[order]
         as_left = np.zeros(base + len(left), bool)
         as_right = np.zeros(base + len(left), bool)
         as_left[(pairs >> wide(bits)).astype(np.int64)] = True
         as_right[(pairs & low).astype(np.int64)] = True
         at = np.flatnonzero(inner & as_left[symbols[:-1]] & as_right[symbols[1:]])
-        found = np.minimum(np.searchsorted(pairs, codes[at], sorter=order), len(pairs) - 1)
+        found = np.minimum(np.searchsorted(in_order, codes[at]), len(pairs) - 1)
         rule = order[found]
         hit = pairs[rule] == codes[at]
         at, rule = at[hit], rule[hit]
@@ -111,8 +113,12 @@ def compress(ids: np.ndarray, ends: np.ndarray, base: int) -> tuple[np.ndarray,
 
 
 def expand(symbols: np.ndarray, left: np.ndarray, right: np.ndarray, base: int, rounds: list[int]) -> np.ndarray:
-    """Undo the rounds, last first: parts of a rule come from earlier rounds."""
+    """Undo the rounds, last first: parts of a rule come from earlier rounds. Of many symbols, rules are expanded once each."""
     symbols = symbols.astype(np.uint32)
+    if len(symbols) > base + len(left):
+        of_rules = expand(np.arange(base, base + len(left)), left, right, base, rounds)
+        ids = np.concatenate([np.arange(base, dtype=np.uint32), of_rules])
+        return copied(ids, np.concatenate([np.ones(base, np.int64), rule_lengths(left, right, base, rounds)]), symbols)[0]
     for since in reversed([0, *rounds[:-1]] if rounds else []):
         rule = symbols >= base + since
         if not rule.any():
@@ -134,9 +140,9 @@ def rule_lengths(left: np.ndarray, right: np.ndarray, base: int, rounds: list[in
     return lengths[base:]
 
 
-def _shard_row(part: int, shard: int, doc_ids: list, chunks: list[bytes], base: int) -> pa.RecordBatch:
-    ids = np.frombuffer(b"".join(chunks), "<u4")
-    tokens = np.concatenate([[0], np.cumsum([len(c) // 4 for c in chunks])]).astype(np.int64)
+def _shard_row(part: int, shard: int, doc_ids: list, chunks: list[np.ndarray], base: int) -> pa.RecordBatch:
+    ids = np.concatenate(chunks)
+    tokens = np.concatenate([[0], np.cumsum([len(c) for c in chunks])]).astype(np.int64)
     symbols, ends, left, right, rounds = compress(ids, tokens[1:], base)
     width = 16 if base + len(left) <= 65_536 else 32
     row = {
@@ -155,15 +161,15 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, shard_ids: int
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, part, shard = id_encoder(tokenizer), TaskContext.get().partitionId(), 0
-        close = np.array([end_id], "<u4").tobytes()
         doc_ids, chunks, size = [], [], 0
         for batch in batches:
             for begin, end in slices(batch.column(1), SLICE_BYTES):
-                texts = batch.column(1).slice(begin, end - begin).to_pylist()
-                for doc_id, ids in zip(batch.column(0).slice(begin, end - begin).to_pylist(), encoder.encode(texts)):
+                ids, ends = encoder.encode_column(batch.column(1).slice(begin, end - begin))
+                closed = np.split(np.insert(ids, ends, end_id), ends[:-1] + np.arange(1, len(ends)))
+                for doc_id, of_doc in zip(batch.column(0).slice(begin, end - begin).to_pylist(), closed):
                     doc_ids.append(doc_id)
-                    chunks.append(ids + close)
-                    size += len(ids) // 4 + 1
+                    chunks.append(of_doc)
+                    size += len(of_doc)
                     if size >= shard_ids:
                         yield _shard_row(part, shard, doc_ids, chunks, base)
                         doc_ids, chunks, size, shard = [], [], 0, shard + 1

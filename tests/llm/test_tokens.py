@@ -5,6 +5,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -32,6 +33,34 @@ def test_pieces_change_nothing(encoder, texts):
     assert [np.frombuffer(b, "<u4").tolist() for b in own.encode(texts)] == [whole.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.lists(st.text(st.sampled_from("abZ19.,!-'<|>\n\tñßÉĠĉЖωǅ\u0301日²½"), max_size=9).map(lambda w: w + " "), max_size=9).map("".join), max_size=4))
+def test_runs_change_nothing(encoder, texts):
+    own, whole = encoder
+    assert own.runs is not None
+    ids, ends = own.encode_column(pa.array(texts, pa.string()))
+    assert [part.tolist() for part in np.split(ids, ends)[: len(texts)]] == [whole.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_only_odd_words_pass_the_whole_tokenizer(monkeypatch):
+    seen = []
+    by_whole = IdEncoder._by_whole
+    monkeypatch.setattr(IdEncoder, "_by_whole", lambda self, pieces, before: seen.extend(pieces) or by_whole(self, pieces, before))
+    encoder = IdEncoder(BYTES)
+    encoder.encode(["Plain words, 12 más.\nÉtat don't stop", "plain <|endoftext|> 日本"])
+    assert sorted(seen) == ["<|endoftext|>", "don't", "日本"]
+
+
+def test_long_expansion_equals_expansion_by_rounds():
+    draw = random.Random(6)
+    ids = np.array([draw.choice([1, 1, 2, 3]) for _ in range(4000)], np.uint32)
+    symbols, _, left, right, rounds = compress(ids, np.array([4000]), 10)
+    assert len(symbols) > 10 + len(left) and rounds
+    assert expand(symbols, left, right, 10, rounds).tolist() == ids.tolist()
+    few = [expand(symbols[i : i + 1], left, right, 10, rounds) for i in range(len(symbols))]
+    assert np.concatenate(few).tolist() == ids.tolist()
+
+
 def test_counts(spark):
     docs = spark.createDataFrame([(i, t, 1) for i, t in enumerate(ODD)] + [(None, "x y", 2), (3, "a", 3)], "doc_id long, text string, n_tokens int")
     whole = load_tokenizer(WORDS)
