@@ -27,7 +27,7 @@ CACHED_BYTES = 64 << 20  # of one generation: pieces, results and what Python ad
 PIECE_COST = 200  # bytes of two objects and an entry
 SLICE_BYTES = 4 << 20
 PIECES_AT_ONCE = 2_000
-COPIED_AT_ONCE = 500_000
+COPIED_AT_ONCE = 200_000
 _OPEN_SPACE = re.compile(r" \s|\s |^ | $")
 _SPACE = re.compile(r"\s")
 _SAFE_SPACE = re.compile(r"(?<=\S)(?= \S)")
@@ -211,11 +211,14 @@ def _by_kind(lists: pa.Array, ids_of: Callable) -> tuple[np.ndarray, np.ndarray]
     parts = lists.flatten()
     opens = np.zeros(len(parts), bool)
     opens[np.cumsum(n_parts) - n_parts] = True
-    codes, ids, sizes = np.empty(len(parts), np.int64), [], []
+    codes, ids, sizes = np.empty(len(parts), np.int32), [], []
     for which, places in ((True, opens), (False, ~opens)):
         kinds = parts.filter(pa.array(places)).dictionary_encode()
         codes[places] = kinds.indices.to_numpy() + sum(map(len, sizes))
-        found, lengths = ids_of(kinds.dictionary, which)
+        kinds = kinds.dictionary  # the places of the parts are known: only their kinds are needed from here on
+        if not which:
+            del lists, parts
+        found, lengths = ids_of(kinds, which)
         ids.append(found)
         sizes.append(lengths)
     out, ends = copied(np.concatenate(ids), np.concatenate(sizes), codes)
@@ -224,13 +227,13 @@ def _by_kind(lists: pa.Array, ids_of: Callable) -> tuple[np.ndarray, np.ndarray]
 
 def copied(ids: np.ndarray, sizes: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Ids of the kinds named by ``codes``, and where each ends."""
-    lengths = sizes[codes]
-    starts, ends = (np.cumsum(sizes) - sizes)[codes], np.cumsum(lengths)
+    starts, ends = np.cumsum(sizes) - sizes, np.cumsum(sizes[codes])
     out = np.empty(int(ends[-1]) if len(ends) else 0, np.uint32)
     for begin in range(0, len(codes), COPIED_AT_ONCE):
         some = slice(begin, begin + COPIED_AT_ONCE)
-        to = ends[begin] - lengths[begin]
-        moved = np.repeat(starts[some] - (ends[some] - lengths[some]), lengths[some])
+        lengths = sizes[codes[some]]
+        to = ends[begin] - lengths[0]
+        moved = np.repeat(starts[codes[some]] - (ends[some] - lengths), lengths)
         out[to : to + len(moved)] = ids[moved + np.arange(to, to + len(moved))]
     return out, ends
 
