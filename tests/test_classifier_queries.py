@@ -15,6 +15,7 @@ SF = "/root/testdata/sf0.001"
     "name, counts, model_types",
     [
         ("q_model_compare", "q_level_distribution", ["logistic", "random_forest"]),
+        ("q_quality_logistic", "q_class_weights", ["logistic"]),
     ],
 )
 def test_reports_in_a_session_that_observes(spark, name, counts, model_types):
