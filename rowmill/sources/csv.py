@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from rowmill.functions.numeric import NUMBER_TEXT
 from rowmill.functions.text import named
 from rowmill.operators.columns import replace_columns, text_columns
-from rowmill.sources.csv_records import breaks_in_quotes, csv_records, file_lines, parsed
+from rowmill.sources.csv_records import breaks_in_quotes, csv_rows, file_lines
 
 # Cell texts that mean "no value".
 NULL_TEXTS = [
@@ -30,7 +30,7 @@ def read_csv(
     """Read CSV with a header row; several paths or a folder form one table.
 
     Without a schema, columns are text unless every value in them is a number. Files are read in ranges, line breaks in
-    quoted fields included: if there are any, records are put together by ``csv_records``. ``multi_line`` reads
+    quoted fields included: if there are any, records are put together and written by ``csv_rows``. ``multi_line`` reads
     each file by one task instead, which other line ends than ``\\n`` and ``\\r\\n`` need.
     """
     reader = spark.read.option("header", True).option("multiLine", multi_line).option("escape", '"')
@@ -38,7 +38,7 @@ def read_csv(
     if lines is not None and breaks_in_quotes(lines):
         # names come from the first record of a file; no more of it is read
         names = schema if isinstance(schema, T.StructType) else reader.option("multiLine", True).csv(path, schema).schema
-        raw = parsed(csv_records(lines), names)
+        raw = csv_rows(lines, names)
     else:
         raw = reader.csv(path, schema)
     return null_out(raw, null_texts) if schema is not None else infer_numbers(null_out(raw, null_texts))

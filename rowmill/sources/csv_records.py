@@ -4,11 +4,13 @@ Spark's line reader cuts files into byte ranges at line ends. Whether a line sta
 it, but each line only maps one state to another: outside or inside quotes, at its start and at its end. Most lines have no quote
 and leave the state as it is. Two passes:
 
-1. Each range composes its lines' maps into one. A map keeps the state, turns it, or sets it, so the state at the start
-   of a range follows from window functions over one row per range: the last range that sets it, and the turns since.
+1. Each range composes its quoted lines' maps into one. A map keeps the state, turns it, or sets it, so the state after
+   a range follows from window functions over one row per range: the last range that sets it, and the turns since.
 2. Each range reads its lines knowing where it starts, and starts at its first line outside quotes. Lines of one record are
    joined. What lies before the first record, and a last record that stays open, are handed over as fragments: at most
-   two per range, joined by file and place.
+   two per range, joined by file and place. Both are written once, as the records are asked for more than once.
+
+A task reads as many ranges as make up ``TASK_BYTES``, one after the other, so small ranges do not make small tasks.
 
 A quote opens only at the start of a field, a doubled quote inside is text, as Spark's parser has it, so stray quotes elsewhere do no harm.
 """
@@ -16,20 +18,24 @@ A quote opens only at the start of a field, a doubled quote inside is text, as S
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rowmill.session import ship_package
+from rowmill.storage import materialize
 
 # a line that starts and ends outside quotes; possessive, so that no line is tried twice
 CLOSED = r'^(?>"(?>[^"]+|"")*+"[^,]*+|[^",][^,]*+|)(?>,(?>"(?>[^"]+|"")*+"[^,]*+|[^",][^,]*+|))*+$'
 _INSIDE = re.compile(r'(?:[^"]+|"")*+')
+TASK_BYTES = 32 << 20
+BATCH_CHARACTERS, BATCH_RECORDS = 4 << 20, 10_000  # of what a task hands over at a time
 KEEP, TURN, SET_OUT, SET_IN = range(4)
 _KIND = {(0, 1): KEEP, (1, 0): TURN, (0, 0): SET_OUT, (1, 1): SET_IN}
 
@@ -51,7 +57,22 @@ def ends_inside(line: str, inside: bool) -> bool:
 def file_lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     """``file, place, line``: lines in file order within each range; ``place`` is where the range starts."""
     lines = spark.read.option("lineSep", "\n").text(path)
-    return lines.select(F.xxhash64("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("place"), F.col("value").alias("line"))
+    lines = lines.select(F.xxhash64("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("place"), F.col("value").alias("line"))
+    return _together(lines)
+
+
+def _together(ranges: DataFrame) -> DataFrame:
+    """Files read by ranges, ``TASK_BYTES`` of them in a task, if there are enough of them for all tasks that run at a time."""
+    spark = ranges.sparkSession
+    most = TASK_BYTES // max(1, _bytes(spark.conf.get("spark.sql.files.maxPartitionBytes")))
+    number, least = ranges.rdd.getNumPartitions(), 4 * spark.sparkContext.defaultParallelism
+    return ranges.coalesce(max(least, -(-number // most))) if most > 1 and number > least else ranges
+
+
+def _bytes(size: str) -> int:
+    """A size as Spark's settings have it: ``256k``, ``128MB``, ``134217728b``, ``900``."""
+    number, unit = re.match(r"\s*([0-9]+)\s*([kmgtp]?)", size.lower()).groups()
+    return int(number) << 10 * "bkmgtp".index(unit or "b")
 
 
 def _stretches(batch: pa.RecordBatch) -> Iterator[tuple[int, int, pa.Array]]:
@@ -77,41 +98,57 @@ def _composed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(list(c), pa.int64()) for c in zip(*rows)] or [pa.array([], pa.int64())] * 4, ["file", "place", "part", "kind"])
 
 
-def ranges_inside(lines: DataFrame) -> set[tuple[int, int]]:
-    """Ranges that start inside quotes: of one entry per range, which the driver holds for its tasks anyway."""
-    quoted = lines.where(F.col("line").contains('"'))
-    maps = quoted.mapInArrow(_composed, "file bigint, place bigint, part bigint, kind bigint")
-    # ranges without a quoted line keep the state, but must be known
-    ranges = lines.select("file", "place").distinct().withColumns({"part": F.lit(-1).cast("bigint"), "kind": F.lit(KEEP).cast("bigint")})
-    so_far = Window.partitionBy("file").orderBy("place", "part").rowsBetween(Window.unboundedPreceding, -1)
-    turns = F.coalesce(F.sum(F.when(F.col("kind") == TURN, 1).otherwise(0)).over(so_far), F.lit(0))
-    placed = maps.unionByName(ranges).withColumn("turns", turns)
-    last = F.last(F.when(F.col("kind") >= SET_OUT, F.struct((F.col("kind") == SET_IN).cast("int").alias("state"), "turns")), ignorenulls=True).over(so_far)
-    state = placed.withColumn("last", last).where("part = -1").select("file", "place", ((F.coalesce("last.state", F.lit(0)) + F.col("turns") - F.coalesce("last.turns", F.lit(0))) % 2).alias("state"))
-    return {(r.file, r.place) for r in state.where("state = 1").collect()}
+def ranges_inside(lines: DataFrame) -> dict[int, list[int]]:
+    """Places of the ranges that turn the state, in order, for files that have any: the driver holds one entry per range for its tasks anyway."""
+    maps = lines.where(F.col("line").contains('"')).mapInArrow(_composed, "file bigint, place bigint, part bigint, kind bigint")
+    kind, so_far = F.col("kind"), Window.partitionBy("file").orderBy("place", "part").rowsBetween(Window.unboundedPreceding, -1)
+    turns = F.coalesce(F.sum(F.when(kind == TURN, 1).otherwise(0)).over(so_far), F.lit(0))
+    last = F.last(F.when(kind >= SET_OUT, F.struct((kind == SET_IN).cast("int").alias("state"), "turns")), ignorenulls=True).over(so_far)
+    state = (F.coalesce("last.state", F.lit(0)) + F.col("turns") - F.coalesce("last.turns", F.lit(0))) % 2
+    turned = (kind == TURN) | ((kind == SET_IN) & (state == 0)) | ((kind == SET_OUT) & (state == 1))
+    found: dict[int, list[int]] = {}
+    for row in maps.withColumn("turns", turns).withColumn("last", last).where(turned).select("file", "place").collect():
+        found.setdefault(row["file"], []).append(row["place"])
+    return {file: sorted(places) for file, places in found.items()}
+
+
+def starts_inside(turned: dict[int, list[int]], file: int, place: int) -> bool:
+    """Whether a range starts inside quotes: the ranges before it have turned the state an odd number of times."""
+    return bisect_left(turned.get(file, ()), place) % 2 == 1
 
 
 _SHAPE = pa.schema([("file", pa.int64()), ("place", pa.int64()), ("kind", pa.string()), ("record", pa.string())])
 
 
-def _records(batches: Iterator[pa.RecordBatch], inside_at: set[tuple[int, int]]) -> Iterator[pa.RecordBatch]:
+def _records(batches: Iterator[pa.RecordBatch], turned: dict[int, list[int]]) -> Iterator[pa.RecordBatch]:
     """Records of every range: ``header`` (the file's first), ``whole``, and the fragments ``head``, ``open`` and ``middle``."""
     at: tuple[int, int] | None = None
     pending: list[str] = []  # lines of the record that is being read
-    kind, inside = "whole", False
+    ready: list[tuple[int, int, str, str]] = []  # what is read, until it makes a batch
+    kind, inside, size = "whole", False, 0
 
-    def closed(kind: str) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array([at[0]]), pa.array([at[1]]), pa.array([kind]), pa.array(["\n".join(pending)])], schema=_SHAPE)
+    def closed(kind: str) -> None:
+        nonlocal size
+        record = "\n".join(pending)
+        ready.append((*at, kind, record))
+        size += len(record)
 
-    def end_of_range() -> Iterator[pa.RecordBatch]:
+    def end_of_range() -> None:
         if at is not None and pending:
-            yield closed({"head": "middle", "whole": "open", "header": "open"}[kind])
+            closed({"head": "middle", "whole": "open", "header": "open"}[kind])
+
+    def batch_of_ready() -> pa.RecordBatch:
+        nonlocal size
+        batch = pa.RecordBatch.from_arrays([pa.array(list(c), field.type) for c, field in zip(zip(*ready), _SHAPE)], schema=_SHAPE)
+        ready.clear()
+        size = 0
+        return batch
 
     for batch in batches:
         for file, place, lines in _stretches(batch):
             if (file, place) != at:
-                yield from end_of_range()
-                at, pending, inside = (file, place), [], (file, place) in inside_at
+                end_of_range()
+                at, pending, inside = (file, place), [], starts_inside(turned, file, place)
                 kind = "head" if inside else "whole" if place else "header"
             quoted = pc.match_substring(lines, '"').to_numpy(zero_copy_only=False)
             done = 0  # lines before it are dealt with
@@ -122,19 +159,28 @@ def _records(batches: Iterator[pa.RecordBatch], inside_at: set[tuple[int, int]])
                 elif i > done:
                     if kind == "header":
                         pending = [lines[done].as_py()]
-                        yield closed(kind)
+                        closed(kind)
                         pending, kind, done = [], "whole", done + 1
                     many = lines.slice(done, i - done).cast(pa.string())
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(many), file)), pa.array(np.full(len(many), place)), pa.array(["whole"] * len(many), pa.string()), many], schema=_SHAPE)
+                    if len(many) < 64:
+                        ready += [(file, place, "whole", record) for record in many.to_pylist()]
+                    else:
+                        if ready:
+                            yield batch_of_ready()
+                        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(many), file)), pa.array(np.full(len(many), place)), pa.array(["whole"] * len(many), pa.string()), many], schema=_SHAPE)
                 if i < len(lines):
                     line = lines[i].as_py()
                     pending.append(line)
                     inside = ends_inside(line, inside)
                     if not inside:
-                        yield closed(kind)
+                        closed(kind)
                         pending, kind = [], "whole"
                 done = i + 1
-    yield from end_of_range()
+                if size >= BATCH_CHARACTERS or len(ready) >= BATCH_RECORDS:
+                    yield batch_of_ready()
+    end_of_range()
+    if ready:
+        yield batch_of_ready()
 
 
 def _assembled(fragments: DataFrame) -> DataFrame:
@@ -151,21 +197,32 @@ def breaks_in_quotes(lines: DataFrame) -> bool:
     return not lines.where(F.col("line").contains('"') & ~F.col("line").rlike(CLOSED)).isEmpty()
 
 
-def csv_records(lines: DataFrame) -> DataFrame:
-    """``record``: the text of every record but each file's first (its header), without the line end."""
+def csv_rows(lines: DataFrame, schema: T.StructType) -> DataFrame:
+    """Columns of every record but each file's first (its header), as the file reader gives them. Lines are read once, and rows and fragments written."""
     ship_package(lines.sparkSession)
-    inside_at = ranges_inside(lines)
-    found = lines.mapInArrow(lambda batches: _records(batches, inside_at), "file bigint, place bigint, kind string, record string")
-    records = found.where("kind = 'whole'").select("record")
+    turned = ranges_inside(lines)
+    found = lines.mapInArrow(lambda batches: _records(batches, turned), "file bigint, place bigint, kind string, record string")
+    whole = F.col("kind") == "whole"
+    found = found.where((F.col("kind") != "header") & (~whole | _filled("record")))
+    row = _row(F.when(whole, _ended("record")), schema)
+    written = _together(materialize(found.select("file", "place", "kind", F.when(~whole, F.col("record")).alias("record"), row.alias("row")), "records"))
     # a file's last record may stay open, too
-    fragments = found.where("kind IN ('head', 'middle', 'open')")
-    records = records.unionByName(_assembled(fragments).select("record"))
-    return records.select(F.regexp_replace("record", "\r$", "").alias("record")).where(F.trim("record") != "")
+    fragments = written.where("kind IN ('head', 'middle', 'open')").select("file", "place", "kind", "record")
+    assembled = _assembled(fragments).where(_filled("record")).select(_row(_ended("record"), schema).alias("row"))
+    rows = written.where("kind = 'whole'").select("row").unionByName(assembled)
+    return rows.select(*[F.col(f"row.c{i}").alias(field.name) for i, field in enumerate(schema)])
+
+
+def _ended(record: str) -> Column:
+    """Without the line end."""
+    return F.regexp_replace(record, "\r$", "")
+
+
+def _filled(record: str) -> Column:
+    return F.trim(_ended(record)) != ""
 
 
-def parsed(records: DataFrame, schema: T.StructType) -> DataFrame:
-    """Columns of CSV record texts, as the file reader gives them."""
+def _row(record: Column, schema: T.StructType) -> Column:
     text = T.StructType([T.StructField(f"c{i}", field.dataType) for i, field in enumerate(schema)])
     options = {"escape": '"', "multiLine": "true"}
-    row = records.select(F.from_csv("record", text.simpleString()[len("struct<") : -1].replace(":", " "), options).alias("row"))
-    return row.select(*[F.col(f"row.c{i}").alias(field.name) for i, field in enumerate(schema)])
+    return F.from_csv(record, text.simpleString()[len("struct<") : -1].replace(":", " "), options)

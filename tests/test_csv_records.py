@@ -4,10 +4,11 @@ import csv
 import io
 import random
 
+import pyarrow as pa
 import pytest
 
 from rowmill.sources.csv import read_csv
-from rowmill.sources.csv_records import ends_inside, file_lines, ranges_inside
+from rowmill.sources.csv_records import _bytes, _records, ends_inside, file_lines, ranges_inside, starts_inside
 
 CELLS = ["", "a", "b c", "two\nlines", 'say "hi"', '"', "x,y", "\n\n", 'end"\n', "long " * 60, "ü\né", "1"]
 
@@ -73,6 +74,32 @@ def test_open_at_the_end_and_header_over_lines(spark, tmp_path, small_ranges):
     assert sorted((r[0], r[1].split("\n")[0]) for r in rows) == [(1, "a"), (2, "never closed")] or len(rows) == 2
 
 
+def test_small_ranges_share_tasks(spark, tmp_path, small_ranges):
+    written(tmp_path / "a.csv", random_rows(4, 900))
+    lines = file_lines(spark, str(tmp_path / "a.csv"))
+    least = 4 * spark.sparkContext.defaultParallelism
+    assert lines.select("place").distinct().count() > 2 * least and lines.rdd.getNumPartitions() == least
+    assert _bytes("256k") == 256 << 10 and _bytes("128MB") == 128 << 20 and _bytes("134217728b") == 134217728 and _bytes("900") == 900
+
+
+def test_records_are_handed_over_together():
+    """Records over several lines, and few lines without quotes between them, are one batch; many such lines are one of their own."""
+    texts = ["id,x"] + [line for i in range(500) for line in (f'{i},"a', "", 'b"', f"{i},c")] + ["d,e"] * 100 + ['f,"open', "g"]
+    batch = pa.RecordBatch.from_arrays([pa.array([1] * len(texts)), pa.array([0] * len(texts)), pa.array(texts)], ["file", "place", "line"])
+    found = [b.to_pydict() for b in _records(iter([batch]), {})]
+    assert [len(b["record"]) for b in found] == [1001, 100, 1] or [len(b["record"]) for b in found] == [1000, 101, 1]
+    kinds = [k for b in found for k in b["kind"]]
+    assert kinds == ["header"] + ["whole"] * 1100 + ["open"]
+    records = [r for b in found for r in b["record"]]
+    assert records[1:4] == ['0,"a\n\nb"', "0,c", '1,"a\n\nb"'] and records[-1] == 'f,"open\ng'
+
+
+def test_states_at_the_starts_of_ranges():
+    turned = {1: [10, 20, 20, 40]}
+    assert [starts_inside(turned, 1, place) for place in (0, 10, 20, 30, 40, 50)] == [False, False, True, True, True, False]
+    assert not starts_inside(turned, 2, 50)
+
+
 def test_state_of_lines():
     draw = random.Random(3)
     for _ in range(300):
