@@ -11,11 +11,12 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 from functools import reduce
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from rowmill.functions.text import named
 from rowmill.session import ship_package
@@ -159,27 +160,56 @@ def pair_moments(df: DataFrame, columns: Sequence[str]) -> PairMoments:
     return PairMoments(n, squares, products)
 
 
-def _centred(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Presence of values, a centre per column, and values about it (0 where missing)."""
-    present = ~np.isnan(x)
-    count = present.sum(axis=0)
+class Centred(NamedTuple):
+    """A batch of a block of columns: values about a centre per column (0 where missing), with their sums and squares."""
+
+    mask: np.ndarray | None  # 1 where there is a value; None if there are all
+    centre: np.ndarray
+    z: np.ndarray
+    sums: np.ndarray
+    squares: np.ndarray
+
+
+def _centred(x: np.ndarray) -> Centred:
+    mask = None
     with np.errstate(invalid="ignore", over="ignore"):
-        first = np.where(count > 0, x[present.argmax(axis=0), np.arange(x.shape[1])], 0.0) if len(x) else np.zeros(x.shape[1])
-        z = np.where(present, x - first, 0.0)
-        middle = z.sum(axis=0) / np.maximum(count, 1)
-        return present.astype("float64"), first + middle, np.where(present, z - middle, 0.0)
+        first = x[0] if len(x) else np.zeros(x.shape[1])
+        z = x - first
+        middle = z.sum(axis=0) / max(len(x), 1)
+        if np.isfinite(middle).all():
+            z -= middle
+        else:  # values are missing, or infinite
+            present = ~np.isnan(x)
+            count = present.sum(axis=0)
+            first = np.where(count > 0, x[present.argmax(axis=0), np.arange(x.shape[1])], 0.0)
+            z = np.where(present, x - first, 0.0)
+            middle = z.sum(axis=0) / np.maximum(count, 1)
+            mask, z = present.astype("float64"), np.where(present, z - middle, 0.0)
+        return Centred(mask, first + middle, z, z.sum(axis=0), np.einsum("ij,ij->j", z, z))
+
 
+def _block_state(a: Centred, b: Centred) -> np.ndarray:
+    """State of every column of one block with every column of another, over the rows where both are present.
 
-def _block_state(a: tuple, b: tuple) -> np.ndarray:
-    """State of every column of one block with every column of another, over the rows where both are present."""
-    (mask_a, centre_a, za), (mask_b, centre_b, zb) = a, b
+    Where a block misses nothing, its columns have the same rows with any other, and sums take the place of products with its mask.
+    """
     with np.errstate(invalid="ignore", over="ignore"):
-        n = mask_a.T @ mask_b
+        if a.mask is None:
+            n = np.full(b.z.shape[1], float(len(b.z))) if b.mask is None else b.mask.sum(axis=0)
+            sums_b, squares_b = b.sums, b.squares
+        else:
+            n = a.mask.sum(axis=0)[:, None] if b.mask is None else a.mask.T @ b.mask
+            sums_b, squares_b = a.mask.T @ b.z, a.mask.T @ (b.z * b.z)
+        if b.mask is None:
+            sums_a, squares_a = a.sums[:, None], a.squares[:, None]
+        else:
+            sums_a, squares_a = a.z.T @ b.mask, (a.z * a.z).T @ b.mask
         safe = np.maximum(n, 1)
-        mean_a, mean_b = (za.T @ mask_b) / safe, (mask_a.T @ zb) / safe
-        squares_a = np.maximum((za * za).T @ mask_b - n * mean_a * mean_a, 0.0)
-        squares_b = np.maximum(mask_a.T @ (zb * zb) - n * mean_b * mean_b, 0.0)
-        state = np.stack([n, centre_a[:, None] + mean_a, centre_b + mean_b, squares_a, squares_b, za.T @ zb - n * mean_a * mean_b])
+        mean_a, mean_b = sums_a / safe, sums_b / safe
+        squares_a, squares_b = np.maximum(squares_a - n * mean_a * mean_a, 0.0), np.maximum(squares_b - n * mean_b * mean_b, 0.0)
+        state = np.empty((6, a.z.shape[1], b.z.shape[1]))
+        for row, values in enumerate([n, a.centre[:, None] + mean_a, b.centre + mean_b, squares_a, squares_b, a.z.T @ b.z - n * mean_a * mean_b]):
+            state[row] = values
     return state.reshape(6, -1)
 
 
@@ -210,13 +240,16 @@ def _pairs_of_blocks(df: DataFrame, columns: Sequence[str], pairs: list[tuple[in
 
     def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: States = {}
+        part = 0
         for batch in batches:
-            x = np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns])
+            if not batch.num_rows:
+                continue
+            x = batch.column(0).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
+            part = batch.column(1)[0].as_py() % MERGERS
             sliced = {s: _centred(x[:, at[s] : at[s] + width[s]]) for s in used}
             for number, (a, b) in sides.items():
                 state = _block_state(sliced[a], sliced[b])
                 total[number] = merge_pairs(total[number], state) if number in total else state
-        part = TaskContext.get().partitionId() % MERGERS
         for number, (a, b) in sides.items():
             yield batch_of(number, part, total.pop(number) if number in total else np.zeros((6, width[a] * width[b])))
 
@@ -242,7 +275,10 @@ def _pairs_of_blocks(df: DataFrame, columns: Sequence[str], pairs: list[tuple[in
     ship_package(df.sparkSession)
     schema = "pair bigint, part bigint, state array<double>"
     chosen = [c for s in used for c in columns[s : s + width[s]]]
-    states = _doubles(df, chosen).mapInArrow(first, schema)
+    # One array a row: Spark writes it in one piece, where columns would be written value by value to as many places.
+    # The part is not deterministic, which keeps the columns' own expressions out of the array's: together they outgrow a compiled method.
+    doubles = _doubles(df, chosen).withColumn("part", F.spark_partition_id())
+    states = doubles.select(F.array(*[f"x{i}" for i in range(len(chosen))]).alias("x"), "part").mapInArrow(first, schema)
     by_part = states.repartition("pair", "part").mapInArrow(second, schema)
     return by_part.repartition("pair").mapInArrow(rows, PAIR_SCHEMA)
 

@@ -335,6 +335,27 @@ def test_pairs_by_blocks_equal_the_matrix(spark, monkeypatch):
     assert empty in ([None] * 3, [])
 
 
+def test_blocks_without_missing_values_need_no_masks(spark):
+    """Sums take the place of five products of six; pairs with a column that misses values, or has an infinite one, are as before."""
+    draw = np.random.default_rng(6)
+    x = draw.normal(size=(400, 8)) + draw.normal(size=(400, 1)) * np.arange(8) + 1e6
+    x[:, 1], x[::5, 5] = 7.25, np.nan
+    blocks = [moments._centred(x[:, at : at + 4]) for at in (0, 4)]
+    assert blocks[0].mask is None and blocks[1].mask is not None
+    assert blocks[0].sums == pytest.approx(np.zeros(4), abs=1e-6) and blocks[0].squares == pytest.approx(400 * x[:, :4].var(axis=0))
+    names = [f"c{i}" for i in range(8)]
+    for values in (x, np.where(np.arange(400)[:, None] % 97 == 0, np.where(np.arange(8) == 7, np.inf, x), x)):
+        df = spark.createDataFrame(pd.DataFrame(values, columns=names)).repartition(3)
+        for r in moments.pair_table(df, names, 4).collect():
+            pair = values[:, [r.i, r.j]]
+            pair = pair[~np.isnan(pair).any(axis=1)]
+            assert r.n == len(pair)
+            if np.isinf(pair).any() or 1 in (r.i, r.j):
+                assert r.correlation is None
+            else:
+                assert r.correlation == pytest.approx(np.corrcoef(pair.T)[0, 1], abs=1e-9)
+
+
 def test_fit_collinear(mixed):
     df, _ = mixed
     assert len(fit_collinear(df, 0.9, exclude=["row_id"])) == 1
