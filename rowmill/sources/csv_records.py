@@ -49,7 +49,7 @@ def ends_inside(line: str, inside: bool) -> bool:
             if at == len(line):
                 return True
             inside = False
-        at = line.find(",", at) + 1
+        at = line.find(',"', at) + 1  # a quote elsewhere opens nothing
         if not at:
             return False
 
