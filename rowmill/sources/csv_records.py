@@ -205,7 +205,7 @@ def csv_rows(lines: DataFrame, schema: T.StructType) -> DataFrame:
     whole = F.col("kind") == "whole"
     found = found.where((F.col("kind") != "header") & (~whole | _filled("record")))
     row = _row(F.when(whole, _ended("record")), schema)
-    written = _together(materialize(found.select("file", "place", "kind", F.when(~whole, F.col("record")).alias("record"), row.alias("row")), "records"))
+    written = _together(materialize(found.select("file", "place", "kind", F.when(~whole, F.col("record")).alias("record"), row.alias("row")), "records", "zstd"))
     # a file's last record may stay open, too
     fragments = written.where("kind IN ('head', 'middle', 'open')").select("file", "place", "kind", "record")
     assembled = _assembled(fragments).where(_filled("record")).select(_row(_ended("record"), schema).alias("row"))

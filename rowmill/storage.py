@@ -46,12 +46,12 @@ def release_shuffles(spark: SparkSession) -> None:
         time.sleep(1)
 
 
-def materialize(df: DataFrame, name: str = "table") -> DataFrame:
+def materialize(df: DataFrame, name: str = "table", compression: str | None = None) -> DataFrame:
     """Write ``df`` once as Parquet and continue from the file.
 
     Later fits read only the columns they need, and a lost executor costs a re-read instead of a
-    re-run of everything upstream.
+    re-run of everything upstream. Without ``compression`` the session's codec holds.
     """
     path = new_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
